@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The vocabulary of the packing and token queries, a file of the installed public tokenizers.
 VOCABULARY = "word_bpe_49k.json"
@@ -27,9 +28,50 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), vocabulary_path(), CAPACITY, end_id=1)
 
 
+def op3_superminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.neardup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+def op4_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.sharding import shard_documents, topology
+
+    out = shard_documents(_table(spark, sf_dir, "documents"), topology(16), topology(17))
+    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "region", "rack")
+
+
+def op6_block_pruned_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(100)) == 0, k=10, scale=1024)
+
+
+def op7_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2:3].isdigit()}
 
 
 #: DuckDB has no crc32, no such tokenizer and no hash that Spark shares for these; they are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_block_pruned_top_k": """
+        WITH kept AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS terms
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(coalesce(list_sum(list_transform(list_zip(q.terms, c.terms, true), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+            FROM kept q JOIN kept c ON c.vec_id <> q.vec_id
+            WHERE q.vec_id % 100 = 0
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}

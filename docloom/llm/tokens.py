@@ -27,7 +27,7 @@ _BYTE = {b: chr(b) for b in _KEEP} | {b: chr(256 + i) for i, b in enumerate(sort
 class ChunkIds:
     """Ids of texts. ``most`` bounds the chunks that are kept; when full they are dropped, which changes no result."""
 
-    def __init__(self, path: str, most_bits: int = 22):
+    def __init__(self, path: str, most_bits: int = 21):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -35,7 +35,7 @@ def _grow(n: int) -> None:
             _powers[k] = np.concatenate((a, a * _U(pow(base, len(a), 1 << 64))))
 
 
-def buffers(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def buffers(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows, each run of about ``most`` bytes or one row; null text is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
