@@ -28,6 +28,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), vocabulary_path(), CAPACITY, end_id=1)
 
 
+def op2_hierarchical_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.langid import identify_documents
+
+    return identify_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_superminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.neardup import near_duplicates
 
@@ -53,6 +59,18 @@ def op7_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_latent_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.quality import score_documents
+
+    return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.media import audio_digests
+
+    return audio_digests(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2:3].isdigit()}
 
