@@ -47,6 +47,12 @@ def op4_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "region", "rack")
 
 
+def op5_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.sitetree import main_text
+
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_block_pruned_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.topk import top_k
 
