@@ -1,10 +1,70 @@
-"""The corpus pipeline; its stages come with their operators."""
+"""A corpus pipeline of five stages, from raw documents to packed training sequences.
+
+Each stage takes what its predecessor kept, written as Parquet and read again:
+quality (rejects documents that the classifier scores under its threshold), language (rejects texts without a
+recognised language), near-duplicates (keeps the smallest doc_id of each group), mix (repeats or leaves out
+documents so that sources meet their target weights) and pack (best-fit sequences; one row a piece).
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docloom.llm.common import workspace
+from docloom.llm.langid import identify, learn as learn_languages
+from docloom.llm.mixing import mixed_documents
+from docloom.llm.neardup import near_duplicates
+from docloom.llm.packing import pack_documents
+from docloom.llm.quality import classify, learn as learn_quality
+from docloom.llm.queries import CAPACITY, vocabulary_path
+
+QUALITY_THRESHOLD = 0.3
+LANGUAGE_THRESHOLD = 0.2
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score reaches the threshold."""
+    model = learn_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return classify(docs, model).where(F.col("quality_score") >= QUALITY_THRESHOLD).select(*docs.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learnt languages: not ``und``, and not under the least confidence."""
+    found = identify(docs, learn_languages(docs))
+    return found.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= LANGUAGE_THRESHOLD)).select(*docs.columns)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest doc_id, of each group of near-duplicates (words of five, 0.8)."""
+    groups = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(groups, docs["doc_id"] == groups["_gone"], "left_anti")
+    return kept.select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their sequence and offset."""
+    return pack_documents(docs, vocabulary_path(), CAPACITY, end_id=1)
+
+
+STAGES = [("quality", quality), ("language", language), ("dedup", dedup), ("mix", mix), ("pack", pack)]
+
+#: Learnt models, hashes and a tokenizer have no SQL form; the pipeline is tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            path = workspace(spark, f"stage-{name}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs

@@ -77,6 +77,12 @@ def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio_digests(_table(spark, sf_dir, "documents"))
 
 
+def op10_feistel_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docloom.llm.tokenout import ordered_digests
+
+    return ordered_digests(_table(spark, sf_dir, "documents"), vocabulary_path(), length=1024, end_id=1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2:3].isdigit()}
 
