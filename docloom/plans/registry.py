@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from docloom.plans import accounting, joins, scalars, scoring, stateful, streams  # noqa: F401  they register
+from docloom.plans.base import QUERIES, SQL, Query
 
-def queries() -> dict:
-    return {}
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
