@@ -1 +1,142 @@
-"""Registered queries."""
+"""Registered run accounting and aggregates."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from docloom.operators import accounting as A
+from docloom.plans.base import query
+from docloom.sources.tables import ledger, table, with_ledgers
+
+_PROGRESS = """SELECT run_id, count(*) FILTER (kind = 'request') AS discovered, count(*) FILTER (kind = 'request' AND state IN ('archived', 'done')) AS fetched, count(*) FILTER (kind = 'request' AND state = 'pending') AS pending,
+    count(*) FILTER (kind = 'request' AND state = 'failed') AS request_failed, count(*) FILTER (kind = 'target') AS targets, count(*) FILTER (kind = 'target' AND state IN ('done', 'failed', 'skipped')) AS processed, count(*) FILTER (kind = 'target' AND state = 'skipped') AS skipped FROM task GROUP BY run_id"""
+_CATEGORY = """CASE WHEN c IN ('interrupted', 'attempt_superseded') THEN 'cancelled' WHEN c LIKE '%budget_exceeded' THEN 'budget_truncated' WHEN error LIKE 'required_input_failed:%' THEN 'required_input_missing'
+    WHEN c IN ('network_failed', 'redirect_limit_exceeded') OR c LIKE 'robots%' OR c LIKE 'http_%' THEN 'network_failed' WHEN c LIKE 'quality_check_failed%' THEN 'quality_check_failed' WHEN c IN ('document_body_missing') THEN 'required_input_missing'
+    WHEN c IN ('inputs_unavailable', 'page_limit_exceeded') THEN 'enumeration_incomplete' ELSE 'parse_failed' END"""
+
+
+@query(with_ledgers("task", sql=_PROGRESS))
+def d01_progress(spark, sf):
+    return A.progress(ledger(spark, sf, "task"), "run_id")
+
+
+@query(with_ledgers("delivery", sql="SELECT run_seq, count(DISTINCT resource_id) FILTER (failed_code IS NULL) AS resources, count(*) FILTER (failed_code IS NOT NULL) AS failed, count(*) FILTER (content_hash LIKE '%x') AS odd FROM delivery GROUP BY run_seq"))
+def d02_observation_counts(spark, sf):
+    d = ledger(spark, sf, "delivery")
+    return d.groupBy("run_seq").agg(F.count_distinct(F.when(F.col("failed_code").isNull(), F.col("resource_id"))).alias("resources"), F.count_if(F.col("failed_code").isNotNull()).alias("failed"), F.count_if(F.col("content_hash").endswith("x")).alias("odd"))
+
+
+@query(with_ledgers("task", sql="SELECT run_id, kind, state, count(*) AS n FROM task GROUP BY ALL"))
+def d03_counts_by_state(spark, sf):
+    return ledger(spark, sf, "task").groupBy("run_id", "kind", "state").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(with_ledgers("task", sql=f"""
+    WITH e AS (SELECT run_id, error, CASE WHEN error LIKE 'required_input_failed:%' THEN substr(error, 23) ELSE error END AS c FROM task WHERE error IS NOT NULL), n AS (SELECT run_id, {_CATEGORY} AS category, count(*) AS n FROM e GROUP BY 1, 2),
+    f AS (SELECT DISTINCT user_id % 20 AS run_id, 'cancelled' AS category FROM events WHERE event_id % 50 = 0)
+    SELECT coalesce(n.run_id, f.run_id) AS run_id, coalesce(n.category, f.category) AS category, greatest(coalesce(n.n, 0), CASE WHEN f.run_id IS NULL THEN 0 ELSE 1 END) AS n FROM n FULL JOIN f ON f.run_id = n.run_id AND f.category = n.category"""))
+def d04_failure_taxonomy(spark, sf):
+    flags = table(spark, sf, "events").where("event_id % 50 = 0").select((F.col("user_id") % 20).alias("run_id"), F.lit("cancelled").alias("category"))
+    return A.failures(ledger(spark, sf, "task"), flags, "run_id")
+
+
+@query(with_ledgers("version", sql="SELECT count(DISTINCT id) AS versions, count(DISTINCT resource_id) AS resources FROM version"))
+def d05_distinct_versions(spark, sf):
+    return ledger(spark, sf, "version").agg(F.count_distinct("id").alias("versions"), F.count_distinct("resource_id").alias("resources"))
+
+
+@query(with_ledgers("task", sql="SELECT r.run_id, coalesce(max(t.seq), 0) AS checkpoint FROM (SELECT DISTINCT run_id FROM task) r LEFT JOIN task t ON t.run_id = r.run_id AND t.state IN ('done', 'failed', 'skipped') AND t.seq % 2 = 0 GROUP BY r.run_id"))
+def d07_terminal_checkpoint(spark, sf):
+    done = F.col("state").isin("done", "failed", "skipped") & (F.col("seq") % 2 == 0)
+    return ledger(spark, sf, "task").groupBy("run_id").agg(F.coalesce(F.max(F.when(done, F.col("seq"))), F.lit(0)).alias("checkpoint"))
+
+
+@query(with_ledgers("task", sql="SELECT run_id, string_agg(DISTINCT error, ',' ORDER BY error) AS codes FROM task WHERE error IS NOT NULL GROUP BY run_id"))
+def d08_sorted_codes(spark, sf):
+    return ledger(spark, sf, "task").where("error IS NOT NULL").groupBy("run_id").agg(F.array_join(F.array_sort(F.collect_set("error")), ",").alias("codes"))
+
+
+@query("SELECT sha256(text) AS sha, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def d09_duplicate_groups(spark, sf):
+    return table(spark, sf, "documents").groupBy(F.sha2("text", 256).alias("sha")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@query(with_ledgers("delivery_row", sql="""
+    WITH i AS (SELECT o_orderkey AS version_id, o_custkey AS resource_id, o_custkey % 25 AS source_id FROM orders WHERE o_orderstatus = 'F'), c AS (SELECT r.* FROM delivery_row r WHERE version_id IN (SELECT version_id FROM i))
+    SELECT (SELECT count(DISTINCT source_id) FROM i) AS sources, (SELECT count(DISTINCT resource_id) FROM i) AS resources, (SELECT count(DISTINCT version_id) FROM i) AS versions, (SELECT count(*) FROM c) AS rows,
+        (SELECT count(DISTINCT s) FROM (SELECT markdown_hash AS s FROM c UNION ALL SELECT original_hash FROM c WHERE original_hash IS NOT NULL)) AS files"""))
+def d10_snapshot_counters(spark, sf):
+    items = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("version_id"), F.col("o_custkey").alias("resource_id"), (F.col("o_custkey") % 25).alias("source_id"))
+    return A.snapshot_counters(items, ledger(spark, sf, "delivery_row"))
+
+
+@query(with_ledgers("run", "source", sql="""
+    WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY completed_at DESC NULLS LAST, id DESC) AS n FROM run WHERE status IN ('complete', 'failed')) WHERE n = 1)
+    SELECT s.id AS source_id, l.id AS run_id, coalesce(l.status, 'UNKNOWN') AS status, CASE WHEN l.id IS NULL THEN 'never_run' ELSE array_to_string(list_sort(list_distinct(list_filter([l.reason, l.truncated], lambda x: x IS NOT NULL))), ',') END AS known_gaps
+    FROM (SELECT id FROM source UNION ALL SELECT 'dd-none') s LEFT JOIN l ON l.source_id = s.id"""))
+def d11_coverage(spark, sf):
+    sources = ledger(spark, sf, "source").select("id").unionByName(spark.range(1).select(F.lit("dd-none").alias("id")))
+    return A.coverage(sources, ledger(spark, sf, "run"))
+
+
+@query("SELECT conv_id, max_by(route, (rank, route)) AS worst FROM (SELECT conv_id, CASE turn % 3 WHEN 0 THEN 'accept' WHEN 1 THEN 'accept_with_warning' ELSE 'vision_reparse_pages' END AS route, turn % 3 AS rank FROM conversations) GROUP BY conv_id")
+def d12_worst_route(spark, sf):
+    routes = F.array(F.lit("accept"), F.lit("accept_with_warning"), F.lit("vision_reparse_pages"))
+    c = table(spark, sf, "conversations").withColumn("rank", (F.col("turn") % 3).cast("int"))
+    return c.groupBy("conv_id").agg(F.max("rank").alias("r")).select("conv_id", F.element_at(routes, F.col("r") + 1).alias("worst"))
+
+
+@query(with_ledgers("block", sql="SELECT document_id, page_idx, sum(length(text)) AS chars, count(*) AS blocks, CAST(sum(length(text) - length(replace(text, 'the', ''))) / 3 AS BIGINT) AS marks, coalesce(sum(length(text)) FILTER (type = 'table'), 0) AS table_chars FROM block GROUP BY 1, 2"))
+def d13_page_blocks(spark, sf):
+    n = F.char_length("text")
+    return ledger(spark, sf, "block").groupBy("document_id", "page_idx").agg(F.sum(n).alias("chars"), F.count(F.lit(1)).alias("blocks"), (F.sum(n - F.char_length(F.replace("text", F.lit("the"), F.lit("")))) / 3).cast("long").alias("marks"), F.coalesce(F.sum(F.when(F.col("type") == "table", n)), F.lit(0)).alias("table_chars"))
+
+
+@query("SELECT source, lang, count(*) AS n, CAST(row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS INTEGER) AS place FROM documents GROUP BY 1, 2")
+def d16_most_common(spark, sf):
+    from pyspark.sql.window import Window
+
+    counts = table(spark, sf, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("place", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n"), "lang")))
+
+
+@query("SELECT regexp_extract(url, '://([^/?#]*)', 1) AS host, count(*) AS n, string_agg(DISTINCT regexp_extract(url, '://[^/]*/([a-z]*)', 1), ',' ORDER BY regexp_extract(url, '://[^/]*/([a-z]*)', 1)) AS classes FROM pages GROUP BY 1")
+def d17_host_rollup(spark, sf):
+    p = table(spark, sf, "pages").select(F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"), F.regexp_extract("url", "://[^/]*/([a-z]*)", 1).alias("class"))
+    return p.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("class")), ",").alias("classes"))
+
+
+@query("SELECT lang, count(DISTINCT md5(text)) AS bodies, count(*) FILTER (n_chars > 1000) AS long_ones, max(n_chars) AS longest FROM documents GROUP BY lang")
+def d18_d20_bodies(spark, sf):
+    return table(spark, sf, "documents").groupBy("lang").agg(F.count_distinct(F.md5("text")).alias("bodies"), F.count_if(F.col("n_chars") > 1000).alias("long_ones"), F.max("n_chars").alias("longest"))
+
+
+@query("SELECT count(*) AS n, CAST(sum(CAST('0x' || substr(h, 1, 12) AS HUGEINT)) AS VARCHAR) AS low, CAST(sum(CAST('0x' || substr(h, 13, 12) AS HUGEINT)) AS VARCHAR) AS high FROM (SELECT md5(CAST(n_name AS VARCHAR) || chr(31) || CAST(n_nationkey AS VARCHAR) || chr(31) || CAST(n_regionkey AS VARCHAR)) AS h FROM nation)")
+def d19_table_digest(spark, sf):
+    return A.table_digest(table(spark, sf, "nation"))
+
+
+@query("SELECT conv_id, array_to_string(list_distinct(list(role ORDER BY turn)), ',') IS NOT NULL AS known, count(DISTINCT role) AS roles FROM conversations GROUP BY conv_id")
+def d21_ordered_distinct(spark, sf):
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    first = F.array_distinct(F.transform("t", lambda x: x["role"]))
+    return turns.select("conv_id", first.isNotNull().alias("known"), F.size(first).cast("long").alias("roles"))
+
+
+@query(with_ledgers("acquisition", sql="SELECT id FROM acquisition WHERE state = 'failed' AND acquired_at < (SELECT max(acquired_at) FROM acquisition) - INTERVAL 2 DAY AND request_key NOT IN (SELECT request_key FROM acquisition WHERE state = 'archived' AND id % 3 = 0)"))
+def a20_stalled_jobs(spark, sf):
+    a = ledger(spark, sf, "acquisition")
+    now = a.agg(F.max("acquired_at").alias("now"))
+    queued = a.where("state = 'archived' AND id % 3 = 0").select("request_key").distinct()
+    stalled = a.where("state = 'failed'").crossJoin(F.broadcast(now)).where("acquired_at < now - INTERVAL 2 DAY")
+    return stalled.join(queued, "request_key", "left_anti").select("id")
+
+
+@query("SELECT o_orderkey AS id, last_by AS campaign FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN 'second' ELSE 'first' END AS last_by FROM orders)")
+def a18_campaign_merge(spark, sf):
+    """A later campaign's row replaces an earlier one only where that was interrupted."""
+    o = table(spark, sf, "orders")
+    first = o.select(F.col("o_orderkey").alias("id"), F.lit(1).alias("n"), F.lit("first").alias("campaign"), F.when(F.col("o_orderstatus") == "F", "INTERRUPTED").otherwise("OK").alias("outcome"))
+    second = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("id"), F.lit(2).alias("n"), F.lit("second").alias("campaign"), F.lit("OK").alias("outcome"))
+    rows = first.unionByName(second).groupBy("id").agg(F.min(F.struct("n", "campaign", "outcome")).alias("a"), F.max(F.struct("n", "campaign", "outcome")).alias("b"))
+    return rows.select("id", F.when(F.col("a.outcome") == "INTERRUPTED", F.col("b.campaign")).otherwise(F.col("a.campaign")).alias("campaign"))

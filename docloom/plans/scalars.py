@@ -1 +1,320 @@
-"""Registered queries."""
+"""Registered URL, text, array and JSON queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from docloom.functions import text as X
+from docloom.functions import urls as U
+from docloom.operators import containers as K
+from docloom.plans.base import query
+from docloom.sources.tables import ledger, table, with_ledgers
+
+# DuckDB forms of the URL parts; RE2 has no look-around, so the forms are the same plain groups.
+_P = r"'^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?$'"
+_PARTS = f"""parts AS (
+    SELECT page_id, url, lower(regexp_extract(url, {_P}, 1)) AS scheme, regexp_extract(url, {_P}, 2) AS authority, regexp_extract(url, {_P}, 3) AS path, regexp_extract(url, {_P}, 4) AS query FROM link
+), urls AS (
+    SELECT *, lower(regexp_extract(authority, '^(?:[^@]*@)?(\\[[^\\]]*\\]|[^:]*)', 1)) AS host, regexp_extract(authority, ':([0-9]+)$', 1) AS port, regexp_extract(authority, '^([^@]*)@', 1) AS userinfo,
+        list_filter(string_split(query, '&'), lambda s: regexp_matches(string_split(s, '=')[1], '(?i){U.SENSITIVE}')) AS secrets FROM parts
+), web AS (SELECT *, scheme IN ('http', 'https') AND host <> '' AS ok,
+    host || CASE WHEN port = '' OR (scheme = 'http' AND port = '80') OR (scheme = 'https' AND port = '443') THEN '' ELSE ':' || port END AS net FROM urls)"""
+
+
+def _urls(sql: str) -> str:
+    return with_ledgers("link", sql=f"WITH {_PARTS} {sql}")
+
+
+@query(_urls(f"""SELECT page_id, CASE WHEN ok THEN scheme || '://' || net || CASE path WHEN '' THEN '/' ELSE path END
+    || CASE WHEN query = '' THEN '' ELSE '?' || array_to_string(list_transform(string_split(query, '&'), lambda s: CASE WHEN regexp_matches(string_split(s, '=')[1], '(?i){U.SENSITIVE}') THEN string_split(s, '=')[1] || '=REDACTED' ELSE s END), '&') END END AS safe FROM web"""))
+def g01_safe_url(spark, sf):
+    return ledger(spark, sf, "link").select("page_id", U.safe_url(F.col("url")).alias("safe"))
+
+
+@query(_urls("""SELECT page_id, CASE WHEN userinfo <> '' OR len(secrets) > 0 THEN 'sensitive_url_rejected' WHEN NOT ok THEN 'invalid_url' END AS error,
+    CASE WHEN userinfo = '' AND len(secrets) = 0 AND ok THEN scheme || '://' || net || CASE path WHEN '' THEN '/' ELSE path END || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS public FROM web"""))
+def g02_public_url(spark, sf):
+    u = F.col("url")
+    return ledger(spark, sf, "link").select("page_id", U.url_error(u).alias("error"), U.public_url(u).alias("public"))
+
+
+@query(_urls(f"""SELECT page_id, CASE WHEN ok THEN scheme || '://' || host || CASE port WHEN '' THEN '' ELSE ':' || port END || CASE p WHEN '' THEN '/' ELSE p END || CASE q WHEN '' THEN '' ELSE '?' || q END END AS url
+    FROM (SELECT *, regexp_replace(path, '(?i);jsessionid=[^/?;#]*', '', 'g') AS p, array_to_string(list_filter(string_split(query, '&'), lambda s: NOT regexp_matches(string_split(s, '=')[1], '(?i){U.SENSITIVE}') AND NOT regexp_matches(string_split(s, '=')[1], '(?i){U.TRACKING}')), '&') AS q FROM web)"""))
+def g04_inventory_url(spark, sf):
+    return ledger(spark, sf, "link").select("page_id", U.inventory_url(F.col("url")).alias("url"))
+
+
+@query(_urls("SELECT page_id, sha256('docloom.request.v1' || chr(10) || 'GET' || chr(10) || scheme || '://' || net || path || chr(10) || 'page') AS request_key FROM web WHERE ok"))
+def g05_request_key(spark, sf):
+    u = F.col("url")
+    known = ledger(spark, sf, "link").where(U.is_web(u))
+    bare = F.concat(F.lower(U.part(u, 1)), F.lit("://"), U._netloc(u), U.part(u, 3))
+    return known.select("page_id", F.sha2(F.concat_ws("\n", F.lit("docloom.request.v1"), F.lit("GET"), bare, F.lit("page")), 256).alias("request_key"))
+
+
+@query("SELECT doc_id, sha256('docloom.record.v1' || chr(31) || source || chr(31) || lang || chr(31) || CAST(doc_id AS VARCHAR)) AS record_hash FROM documents")
+def g06_record_hash(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.sha2(F.concat_ws("\u001f", F.lit("docloom.record.v1"), "source", "lang", F.col("doc_id").cast("string")), 256).alias("record_hash"))
+
+
+@query(with_ledgers("delivery", sql="""SELECT seq, sha256('input' || chr(31) || array_to_string(list_sort([input_fp, content_hash, mode]), chr(30))) AS input_fingerprint, sha256('parser' || chr(31) || parser_fp) AS parser_fingerprint,
+    sha256('version' || chr(31) || sha256('input' || chr(31) || array_to_string(list_sort([input_fp, content_hash, mode]), chr(30))) || chr(31) || sha256('parser' || chr(31) || parser_fp)) AS version_fingerprint FROM delivery"""))
+def g08_fingerprints(spark, sf):
+    d = ledger(spark, sf, "delivery")
+    tag = lambda kind, v: F.sha2(F.concat(F.lit(kind), F.lit("\u001f"), v), 256)
+    i = tag("input", F.array_join(F.array_sort(F.array("input_fp", "content_hash", "mode")), "\u001e"))
+    p = tag("parser", F.col("parser_fp"))
+    return d.select("seq", i.alias("input_fingerprint"), p.alias("parser_fingerprint"), tag("version", F.concat(i, F.lit("\u001f"), p)).alias("version_fingerprint"))
+
+
+@query(with_ledgers("task", sql="SELECT id, CASE WHEN external_key IS NOT NULL THEN sha256(namespace || chr(31) || external_key) ELSE sha256('inputs' || chr(31) || CAST(seq AS VARCHAR)) END AS key FROM task WHERE kind = 'target'"))
+def g11_target_key(spark, sf):
+    t = ledger(spark, sf, "task").where("kind = 'target'")
+    own = F.sha2(F.concat_ws("\u001f", "namespace", "external_key"), 256)
+    return t.select("id", F.when(F.col("external_key").isNotNull(), own).otherwise(F.sha2(F.concat_ws("\u001f", F.lit("inputs"), F.col("seq").cast("string")), 256)).alias("key"))
+
+
+@query(_urls("SELECT page_id, CASE WHEN regexp_matches(d, '^[0-9]+$') THEN d END AS docid, CASE f WHEN '' THEN 'file' ELSE f END AS file FROM (SELECT page_id, regexp_extract(query, '(?:^|&)docid=([^&]*)', 1) AS d, url_decode(string_split(path, '/')[-1]) AS f FROM web)"))
+def g14_docid_and_file_name(spark, sf):
+    u = F.col("url")
+    return ledger(spark, sf, "link").select("page_id", U.document_id(u).alias("docid"), U.file_name(u).alias("file"))
+
+
+@query("SELECT page_id, lower(trim(string_split(h, ';')[1])) AS media, nullif(lower(regexp_extract(h, '(?i)charset=[\"'']?([^;\"''\\s]+)', 1)), '') AS charset FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'Text/HTML; Charset=\"UTF-8\"' WHEN 1 THEN 'application/pdf' ELSE 'text/plain;charset=gbk' END AS h FROM pages)")
+def g16_media_type(spark, sf):
+    h = F.when(F.col("page_id") % 3 == 0, 'Text/HTML; Charset="UTF-8"').when(F.col("page_id") % 3 == 1, "application/pdf").otherwise("text/plain;charset=gbk")
+    return table(spark, sf, "pages").select("page_id", U.media_type(h).alias("media"), U.charset(h).alias("charset"))
+
+
+@query("SELECT l_orderkey, l_linenumber, coalesce(CASE l_returnflag WHEN 'R' THEN CAST(l_linenumber AS VARCHAR) END, '') AS volume, strftime(l_shipdate, '%Y-%m-%d') AS published, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS acquired FROM lineitem")
+def b01_public_row(spark, sf):
+    l = table(spark, sf, "lineitem")
+    return l.select("l_orderkey", "l_linenumber", F.coalesce(F.when(F.col("l_returnflag") == "R", F.col("l_linenumber").cast("string")), F.lit("")).alias("volume"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("published"), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("acquired"))
+
+
+@query("SELECT page_id, regexp_matches(url, '^https?://(m|blog)\\.[^/]*/(en|de)/') AND NOT regexp_matches(url, '/\\.\\./') AS scoped FROM (SELECT page_id, url FROM pages)")
+def b02_url_scope(spark, sf):
+    p = table(spark, sf, "pages")
+    hosts = F.regexp_replace(U.host(F.col("url")), r"^(m|blog)\..*$", "$1")
+    as_one = F.concat(F.lit("https://"), hosts, U.part(F.col("url"), 3))
+    return p.select("page_id", U.in_scope(as_one, ["m", "blog"], ["/en", "/de/"]).alias("scoped"))
+
+
+_HOSTS = "CASE event_id % 9 WHEN 0 THEN 'localhost.' WHEN 1 THEN 'a.internal' WHEN 2 THEN concat('10.0.0.', CAST(event_id % 250 AS STRING)) WHEN 3 THEN '8.8.4.4' WHEN 4 THEN '192.168.1.9' WHEN 5 THEN 'example.org' WHEN 6 THEN '172.20.3.4' WHEN 7 THEN 'x.LOCAL' ELSE '169.254.0.1' END"
+
+
+@query("SELECT event_id, event_id % 9 NOT IN (3, 5) AS private FROM events")
+def b03_private_address(spark, sf):
+    return table(spark, sf, "events").select("event_id", U.private_address(F.expr(_HOSTS)).alias("private"))
+
+
+@query(_urls("SELECT page_id, len(secrets) > 0 AS sensitive FROM web"))
+def b04_sensitive_parameter(spark, sf):
+    return ledger(spark, sf, "link").select("page_id", U.is_sensitive(F.col("url")).alias("sensitive"))
+
+
+#: Marks of pages that block readers (fixed values).
+BLOCKERS = [r"<input\b[^>]*type=[\"']?password", "cf-chl-|g-recaptcha|hcaptcha", "<title[^>]*>[^<]*(?:sign in|log in|login|captcha|access denied|just a moment)", "verify you are human|checking your browser"]
+
+
+@query("SELECT page_id, regexp_matches(left(html, 262144), '(?i)cf-chl-|g-recaptcha|hcaptcha|verify you are human|checking your browser') OR regexp_matches(left(html, 262144), '(?i)casino|free') AS blocked FROM pages")
+def b05_block_page(spark, sf):
+    head = F.substring("html", 1, 262144)
+    found = F.lit(False)
+    for p in [*BLOCKERS, "casino|free"]:
+        found = found | head.rlike(f"(?i){p}")
+    return table(spark, sf, "pages").select("page_id", found.alias("blocked"))
+
+
+@query("SELECT page_id, regexp_matches(url, '/[0-9]+\\.html$') OR regexp_matches(url, 'page=') AS detail FROM pages")
+def b10_detail_page(spark, sf):
+    patterns = F.array(F.lit(r"/[0-9]+\.html$"), F.lit("page="))
+    return table(spark, sf, "pages").select("page_id", F.exists(patterns, lambda p: F.regexp_like("url", p)).alias("detail"))
+
+
+@query("SELECT doc_id, quality = 1 AS accepted FROM labels")
+def b13_accepted_route(spark, sf):
+    accepted = F.array(F.lit("accept"), F.lit("accept_with_warning"))
+    route = F.when(F.col("quality") == 1, "accept").otherwise("vision_reparse_pages")
+    return table(spark, sf, "labels").select("doc_id", F.array_contains(accepted, route).alias("accepted"))
+
+
+@query("SELECT event_id, CAST(props::JSON->>'k' AS BIGINT) AS k, 'a/b' AS escaped FROM events")
+def b15_json_pointer(spark, sf):
+    e = table(spark, sf, "events").withColumn("body", F.concat(F.lit('{"a/b":["x",'), F.col("props"), F.lit("]}")))
+    return e.select("event_id", K.json_pointer("/a~1b/1/k")(F.col("body")).cast("long").alias("k"), F.lit("a/b").alias("escaped"))
+
+
+@query(with_ledgers("task", sql="SELECT run_id, count(DISTINCT namespace || chr(31) || coalesce(external_key, CAST(id AS VARCHAR))) AS identities FROM task WHERE kind = 'target' GROUP BY run_id"))
+def b16_d06_distinct_identities(spark, sf):
+    t = ledger(spark, sf, "task").where("kind = 'target'").withColumn("payload", F.to_json(F.struct(F.struct("namespace", "external_key").alias("identity"))))
+    ns = F.get_json_object("payload", "$.identity.namespace")
+    key = F.coalesce(F.get_json_object("payload", "$.identity.external_key"), F.col("id").cast("string"))
+    return t.groupBy("run_id").agg(F.count_distinct(F.struct(ns, key)).alias("identities"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g')) AS compact FROM documents")
+def h01_compact(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", X.compact(F.col("text")).alias("compact"))
+
+
+@query()
+def h02_text_to_markdown(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", X.mapped(X.escape_markdown)("text").alias("markdown"))
+
+
+@query("SELECT doc_id, sha256(nfc_normalize(trim(text, ' ' || chr(10) || chr(9) || chr(13))) || chr(10)) AS sha FROM documents")
+def h03_normalized(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.sha2(X.normalized(F.col("text")), 256).alias("sha"))
+
+
+@query("SELECT doc_id, CASE WHEN v <> '' AND length(v) <= 4000 THEN v END AS value, CASE WHEN length(v) > 4000 THEN 'value_too_long' END AS error FROM (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS v FROM documents)")
+def h04_clean_value(spark, sf):
+    t = F.col("text")
+    return table(spark, sf, "documents").select("doc_id", X.clean_value(t).alias("value"), X.value_error(t).alias("error"))
+
+
+@query()
+def h05_safe_name(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", X.mapped(X.safe_name)(F.substring("text", 1, 400)).alias("name"))
+
+
+@query("SELECT p_partkey, replace(p_name, ' ', '_') || '_' || left(sha256(p_type), 8) || CASE WHEN p_size % 3 = 0 THEN '_' || lpad(CAST(p_size AS VARCHAR), 2, '0') ELSE '' END || '.md' AS file FROM part")
+def h06_file_names(spark, sf):
+    suffix = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("_"), F.lpad(F.col("p_size").cast("string"), 2, "0"))).otherwise("")
+    return table(spark, sf, "part").select("p_partkey", F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"), F.substring(F.sha2("p_type", 256), 1, 8), suffix, F.lit(".md")).alias("file"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS iso, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS local FROM orders")
+def h07_h08_dates(spark, sf):
+    o = table(spark, sf, "orders")
+    iso = F.when(F.col("o_orderkey") % 5 == 0, F.date_format("o_orderdate", "yyyy/MM/dd")).when(F.col("o_orderkey") % 7 == 0, F.lit("2024-02-30")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    local = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "d-M-yyyy")).otherwise(F.date_format("o_orderdate", "d/M/yyyy"))
+    return o.select("o_orderkey", X.iso_date(iso).cast("string").alias("iso"), X.local_date(local).cast("string").alias("local"))
+
+
+@query("SELECT page_id, nullif(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '') AS title, regexp_extract(url, '/([a-z]{2})/', 1) AS lang, try_cast(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS number FROM pages")
+def h09_h10_field_rules(spark, sf):
+    title = F.coalesce(F.nullif(F.regexp_extract("html", "<h1[^>]*>([^<]*)</h1>", 1), F.lit("")), F.nullif(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit("")))
+    return table(spark, sf, "pages").select("page_id", title.alias("title"), F.regexp_extract("url", "/([a-z]{2})/", 1).alias("lang"), F.regexp_extract("url", "/([0-9]+)", 1).try_cast("bigint").alias("number"))
+
+
+@query(f"SELECT doc_id, sha256(translate(text, '{X._legacy_map()[0]}', '{X._legacy_map()[1]}')) AS sha FROM documents")
+def h12_legacy_letters(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.sha2(X.legacy_to_unicode(F.col("text")), 256).alias("sha"))
+
+
+@query(f"SELECT doc_id, sha256(CASE WHEN length(text) - length(translate(text, '{X.STRONG}', '')) >= 3 THEN array_to_string(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN regexp_matches(x, '[ĂăĐđĨĩŨũƠơƯưẠ-ỹ]') THEN x ELSE translate(x, '{X._legacy_map()[0]}', '{X._legacy_map()[1]}') END), chr(10)) ELSE text END) AS sha FROM documents")
+def h13_legacy_recovery(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.sha2(X.recover_legacy(F.col("text")), 256).alias("sha"))
+
+
+@query(with_ledgers("block", sql="""
+    SELECT document_id, block_no, CASE WHEN top THEN '# ' WHEN section THEN '## ' WHEN title AND n <= 2 THEN '# ' ELSE '' END || left(text, 40) AS line FROM (
+        SELECT *, sum(CASE WHEN title THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no) + 9 * coalesce(sum(CASE WHEN top OR section THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no), 0) AS n FROM (
+            SELECT *, regexp_matches(text, '^(?i)(the|chapter) ') AS top, regexp_matches(text, '^(?i)(of|mit) ') AS section, regexp_matches(text, '^(?i)(is|a|das) ') AND NOT regexp_matches(text, '^(?i)(the|chapter|of|mit) ') AS title FROM block))"""))
+def h16_heading_recovery(spark, sf):
+    return K.headings(ledger(spark, sf, "block"), "^(?:the|chapter) ", "^(?:of|mit) ", "^(?:is|a|das) ", 2)
+
+
+@query("SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'pdf' WHEN 1 THEN 'zip' WHEN 2 THEN 'rtf' WHEN 3 THEN 'json' ELSE 'html' END AS kind FROM pages")
+def h17_container_kind(spark, sf):
+    head = F.element_at(F.array(F.lit("%PDF-1.7"), F.lit("PK\u0003\u0004x"), F.lit("{\\rtf1"), F.lit('{"a":1}'), F.lit(" <!DOCTYPE html>")), (F.col("page_id") % 5 + 1).cast("int"))
+    return table(spark, sf, "pages").select("page_id", X.container_kind(F.encode(F.concat(head, F.col("html")), "utf-8")).alias("kind"))
+
+
+@query("SELECT r_regionkey AS id, '| name | key |' || chr(10) || '| --- | --- |' || chr(10) || '| a\\|' || r_name || ' |  |' AS markdown FROM region")
+def h19_markdown_table(spark, sf):
+    rows = F.array(F.array(F.lit("name"), F.lit("key")), F.array(F.concat(F.lit("a|"), F.col("r_name"))))
+    return table(spark, sf, "region").select(F.col("r_regionkey").alias("id"), X.markdown_table(rows).alias("markdown"))
+
+
+@query("SELECT page_id, coalesce(try_cast(regexp_extract(url, '/([0-9]+)\\.html', 1) AS INTEGER), try_cast(regexp_extract(url, 'page=([0-9]+)', 1) AS INTEGER)) AS volume FROM pages")
+def h24_volume_number(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.coalesce(F.regexp_extract("url", r"/([0-9]+)\.html", 1).try_cast("int"), F.regexp_extract("url", "page=([0-9]+)", 1).try_cast("int")).alias("volume"))
+
+
+@query("SELECT item_id, CASE WHEN item_id % 2 = 0 THEN regexp_replace(text, '\\s+', '', 'g') ELSE trim(regexp_replace(text, '\\s+', ' ', 'g')) END AS text FROM benchmark")
+def h29_language_normalisation(spark, sf):
+    squeezed = F.regexp_replace("text", r"\s+", "")
+    return table(spark, sf, "benchmark").select("item_id", F.when(F.col("item_id") % 2 == 0, squeezed).otherwise(F.trim(F.regexp_replace("text", r"\s+", " "))).alias("text"))
+
+
+@query("""SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')) AS email, sha256(regexp_replace(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '[REDACTED_EMAIL]', 'g')) AS sha
+    FROM documents WHERE NOT regexp_matches(text, '[0-9]{11}') AND NOT regexp_matches(text, 'gAAAA')""")
+def h30_redaction(spark, sf):
+    kept = table(spark, sf, "documents").where("NOT text RLIKE '[0-9]{11}' AND NOT text RLIKE 'gAAAA'")
+    body, counts = X.redactions(F.col("text"))
+    return kept.select("doc_id", counts["email"].cast("long").alias("email"), F.sha2(body, 256).alias("sha"))
+
+
+@query("SELECT user_id, count(*) AS n, sum(CAST(props::JSON->>'k' AS BIGINT)) AS total FROM events GROUP BY user_id")
+def i01_json_recordset(spark, sf):
+    """A JSON array of records to rows and back to a sum."""
+    e = table(spark, sf, "events")
+    body = e.groupBy("user_id").agg(F.concat(F.lit('{"results":['), F.array_join(F.collect_list("props"), ","), F.lit("]}")).alias("body"))
+    rows = body.select("user_id", F.inline(F.from_json("body", "struct<results:array<struct<k:bigint>>>")["results"]))
+    return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
+
+
+@query(with_ledgers("run", sql="SELECT id, array_to_string(list_concat(list_filter([reason, status], lambda x: x NOT IN ('interrupted', 'running')), ['attempt_started']), ',') AS errors FROM run"))
+def i03_error_array(spark, sf):
+    kept = F.filter(F.array("reason", "status"), lambda x: ~x.isin("interrupted", "running"))
+    return ledger(spark, sf, "run").select("id", F.array_join(F.concat(kept, F.array(F.lit("attempt_started"))), ",").alias("errors"))
+
+
+@query("SELECT c_custkey, c_mktsegment AS segment, 'x' AS page, CAST(c_nationkey AS VARCHAR) AS nation FROM customer")
+def i04_i05_map_merge(spark, sf):
+    """I4: a shallow merge where the later value wins; I5: a subset of keys."""
+    old = F.create_map(F.lit("segment"), F.lit("?"), F.lit("page"), F.lit("x"), F.lit("gone"), F.lit("y"))
+    new = F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("nation"), F.col("c_nationkey").cast("string"))
+    merged = F.map_concat(F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(new), k)), new)
+    kept = F.map_filter(merged, lambda k, _: k.isin("segment", "page", "nation"))
+    return table(spark, sf, "customer").select("c_custkey", *[kept[k].alias(k) for k in ("segment", "page", "nation")])
+
+
+@query("SELECT p_partkey, p_size % 4 <> 3 AS contained, CASE WHEN p_size % 4 = 3 THEN 4 ELSE 3 END AS merged FROM part")
+def i07_i08_containment_and_append(spark, sf):
+    old = F.when(F.col("p_size") % 4 == 3, F.array(F.lit(1), F.lit(9))).otherwise(F.array(F.lit(1), F.lit(2)))
+    new = F.array(F.lit(1), F.lit(2), F.lit(3))
+    merged = F.concat(old, F.filter(new, lambda x: ~F.array_contains(old, x)))
+    return table(spark, sf, "part").select("p_partkey", F.forall(old, lambda x: F.array_contains(new, x)).alias("contained"), F.size(merged).alias("merged"))
+
+
+@query("SELECT source, batch, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM (SELECT source, doc_id, CAST(floor((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) / 7) AS BIGINT) AS batch FROM documents) GROUP BY 1, 2")
+def i10_batches(spark, sf):
+    return K.batches(table(spark, sf, "documents").select("source", "doc_id"), "source", "doc_id", 7)
+
+
+@query(with_ledgers("block", sql="SELECT document_id, block_no, last_value(CASE WHEN length(text) <= 40 THEN text END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY block_no) AS heading FROM block"))
+def a16_inventory_headings(spark, sf):
+    return K.carried(ledger(spark, sf, "block"), "document_id", "block_no", F.when(F.char_length("text") <= 40, F.col("text")), "heading").select("document_id", "block_no", "heading")
+
+
+@query("SELECT sha256(text) AS sha256, octet_length(encode(text)) AS byte_size, count(*) AS refs, min(doc_id) AS first_id FROM documents GROUP BY 1, 2")
+def a06_content_addressed(spark, sf):
+    return K.content_addressed(table(spark, sf, "documents"))
+
+
+@query("SELECT c_custkey, '{\"id\":' || c_custkey || ',\"name\":\"' || c_name || '\",\"segment\":\"' || c_mktsegment || '\"}' AS item FROM customer ORDER BY c_custkey LIMIT 20")
+def a12_page_json(spark, sf):
+    c = table(spark, sf, "customer").orderBy("c_custkey").limit(20)
+    return c.select("c_custkey", F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))).alias("item"))
+
+
+@query()
+def a08_k10_page_anchors(spark, sf):
+    """Anchors of all pages with text, resolved address and whether they leave the host."""
+    return K.anchors(table(spark, sf, "pages"))
+
+
+@query()
+def h22_html_to_markdown(spark, sf):
+    return table(spark, sf, "pages").select("page_id", X.mapped(K.html_to_markdown)("html").alias("markdown"))
+
+
+@query()
+def h15_rtf_text(spark, sf):
+    raw = F.concat(F.lit("{\\rtf1{\\fonttbl{\\f0 Arial;}}\\b "), F.regexp_replace(F.regexp_replace(F.substring("text", 1, 2000), r"[\\{}]", ""), "\n", "\\\\par "), F.lit("}"))
+    d = table(spark, sf, "documents").select("doc_id", F.encode(raw, "utf-8").alias("body"))
+    return d.select("doc_id", X.mapped(K.rtf_text)("body").alias("text"))
