@@ -1 +1,125 @@
-"""Registered queries."""
+"""Registered quality gates, classes and scores."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from docloom.functions.text import GARBLED
+from docloom.operators import scoring as S
+from docloom.plans.base import query
+from docloom.sources.tables import ledger, table, with_ledgers
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 17 = 0 THEN 'HTTP_ERROR' WHEN regexp_matches(title || ' ' || left(visible, 1200), '(?i)casino') THEN 'X' WHEN length(visible) < 3000 AND regexp_matches(title || ' ' || visible, '(?i)not found|bad gateway') THEN 'SOFT_ERROR'
+        WHEN length(visible) < 80 THEN 'JS_SHELL' ELSE 'ACCESSIBLE_HTML' END AS class
+    FROM (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<(?:script|style)[^>]*>.*?</(?:script|style)>', '', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS visible FROM pages)
+    WHERE NOT regexp_matches(title || ' ' || left(visible, 1200), '(?i)casino')""")
+def k01_page_class(spark, sf):
+    p = table(spark, sf, "pages").withColumn("title", F.regexp_extract("html", "<title>([^<]*)</title>", 1))
+    visible = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace("html", "(?s)<(?:script|style)[^>]*>.*?</(?:script|style)>", ""), "<[^>]*>", " "), r"\s+", " "))
+    p = p.withColumn("visible", visible)
+    scripts, inputs, links = F.regexp_count("html", F.lit("<script")), F.regexp_count("html", F.lit("<input")), F.regexp_count("html", F.lit("<a "))
+    p = p.withColumn("class", S.page_class(F.col("title"), F.col("visible"), scripts, inputs, links, F.when(F.col("page_id") % 17 == 0, 500).otherwise(200), F.col("html")))
+    return p.where(~F.concat_ws(" ", "title", F.substring("visible", 1, 1200)).rlike("(?i)casino")).select("page_id", "class")
+
+
+_PAGES = "SELECT doc_id AS document_id, n AS page, (doc_id * 7 + n * 31) % 400 AS native_text_chars, (doc_id * 13 + n * 5) % 30 / 1000.0 AS ink_ratio FROM documents, (SELECT unnest(range(1, 4)) AS n)"
+
+
+@query(with_ledgers("block", sql=f"""
+    WITH b AS (SELECT *, page_idx + CASE WHEN min(page_idx) OVER (PARTITION BY document_id) = 0 THEN 1 ELSE 0 END AS page, type IN ('text', 'header', 'list', 'table') AS texty FROM (SELECT document_id, block_no, page_idx, type, text, y0 / 100.0 AS y0 FROM block)),
+    r AS (SELECT *, CASE WHEN texty AND trim(text) <> '' THEN CAST(CAST(y0 AS DOUBLE) + 0.08 < lag(CAST(y0 AS DOUBLE)) OVER (PARTITION BY document_id, page, texty AND trim(text) <> '' ORDER BY block_no) AS INTEGER) END AS back FROM b),
+    m AS (SELECT document_id, page, coalesce(sum(length(text)) FILTER (texty), 0) + greatest(count(*) FILTER (texty) - 1, 0) AS ocr, count(*) FILTER (type = 'table') AS tables, coalesce(sum(length(trim(text))) FILTER (type = 'table'), 0) AS table_chars,
+        count(*) FILTER (type = 'table' AND length(trim(text)) >= 120) AS flat, count(*) FILTER (texty AND trim(text) <> '') AS positions, coalesce(sum(back), 0) AS reversals FROM r GROUP BY 1, 2),
+    p AS ({_PAGES}), j AS (SELECT p.*, coalesce(m.ocr, 0) AS ocr, coalesce(m.tables, 0) AS tables, coalesce(m.table_chars, 0) AS table_chars, coalesce(m.flat, 0) AS flat, coalesce(m.positions, 0) AS positions, coalesce(m.reversals, 0) AS reversals,
+        native_text_chars < 30 AND ink_ratio > 0.003 AS scan, ink_ratio < 0.012 AND native_text_chars < 20 AND coalesce(m.ocr, 0) < 20 AS blank FROM p LEFT JOIN m ON m.document_id = p.document_id AND m.page = p.page)
+    SELECT document_id, page, array_to_string(list_filter([CASE WHEN scan AND ocr < 30 AND NOT blank THEN 'scan_page_with_little_ocr_text' END, CASE WHEN blank THEN 'low_ink_blank_page_candidate' WHEN ink_ratio >= 0.006 AND ocr < 20 THEN 'nonblank_page_without_ocr_text' END,
+        CASE WHEN native_text_chars >= 180 AND ocr < greatest(30, floor(native_text_chars * 0.15)) THEN 'native_text_page_with_little_ocr_text' END, CASE WHEN ink_ratio < 0.0015 AND ocr > 50 THEN 'blank_page_with_spurious_text' END,
+        CASE WHEN tables > 0 AND table_chars < 20 THEN 'table_content_missing' END, CASE WHEN flat > 0 THEN 'table_structure_missing' END, CASE WHEN positions >= 8 AND reversals >= 3 THEN 'reading_order_unstable' END], lambda x: x IS NOT NULL), ',') AS reasons FROM j"""))
+def k02_page_gate(spark, sf):
+    return _gated(spark, sf).select("document_id", "page", F.array_join("reasons", ",").alias("reasons"))
+
+
+def _gated(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("document_id"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(3).cast("long"))).alias("page"))
+    d = d.withColumn("native_text_chars", (F.col("document_id") * 7 + F.col("page") * 31) % 400).withColumn("ink_ratio", ((F.col("document_id") * 13 + F.col("page") * 5) % 30) / 1000.0)
+    d = d.withColumn("suspected_scan", (F.col("native_text_chars") < 30) & (F.col("ink_ratio") > 0.003))
+    m = S.page_measures(ledger(spark, sf, "block").withColumn("y0", F.col("y0") / 100.0))
+    return S.page_gate(d.join(m, ["document_id", "page"], "left").na.fill(0))
+
+
+@query()
+def k03_document_route(spark, sf):
+    return S.document_route(_gated(spark, sf))
+
+
+@query(f"""SELECT doc_id, CASE WHEN g >= 8 AND g / greatest(length(text), 1) >= 0.002 THEN 'legacy_font_encoding_recovery' WHEN r >= 3 THEN 'vision_reparse_pages' WHEN r > 0 THEN 'accept_with_warning' ELSE 'accept' END AS route, CAST(g AS BIGINT) AS garbled
+    FROM (SELECT *, length(text) - length(translate(text, '{GARBLED}', '')) AS g, length(text) - length(replace(text, chr(65533), '')) AS r FROM (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN text || repeat('µ©§', 3) WHEN 1 THEN text || chr(65533) WHEN 2 THEN repeat(chr(65533), 3) || text ELSE text END AS text FROM documents))""")
+def k04_text_check(spark, sf):
+    t = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.repeat(F.lit("µ©§"), 3))).when(F.col("doc_id") % 5 == 1, F.concat("text", F.lit("�"))).when(F.col("doc_id") % 5 == 2, F.concat(F.lit("���"), "text")).otherwise(F.col("text"))
+    checked = table(spark, sf, "documents").select("doc_id", S.text_check(t, vietnamese=True).alias("c"))
+    return checked.select("doc_id", "c.route", "c.garbled")
+
+
+@query(with_ledgers("block", sql="SELECT document_id, count(DISTINCT page_idx) AS pages, min(page_idx) = 0 AS zero_based, min(page_idx) NOT IN (0, 1) OR max(page_idx) + CASE WHEN min(page_idx) = 0 THEN 1 ELSE 0 END > 3 AS unreliable FROM block GROUP BY 1"))
+def k05_page_index(spark, sf):
+    low, high = F.min("page_idx"), F.max("page_idx")
+    return ledger(spark, sf, "block").groupBy("document_id").agg(F.count_distinct("page_idx").alias("pages"), (low == 0).alias("zero_based"), (~low.isin(0, 1) | (high + (low == 0).cast("int") > 3)).alias("unreliable"))
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_size % 10 = 0 THEN 'X' WHEN p_brand LIKE '%1' THEN 'F' WHEN p_type LIKE '%STEEL%' THEN 'A' WHEN p_size > 40 THEN 'E' WHEN p_size > 30 THEN 'D' WHEN p_size > 20 THEN 'B' ELSE 'G' END AS class FROM part")
+def k08_source_class(spark, sf):
+    c = F.when(F.col("p_brand").endswith("1"), "F").when(F.col("p_type").contains("STEEL"), "A").when(F.col("p_size") > 40, "E").when(F.col("p_size") > 30, "D").when(F.col("p_size") > 20, "B").otherwise("G")
+    p = table(spark, sf, "part").withColumn("class", c)
+    overrides = table(spark, sf, "part").where("p_size % 10 = 0").select("p_partkey", F.lit("X").alias("other"))
+    return p.join(overrides, "p_partkey", "left").select(F.col("p_partkey").alias("id"), F.coalesce("other", "class").alias("class"))
+
+
+@query(with_ledgers("receipt", sql="""
+    WITH p AS (SELECT engine, language, dpi, page_id, median(total_seconds) AS m, count(DISTINCT repetition) AS n, bool_and(status = 'ok') AS ok, max((repetition, errors, reference_characters)) AS s FROM receipt GROUP BY 1, 2, 3, 4)
+    SELECT engine, language, dpi, round(sum(m), 4) AS seconds, CASE WHEN bool_and(ok) THEN round(sum(s[2]) / sum(s[3]), 8) END AS cer, min(n) AS minimum_repeats, bool_and(ok) AS eligible,
+        CASE WHEN bool_and(ok) AND min(n) >= 3 THEN 'replicated' WHEN bool_and(ok) THEN 'screened' ELSE 'failed' END AS stage FROM p GROUP BY 1, 2, 3"""))
+def k11_d14_d15_recognition_scores(spark, sf):
+    return S.repeat_scores(ledger(spark, sf, "receipt"), 3)
+
+
+@query(with_ledgers("receipt", sql="SELECT engine, language, page_id, count(DISTINCT output_sha) AS outputs, count(DISTINCT output_sha) = 1 AS steady FROM receipt GROUP BY 1, 2, 3"))
+def k12_repeat_determinism(spark, sf):
+    n = F.count_distinct("output_sha")
+    return ledger(spark, sf, "receipt").groupBy("engine", "language", "page_id").agg(n.alias("outputs"), (n == 1).alias("steady"))
+
+
+@query("SELECT d.doc_id, sha256(d.text) <> sha256(CASE WHEN d.doc_id % 6 = 0 THEN d.text || ' ' ELSE d.text END) AS drifted FROM documents d")
+def k13_output_drift(spark, sf):
+    d = table(spark, sf, "documents")
+    frozen = d.select("doc_id", F.sha2(F.when(F.col("doc_id") % 6 == 0, F.concat("text", F.lit(" "))).otherwise(F.col("text")), 256).alias("sha"))
+    return d.select("doc_id", F.sha2("text", 256).alias("now")).join(frozen, "doc_id").select("doc_id", (F.col("now") != F.col("sha")).alias("drifted"))
+
+
+@query(with_ledgers("block", sql="SELECT document_id, CASE WHEN n = 0 THEN 'native' WHEN n < pages THEN 'hybrid' ELSE 'full' END AS pipeline FROM (SELECT doc_id AS document_id, count(*) AS pages, count(*) FILTER ((doc_id * 7 + p * 31) % 400 < 30 AND (doc_id * 13 + p * 5) % 30 > 3) AS n FROM documents, (SELECT unnest(range(1, 4)) AS p) GROUP BY 1)"))
+def j20_k07_ocr_pipeline(spark, sf):
+    pages = _gated(spark, sf)
+    n = F.count_if(F.col("suspected_scan"))
+    return pages.groupBy("document_id").agg(F.when(n == 0, "native").when(n < F.count(F.lit(1)), "hybrid").otherwise("full").alias("pipeline"))
+
+
+@query("SELECT a.n_nationkey AS id, CAST(levenshtein(a.n_name, b.n_name) AS INTEGER) AS distance FROM nation a JOIN nation b ON b.n_nationkey = (a.n_nationkey + 1) % 25")
+def h28_levenshtein(spark, sf):
+    a = table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), "n_name")
+    b = a.select(((F.col("id") + 24) % 25).alias("id"), F.col("n_name").alias("other"))
+    return a.join(b, "id").select("id", F.levenshtein("n_name", "other").alias("distance"))
+
+
+@query()
+def h27_semi_global_alignment(spark, sf):
+    """Benchmark passages against the start of the documents that share their number."""
+    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), F.substring("text", 1, 60).alias("reference"))
+    d = table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 400).alias("text"))
+    return b.join(d, "doc_id").select("doc_id", S.align_udf()("reference", "text").alias("a")).select("doc_id", "a.*")
+
+
+@query()
+def h26_c17_edit_script(spark, sf):
+    b = table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), "n_name")
+    o = b.select(((F.col("id") + 24) % 25).alias("id"), F.col("n_name").alias("other"))
+    return b.join(o, "id").select("id", F.explode(S.edit_script_udf()("n_name", "other")).alias("e")).select("id", "e.*")
