@@ -1,0 +1,182 @@
+"""Golden vectors and properties of operators that SQL does not judge."""
+
+from __future__ import annotations
+
+import io
+import random
+import zipfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from docloom.functions import text as X
+from docloom.functions import urls as U
+from docloom.operators import containers as K
+from docloom.operators import joins as J
+from docloom.operators import scoring as S
+from docloom.operators import timeline as T
+
+
+def _fold(rows):
+    """The timeline by its decision table, one delivery at a time."""
+    out, current, seen, number = {}, None, {}, 0
+    for r in sorted(rows, key=lambda r: (r["run_seq"], r["seq"])):
+        key = r["run_seq"]
+        if key in seen:
+            first = seen[key]
+            same = all(first[k] == r[k] for k in ("input_fp", "parser_fp", "content_hash")) and first["failed_code"] is None and r["failed_code"] is None
+            out[r["seq"]] = ("replayed", "replayed") if same else ("ignored", "ignored_failure") if r["failed_code"] else ("conflict", "delivery_key_conflict")
+            continue
+        seen[key] = r
+        if r["failed_code"]:
+            out[r["seq"]] = ("failed", r["failed_code"])
+        elif current is None:
+            out[r["seq"]], current = ("created", "first_success"), r
+        else:
+            i, p = current["input_fp"] != r["input_fp"], current["parser_fp"] != r["parser_fp"]
+            if i or p:
+                reason = "both_changed" if i and p else "source_changed" if i else "parser_recomputed" if r["mode"] == "reparse" else "parser_changed"
+                out[r["seq"]], current = ("changed", reason), r
+            elif current["content_hash"] != r["content_hash"]:
+                out[r["seq"]] = ("failed", "nondeterministic")
+            else:
+                out[r["seq"]] = ("unchanged", "unchanged")
+    return out
+
+
+def test_timeline_equals_sequential_fold(spark):
+    rnd, rows = random.Random(5), []
+    for resource in range(120):
+        for seq in range(rnd.randint(1, 9)):
+            rows.append({"resource_id": resource, "run_seq": rnd.randint(0, 6), "seq": len(rows), "mode": rnd.choice(["collect", "reparse"]), "input_fp": rnd.choice("AB"), "parser_fp": rnd.choice("PQ"), "content_hash": rnd.choice("XY"), "failed_code": rnd.choice([None, None, None, "broken"])})
+    schema = "resource_id long, run_seq long, seq long, mode string, input_fp string, parser_fp string, content_hash string, failed_code string"
+    got = {r.seq: (r.outcome, r.reason) for r in T.version_timeline(spark.createDataFrame(rows, schema)).collect()}
+    want = {}
+    for resource in range(120):
+        want |= _fold([r for r in rows if r["resource_id"] == resource])
+    assert got == want
+
+
+def test_nondeterministic_row_is_no_success(spark):
+    rows = [(1, n, n, "collect", "A", "P", c, None) for n, c in enumerate("XYX")]
+    schema = "resource_id long, run_seq long, seq long, mode string, input_fp string, parser_fp string, content_hash string, failed_code string"
+    got = {r.seq: r.reason for r in T.version_timeline(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {0: "first_success", 1: "nondeterministic", 2: "unchanged"}
+
+
+@pytest.mark.parametrize(("reference", "text", "distance", "matched"), [("abc", "unrelated abc tail", 0, "abc"), ("abc", "xx axc yy", 1, "axc"), ("abc", "xx ac yy", 1, "ac"), ("abcd", "xx abxcd yy", 1, "abxcd"), ("abc", "cba", 2, None), ("abc", "a--b--c", 2, None), ("ế", "xx ế yy", 0, "ế"), ("a b", "xx a\n   b yy", 0, "a b"), ("abc", "", 3, ""), ("abc", "abc abc", 0, "abc")])
+def test_semi_global_vectors(reference, text, distance, matched):
+    d, start, end = S.semi_global(reference, text)
+    assert d == distance
+    if matched is not None:
+        assert " ".join(text.split())[start:end] == matched
+
+
+def test_edit_script_rebuilds_text():
+    rnd = random.Random(1)
+    for _ in range(50):
+        a, b = ("".join(rnd.choice("abc") for _ in range(rnd.randint(0, 8))) for _ in "ab")
+        out, at = [], 0
+        for op, place, _, other in S.edit_script(a, b):
+            out.append(a[at:place])
+            at = place + (op != "insertion")
+            out.append(other)
+        assert "".join(out) + a[at:] == b
+
+
+def test_markdown_escapes():
+    assert X.escape_markdown("a*b\r\n# h\n1. x\n\n\n\ny\tz  ") == "a\\*b  \n\\# h  \n1\\. x\n\ny z\n"
+    assert X.escape_markdown(" \n ") == ""
+
+
+def test_safe_names():
+    assert X.safe_name(' a/b:"c"  d. ') == "a_b_c_ d"
+    assert X.safe_name("...") == "document"
+    assert len(X.safe_name("é" * 200).encode()) == 150
+
+
+def test_private_addresses(spark):
+    hosts = {"localhost": True, "x.local": True, "10.1.2.3": True, "127.0.0.1": True, "172.31.0.1": True, "172.32.0.1": False, "8.8.8.8": False, "[::1]": True, "[fe80::1]": True, "example.com": False, "100.64.0.1": True}
+    d = spark.createDataFrame([(h,) for h in hosts], "h string")
+    assert {r.h: r.p for r in d.select("h", U.private_address(F.col("h")).alias("p")).collect()} == hosts
+
+
+def test_paths_and_scope(spark):
+    d = spark.createDataFrame([("https://a.b/x/../y/./z",), ("https://a.b/xy",), ("https://a.b/x/1?q",)], "u string")
+    got = [(r.p, r.s) for r in d.select(U.normal_path(F.col("u")).alias("p"), U.in_scope(F.col("u"), ["a.b"], ["/x"]).alias("s")).collect()]
+    assert got == [("/y/z", False), ("/xy", False), ("/x/1", True)]
+
+
+def _zip(members: dict[str, bytes]) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, body in members.items():
+            z.writestr(name, body)
+    return out.getvalue()
+
+
+def test_zip_members():
+    inner = _zip({"b.txt": b"inner"})
+    got, error = K.zip_members(_zip({"z.html": b"<html>x", "a.zip": inner, "__MACOSX/q.txt": b"no", "._r.txt": b"no", "k.bin": b"\x00\x01"}), 1 << 20)
+    assert error is None and [(p, k) for p, k, _ in got] == [("a.zip!/b.txt", "txt"), ("z.html", "html")]
+    assert K.zip_members(_zip({"../x.txt": b"a"}), 1 << 20) == ([], "zip_member_path_invalid")
+    assert K.zip_members(_zip({f"{i}.txt": b"a" for i in range(51)}), 1 << 20) == ([], "zip_member_limit_exceeded")
+    assert K.zip_members(b"PK\x03\x04broken", 10) == ([], "zip_invalid")
+    assert K.zip_members(_zip({"x.txt": b"a" * 99}), 10) == ([], "zip_expanded_size_exceeded")
+    assert K.zip_members(_zip({"a.zip": _zip({"b.zip": inner})}), 1 << 20)[1] == "zip_depth_exceeded"
+
+
+def test_detect():
+    ole = bytes.fromhex("d0cf11e0a1b11ae1")
+    cases = [(b"%PDF-1.4", "pdf"), (_zip({"word/document.xml": b"x"}), "docx"), (_zip({"xl/workbook.xml": b"x"}), "xlsx"), (_zip({"a.txt": b"x"}), "zip"), (ole + "WordDocument".encode("utf-16-le"), "doc"), (ole + "Workbook".encode("utf-16-le"), "xls"), (b"{\\rtf1", "rtf"), (b"<!-- c --> <!DOCTYPE html>", "html"), (b"<?xml version='1.0'?><a/>", "xml"), (b'{"a":1}', "json"), ("plain é".encode(), "txt"), (b"a\x00b", "unknown"), (b"\xff\xfe bad", "unknown")]
+    assert [K.detect(b) for b, _ in cases] == [k for _, k in cases]
+
+
+def test_rtf():
+    raw = rb"{\rtf1{\fonttbl{\f0 Arial;}}Hello\par W\'f6rld \u8364?x {\*\generator z}end}"
+    assert K.rtf_text(raw) == "Hello\nWörld €x end\n"
+    assert K.rtf_text(b"{\\rtf1 a}") is None
+
+
+def test_office_and_gazette():
+    w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    cell = lambda s: f"<w:tc><w:p><w:r><w:t>{s}</w:t></w:r></w:p></w:tc>"
+    doc = f"<w:document {w}><w:body><w:p><w:r><w:t>A*b</w:t></w:r></w:p><w:tbl><w:tr>{cell('x')}{cell('y|z')}</w:tr><w:tr>{cell('1')}</w:tr></w:tbl></w:body></w:document>"
+    assert K.docx_markdown(_zip({"word/document.xml": doc.encode()})) == "A\\*b\n\n| x | y\\|z |\n| --- | --- |\n| 1 |  |\n"
+    s = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    book = {"xl/workbook.xml": b"<x/>", "xl/sharedStrings.xml": f"<sst {s}><si><t>n</t></si></sst>".encode(), "xl/worksheets/sheet1.xml": f'<worksheet {s}><sheetData><row><c t="s"><v>0</v></c><c><v>2</v></c></row></sheetData></worksheet>'.encode()}
+    assert K.xlsx_markdown(_zip(book)) == "| n | 2 |\n| --- | --- |\n"
+    xml = b'<RULE><SUBJECT>Subject</SUBJECT><HD SOURCE="HD1">Part</HD><PRTPAGE P="1"/><P>Some <E>text</E> here.</P><GPOTABLE><BOXHD><CHED>a</CHED></BOXHD><ROW><ENT>1</ENT></ROW></GPOTABLE></RULE>'
+    assert K.gazette_markdown(xml) == "## Subject\n\n## Part\n\nSome text here.\n\n| a |\n| --- |\n| 1 |\n"
+    assert K.gazette_markdown(b"<a") is None
+
+
+def test_anchors_and_pointer_and_robots():
+    got = K.anchor_list('<a href="/x#f">One</a><a href="javascript:0">no</a><a href="/x">again</a><a href="https://o.org/">two', "https://h.org/a/")
+    assert got == [("https://h.org/x", "One", True), ("https://o.org/", "two", False)]
+    assert K.resolve_pointer({"a/b": [{"~": 3}]}, "/a~1b/0/~0") == 3
+    with pytest.raises(KeyError):
+        K.resolve_pointer({"a": []}, "/a/0")
+    policy = "User-agent: *\nDisallow: /private\nAllow: /private/open\n"
+    assert [K.robots_allow(policy, 200, p) for p in ("/", "/private/x", "/private/open/1")] == [True, False, True]
+    assert K.robots_allow(None, 404, "/x") is True and K.robots_allow(None, 500, "/x") is None
+
+
+def test_chain_follows_hops(spark):
+    d = spark.createDataFrame([(i, i - 1 if i else None) for i in range(9)], "id long, parent_id long")
+    assert {r.id: (r.root, r.depth) for r in J.chain_roots(d).collect()} == {i: (0, i) for i in range(9)}
+
+
+def test_dominance_equals_brute_force(spark):
+    rnd = random.Random(3)
+    pts = [(i, rnd.choice("ab"), rnd.randint(0, 12), rnd.randint(0, 12)) for i in range(150)]
+    d = spark.createDataFrame(pts, "id long, language string, cer long, seconds long")
+    want = {p[0] for p in pts if any(o[1] == p[1] and o[2] <= p[2] and o[3] <= p[3] and (o[2] < p[2] or o[3] < p[3]) for o in pts)}
+    assert {r.id for r in J.dominated(d).collect()} == want
+    guarded = {p[0] for p in pts if any(o[1] == p[1] and o[2] <= p[2] and o[3] < p[3] / 1.25 for o in pts)}
+    assert {r.id for r in J.dominated(d, 1.25).collect()} == guarded
+
+
+def test_legacy_lines():
+    a, b = X._legacy_map()
+    assert len(a) == len(b) and dict(zip(a, b))["µ"] == "à"
