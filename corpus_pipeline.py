@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import workspace
+from docloom.llm.common import free_name, workspace
 from docloom.llm.langid import identify, learn as learn_languages
 from docloom.llm.mixing import mixed_documents
 from docloom.llm.neardup import near_duplicates
@@ -26,20 +26,22 @@ LANGUAGE_THRESHOLD = 0.2
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
     model = learn_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return classify(docs, model).where(F.col("quality_score") >= QUALITY_THRESHOLD).select(*docs.columns)
+    name = free_name(docs, "quality_score")
+    return classify(docs, model, name).where(F.col(name) >= QUALITY_THRESHOLD).drop(name)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learnt languages: not ``und``, and not under the least confidence."""
-    found = identify(docs, learn_languages(docs))
-    return found.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= LANGUAGE_THRESHOLD)).select(*docs.columns)
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    found = identify(docs, learn_languages(docs), lang, score)
+    return found.where((F.col(lang) != "und") & (F.col(score) >= LANGUAGE_THRESHOLD)).drop(lang, score)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest doc_id, of each group of near-duplicates (words of five, 0.8)."""
-    groups = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(groups, docs["doc_id"] == groups["_gone"], "left_anti")
-    return kept.select(*docs.columns)
+    gone = free_name(docs, "gone")
+    groups = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(groups, docs["doc_id"] == groups[gone], "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

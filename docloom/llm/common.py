@@ -73,6 +73,40 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has (names that differ in case only clash)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by name, whatever characters their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in names]
+
+
+def with_arrow_columns(docs: DataFrame, column: str, make, added: list[tuple[str, str]]) -> DataFrame:
+    """``docs`` with columns (name, type) that ``make``, called in each task, computes from batches of ``column``.
+
+    Columns travel under plain names, so any name may occur in ``docs``.
+    """
+    ship(docs.sparkSession)
+    names = docs.columns
+    at, plain = names.index(column), [f"_{i}" for i in range(len(names))]
+    new = [f"_{len(names) + i}" for i in range(len(added))]
+    schema = ", ".join([*(f"{n} {f.dataType.simpleString()}" for n, f in zip(plain, docs.schema)), *(f"{n} {t}" for n, (_, t) in zip(new, added))])
+
+    def run(batches):
+        import pyarrow as pa
+
+        compute = make()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch.column(at))], names=[*plain, *new])
+
+    return docs.toDF(*plain).mapInArrow(run, schema).toDF(*names, *[n for n, _ in added])
+
+
 _shipped: set[str] = set()
 
 

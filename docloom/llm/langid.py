@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import ship
+from docloom.llm.common import ship, with_arrow_columns
 from docloom.llm.words import buffers
 
 #: Language families (fixed values); a language that is not named is a family of its own.
@@ -220,26 +220,24 @@ def learn(docs: DataFrame, per_language: int = 700, most_languages: int = 40) ->
     return fit([langs[i] for i in order], shares[order])
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` with lang_pred and lang_score (names that ``docs`` may not have)."""
-    spark = docs.sparkSession
-    ship(spark)
-    sent = spark.sparkContext.broadcast(model)  # DIMS floats for each pair of languages
-    names = docs.columns
-    at = names.index("text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, lang_score double"
+def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "lang_score") -> DataFrame:
+    """All columns of ``docs`` with the language and its score under names that ``docs`` does not have (see free_name)."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # DIMS floats for each pair of languages
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         model = sent.value
-        for batch in batches:
+
+        def compute(column: pa.Array) -> list[pa.Array]:
             langs, scores = [], []
-            for _, data, offsets in buffers(batch.column(at), 1 << 20):
-                found, score = model.predict(data, offsets)
+            for _, data, offsets in buffers(column, 1 << 20):
+                found, sure = model.predict(data, offsets)
                 langs += found
-                scores.append(score)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=[*names, "lang_pred", "lang_score"])
+                scores.append(sure)
+            return [pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())]
+
+        return compute
 
-    return docs.mapInArrow(run, schema)
+    return with_arrow_columns(docs, "text", make, [(lang, "string"), (score, "double")])
 
 
 def identify_documents(docs: DataFrame, per_language: int = 700) -> DataFrame:

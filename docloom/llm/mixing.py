@@ -18,11 +18,11 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docloom.llm.common import WORD, materialize
+from docloom.llm.common import WORD, materialize, quoted
 
 #: Weights of sources in order, repeating (fixed value of the contract).
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -95,6 +95,11 @@ def schedule(spark: SparkSession, edges: list[tuple[float, float]], blocks: list
     return kept.unionByName(late.select("source_no", "block", (F.lit(slots) + F.col("source_no") * F.lit(1)).cast("long").alias("slot")))
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of a row's columns (maps, which have no hash, left out)."""
+    return F.xxhash64(*quoted([f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]))
+
+
 def mix(docs: DataFrame, most: int = 3, block: int = 2048, seed: int = 1) -> DataFrame:
     """doc_id, size, source_size, target, taken, source, first_slot and a hash of each row of ``docs``."""
     spark = docs.sparkSession
@@ -102,7 +107,7 @@ def mix(docs: DataFrame, most: int = 3, block: int = 2048, seed: int = 1) -> Dat
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(*docs.columns).alias("row_hash"),
+        row_hash(docs).alias("row_hash"),
     )
     sized = materialize(sized, "sized")
     table, edges = _sources(spark, sized, most, block)
@@ -140,6 +145,7 @@ def mixed_documents(docs: DataFrame, most: int = 3, block: int = 2048, seed: int
     names = docs.columns
     taken = mix(docs, most, block, seed)
     some = taken.groupBy("doc_id", "row_hash").agg(F.sum(F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5)).cast("int").alias("times")).where("times > 0")
-    rows = docs.select(F.xxhash64(*names).alias("_hash"), F.col("doc_id").cast("long").alias("_id"), F.struct(*names).alias("_row")).dropDuplicates(["_id", "_hash"])
+    row = F.struct(*quoted(names))
+    rows = docs.select(row_hash(docs).alias("_hash"), F.col("doc_id").cast("long").alias("_id"), row.alias("_row")).dropDuplicates(["_id", "_hash"])
     on = rows["_id"].eqNullSafe(some["doc_id"]) & (rows["_hash"] == some["row_hash"])
-    return rows.join(some, on).select("_row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_turn")).select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+    return rows.join(some, on).select("_row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_turn")).select("_row.*")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import mix64, ship
+from docloom.llm.common import mix64, ship, with_arrow_columns
 from docloom.llm.langid import held_out
 from docloom.llm.words import Spans, buffers
 
@@ -162,22 +162,20 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = 4000, rank: int = 64,
     return fit(c, y, rank, neighbours)
 
 
-def classify(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` with quality_score (a name that ``docs`` may not have)."""
-    spark = docs.sparkSession
-    ship(spark)
-    sent = spark.sparkContext.broadcast(model)  # DIMS x rank and 2 x rows x rank floats at most
-    names = docs.columns
-    at = names.index("text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", quality_score double"
+def classify(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
+    """All columns of ``docs`` with the score under ``name`` (one that ``docs`` does not have: see free_name)."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x rank and 2 x rows x rank floats at most
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         model = sent.value
-        for batch in batches:
-            scores = [model.score(c) for c in _chunks(batch.column(at))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=[*names, "quality_score"])
 
-    return docs.mapInArrow(run, schema)
+        def compute(column: pa.Array) -> list[pa.Array]:
+            scores = [model.score(c) for c in _chunks(column)]
+            return [pa.array(np.concatenate(scores) if scores else [], pa.float64())]
+
+        return compute
+
+    return with_arrow_columns(docs, "text", make, [(name, "double")])
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

@@ -54,7 +54,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 _END = re.compile(r"<[a-zA-Z/!?][^>]*\Z", re.S)
-_NUMBER = re.compile(r"\d+")
+_NUMBER = re.compile(r"\d{3,}")
 
 
 def _traits(tag: str, attributes: str) -> tuple[str, bool]:
