@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docloom.plans import accounting, joins, scalars, scoring, stateful, streams  # noqa: F401  they register
+from docloom.plans import accounting, files, joins, scalars, scoring, stateful, streams  # noqa: F401  they register
 from docloom.plans.base import QUERIES, SQL, Query
 
 
