@@ -51,6 +51,8 @@ class ChunkIds:
     def _part(self, part: str) -> tuple[int, ...]:
         ids = self.parts.get(part)
         if ids is None:
+            if len(self.parts) >= 150_000:
+                self.parts.clear()
             word = part if part.isascii() else "".join(map(_BYTE.__getitem__, part.encode()))
             self.parts[part] = ids = tuple(x.id for x in self.model.tokenize(word))
         return ids

@@ -7,6 +7,7 @@ equal spans have equal hashes wherever they stand.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,16 @@ import pyarrow as pa
 
 from docloom.llm.common import mix64
 
+def _return_freed_memory() -> None:
+    """Lets large arrays go back to the system when they are freed, so that a worker's heap stays near what it holds."""
+    try:
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD, fixed from now on
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+_return_freed_memory()
+
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -35,7 +46,7 @@ def _grow(n: int) -> None:
             _powers[k] = np.concatenate((a, a * _U(pow(base, len(a), 1 << 64))))
 
 
-def buffers(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def buffers(column: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows, each run of about ``most`` bytes or one row; null text is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -47,6 +58,7 @@ def buffers(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, np.nda
         to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
         yield at, raw[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 class Spans:
