@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docloom.session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -15,7 +18,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Registers a function of (spark, sf_dir) under its name."""
 
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = shipped
         if sql:
             SQL[f.__name__] = sql
         return f

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true"}
@@ -15,3 +20,20 @@ def session(name: str = "docloom", master: str | None = None, **conf: str) -> Sp
     for k, v in {**SETTINGS, **conf}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package where their PYTHONPATH lacks it."""
+    root = Path(__file__).resolve().parents[1]
+    app = spark.sparkContext.applicationId
+    if app in _shipped or str(root) in os.environ.get("PYTHONPATH", "").split(":"):
+        return
+    _shipped.add(app)
+    target = Path(tempfile.mkdtemp(prefix="docloom-code-")) / "docloom.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted((root / "docloom").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    spark.sparkContext.addPyFile(str(target))
