@@ -7,17 +7,16 @@ cluster names in ``spark.checkpoint.dir`` and are read again by Spark's own read
 from __future__ import annotations
 
 import atexit
-import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docloom.session import ship  # noqa: F401  operators take it from here
+
 #: Words are runs of bytes other than these (fixed value of the contract).
 WORD = r"[^\x20\x09-\x0D]+"
 MASK = (1 << 64) - 1
@@ -107,23 +106,6 @@ def with_arrow_columns(docs: DataFrame, column: str, make, added: list[tuple[str
     return docs.toDF(*plain).mapInArrow(run, schema).toDF(*names, *[n for n, _ in added])
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package where their PYTHONPATH lacks it."""
-    root = Path(__file__).resolve().parents[2]
-    app = spark.sparkContext.applicationId
-    if app in _shipped or str(root) in os.environ.get("PYTHONPATH", "").split(":"):
-        return
-    _shipped.add(app)
-    target = Path(tempfile.mkdtemp(prefix="docloom-code-")) / "docloom.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted((root / "docloom").rglob("*.py")):
-            z.write(p, p.relative_to(root))
-    spark.sparkContext.addPyFile(str(target))
-
-
 # --- ranks ----------------------------------------------------------------------------------------
 
 
