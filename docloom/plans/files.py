@@ -121,3 +121,59 @@ def a10_reparse_inputs(spark, sf):
     cas = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("archive_ref"))
     wanted = ledger(spark, sf, "version").select("resource_id", F.col("id").alias("version_id"), F.md5((F.col("id") % 700).cast("string")).alias("archive_ref"))
     return wanted.join(cas, "archive_ref").select("resource_id", "version_id", "archive_ref")
+
+
+#: Options that steer planning only and so stay out of fingerprints (fixed values of this library).
+PLANNING = ["per_page", "max_pages", "budget"]
+
+
+@query("SELECT c_custkey, sha256('options' || chr(31) || 'nation=' || c_nationkey || chr(30) || 'segment=' || c_mktsegment) AS options_hash, sha256('replay' || chr(31) || c_custkey || chr(31) || c_mktsegment) AS replay_key FROM customer")
+def g09_g12_g13_option_hashes(spark, sf):
+    """A hash of the options that matter, keys in order; G12: the key of a changed payload."""
+    options = F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("per_page"), F.lit("50"), F.lit("nation"), F.col("c_nationkey").cast("string"), F.lit("budget"), F.lit("9"))
+    kept = F.map_entries(F.map_filter(options, lambda k, _: ~k.isin(PLANNING)))
+    text = F.array_join(F.array_sort(F.transform(kept, lambda e: F.concat_ws("=", e["key"], e["value"]))), "\u001e")
+    replay = F.concat_ws("\u001f", F.lit("replay"), F.col("c_custkey").cast("string"), "c_mktsegment")
+    return table(spark, sf, "customer").select("c_custkey", F.sha2(F.concat(F.lit("options\u001f"), text), 256).alias("options_hash"), F.sha2(replay, 256).alias("replay_key"))
+
+
+@query("SELECT conv_id, CASE role WHEN 'user' THEN 'issuer' WHEN 'assistant' THEN 'title' END AS field, min_by(text, turn) AS value FROM conversations WHERE role IN ('user', 'assistant') GROUP BY 1, 2")
+def h11_label_fields(spark, sf):
+    """Labels to fields by a dictionary; the first value of a field wins."""
+    names = spark.createDataFrame([("user", "issuer"), ("assistant", "title")], "role string, field string")
+    joined = table(spark, sf, "conversations").join(F.broadcast(names), "role")
+    return joined.groupBy("conv_id", "field").agg(F.min(F.struct("turn", "text")).alias("m")).select("conv_id", "field", F.col("m.text").alias("value"))
+
+
+@query("SELECT page_id, page_id % 3 = 0 AS legacy, CASE WHEN page_id % 3 = 0 THEN 1 ELSE 0 END AS fonts FROM pages")
+def h14_rtf_fonts(spark, sf):
+    """Legacy fonts that an RTF head declares."""
+    head = F.concat(F.lit("{\\rtf1{\\fonttbl{\\f0 Arial;}{\\f1 "), F.when(F.col("page_id") % 3 == 0, ".VnTime").otherwise("Times"), F.lit(";}}"))
+    fonts = F.array_distinct(F.filter(F.regexp_extract_all(head, F.lit(r"\\f\d+ ([^;{}]+);"), F.lit(1)), lambda f: f.rlike(r"(?i)(?:^|[.\s])(?:vn(?:time|arial|helvet|book|courier)|vntimeh)(?![a-z])")))
+    return table(spark, sf, "pages").select("page_id", (F.size(fonts) > 0).alias("legacy"), F.size(fonts).alias("fonts"))
+
+
+@query(with_ledgers("task", sql="SELECT id, CASE error WHEN 'network_failed' THEN 'no connection' WHEN 'http_500' THEN 'server error' WHEN 'interrupted' THEN 'stopped' ELSE 'other: ' || error END AS detail FROM task WHERE error IS NOT NULL"))
+def k09_failure_details(spark, sf):
+    """K9: error codes to texts by a dictionary."""
+    texts = spark.createDataFrame([("network_failed", "no connection"), ("http_500", "server error"), ("interrupted", "stopped")], "error string, text string")
+    failed = ledger(spark, sf, "task").where("error IS NOT NULL")
+    return failed.join(F.broadcast(texts), "error", "left").select("id", F.coalesce("text", F.concat(F.lit("other: "), F.col("error"))).alias("detail"))
+
+
+@query("SELECT doc_id, doc_id % 3 = 0 AS valid FROM documents")
+def l05_digest_predicate(spark, sf):
+    sha = F.sha2("text", 256)
+    value = F.when(F.col("doc_id") % 3 == 0, sha).when(F.col("doc_id") % 3 == 1, F.upper(F.concat(F.lit("A"), F.substring(sha, 2, 63)))).otherwise(F.substring(sha, 1, 63))
+    return table(spark, sf, "documents").select("doc_id", value.rlike("^[0-9a-f]{64}$").alias("valid"))
+
+
+@query("SELECT 'p' || user_id AS request_url, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS position, 'd' || event_id AS document_number, event_type AS type FROM events")
+def a07_json_list(spark, sf):
+    """List responses built from events, read by the JSON list adapter."""
+    from docloom.sources.adapters import adapter
+
+    e = table(spark, sf, "events")
+    item = F.struct("event_id", F.struct(F.concat(F.lit("d"), F.col("event_id")).alias("document_number"), F.col("event_type").alias("type")).alias("r"))
+    bodies = e.groupBy("user_id").agg(F.array_sort(F.collect_list(item)).alias("s")).select(F.concat(F.lit("p"), F.col("user_id")).alias("request_url"), F.to_json(F.struct(F.transform("s", lambda x: x["r"]).alias("results"))).alias("body"))
+    return adapter("json_list").parse(bodies).select("request_url", "position", "document_number", "type")

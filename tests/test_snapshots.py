@@ -81,3 +81,29 @@ def test_sinks(spark, tmp_path):
     assert [(r.section, r.cells) for r in sinks.read_inventory(spark, f"file://{tmp_path}/i.md").orderBy("line").collect()] == [("One", ["a", "b"]), ("One", ["1", "2"]), ("Two", ["3", "4"])]
     spark.range(3).createOrReplaceTempView("docloom_view")
     assert sinks.catalog(spark).where(F.col("name") == "docloom_view").count() == 1
+
+
+def test_adapters(spark):
+    from docloom.sources.adapters import adapter
+
+    body = '{"results":[{"document_number":"1","title":"t","type":"Rule"}],"next_page_url":"https://a.org/2"}'
+    d = spark.createDataFrame([("https://a.org/1", body)], "request_url string, body string")
+    a = adapter("json_list", max_pages=2)
+    assert [(r.locator, r.document_number) for r in a.parse(d).collect()] == [("/results/0", "1")]
+    assert [r.request_url for r in a.next_requests(d, 0).collect()] == ["https://a.org/2"] and not a.next_requests(d, 1).collect()
+    h = spark.createDataFrame([("https://a.org/", '<a href="/doc/7">Seven</a><a href="/list?2">Next</a><a href="https://b.org/x">Out</a>')], "request_url string, body string")
+    b = adapter("html_list", detail="/doc/[0-9]+$")
+    assert [(r.locator, r.title) for r in b.parse(h).collect()] == [("https://a.org/doc/7", "Seven")]
+    assert [r.request_url for r in b.next_requests(h, 0).collect()] == ["https://a.org/list?2"]
+    for name, options, code in [("nope", {}, "unknown_adapter"), ("json_list", {"x": 1}, "invalid_adapter_options")]:
+        with pytest.raises(C.ConfigError, match=code):
+            adapter(name, **options)
+
+
+def test_command_line(capsys, tmp_path):
+    from docloom.cli import main
+
+    path = tmp_path / "c.yaml"
+    path.write_text(json.dumps({**GOOD, "id": "bad"}))
+    assert main(["check-config", str(path)]) == 1 and main(["queries"]) == 0
+    assert "j04_version_timeline" in capsys.readouterr().out
