@@ -84,21 +84,26 @@ def _lettered(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 # --- fitting ------------------------------------------------------------------------------------------
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = 12) -> np.ndarray:
-    """A linear machine with squared hinge loss (weights, then the bias), by dual coordinate descent; classes weigh alike."""
+def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = 12, rows: np.ndarray | None = None) -> np.ndarray:
+    """A linear machine with squared hinge loss (weights, then the bias), by dual coordinate descent; classes weigh alike.
+
+    ``rows`` are the rows of ``x`` that ``y`` is about (all, if not told); they are not copied.
+    """
+    rows = np.arange(len(x)) if rows is None else rows
     rng = np.random.default_rng(7)
     w, bias = np.zeros(x.shape[1], np.float64), 0.0
     share = np.where(y > 0, len(y) / max(1, 2 * (y > 0).sum()), len(y) / max(1, 2 * (y < 0).sum()))
     diag = 0.5 / (cost * share)
-    norm = np.einsum("ij,ij->i", x, x) + 1.0 + diag
+    norm = np.einsum("ij,ij->i", x, x)[rows] + 1.0 + diag
     alpha = np.zeros(len(y))
     for _ in range(epochs):
         for i in rng.permutation(len(y)):
-            gradient = y[i] * (x[i] @ w + bias) - 1 + diag[i] * alpha[i]
+            row = x[rows[i]]
+            gradient = y[i] * (row @ w + bias) - 1 + diag[i] * alpha[i]
             new = max(alpha[i] - gradient / norm[i], 0.0)
             if new != alpha[i]:
                 step = (new - alpha[i]) * y[i]
-                w += step * x[i]
+                w += step * row
                 bias += step
                 alpha[i] = new
     return np.append(w, bias)
@@ -166,7 +171,8 @@ def fit(langs: list[str], shares: np.ndarray) -> Model:
     families = sorted({_FAMILY.get(x, x) for x in known})
     languages = {f: [x for x in known if _FAMILY.get(x, x) == f] for f in families}
     scale = (1 / np.sqrt(shares.mean(axis=0) + 1e-6)).astype(np.float32) if len(shares) else np.ones(DIMS, np.float32)
-    x = shares * scale
+    x = shares
+    x *= scale  # in place: the driver holds the sample once
     lang = np.array(langs, object)
     family = np.array([_FAMILY.get(v, v) for v in langs], object)
     machines, curves, nodes = [], [], {}
@@ -176,9 +182,8 @@ def fit(langs: list[str], shares: np.ndarray) -> Model:
         for a, b in combinations(range(len(children)), 2):
             at = np.flatnonzero((labels == children[a]) | (labels == children[b]))
             y = np.where(labels[at] == children[a], 1.0, -1.0)
-            some = x[at]
-            w = fit_svm(some, y)
-            curves.append(_platt(some @ w[:-1] + w[-1], y))
+            w = fit_svm(x, y, rows=at)
+            curves.append(_platt((x @ w[:-1].astype(np.float32))[at] + w[-1], y))
             nodes[name].append((a, b, len(machines)))
             machines.append(w)
 
@@ -190,7 +195,7 @@ def fit(langs: list[str], shares: np.ndarray) -> Model:
 
 
 def _shares(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Labels and trigram shares of the rows to learn from (bounded by the sample)."""
+    """Labels and trigram shares of the rows to learn from (bounded by the sample), in an order of their own."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,12 +203,20 @@ def _shares(rows: DataFrame) -> tuple[list[str], np.ndarray]:
             for _, data, offsets in buffers(batch.column("text")):
                 h = trigrams(data)
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-                    out.append((np.bincount(h[a:b], minlength=DIMS) / max(1, b - a)).astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(out, pa.binary())], names=["lang", "shares"])
-
-    table = rows.select("lang", "text").mapInArrow(count, "lang string, shares binary").toArrow()
-    found = [np.frombuffer(x.as_py(), "<f4") for x in table.column("shares")]
-    return table.column("lang").to_pylist(), np.stack(found) if found else np.zeros((0, DIMS), np.float32)
+                    n = np.bincount(h[a:b], minlength=DIMS)
+                    on = np.flatnonzero(n)
+                    out.append(on.astype("<u2").tobytes() + n[on].astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(out, pa.binary())], names=["lang", "counts"])
+
+    found = rows.select("lang", "text").mapInArrow(count, "lang string, counts binary").collect()
+    found.sort(key=lambda r: (r["lang"], r["counts"]))  # rows come in any order
+    shares = np.zeros((len(found), DIMS), np.float32)
+    for i, r in enumerate(found):
+        raw = bytes(r["counts"])
+        n = len(raw) // 6
+        at, times = np.frombuffer(raw, "<u2", n), np.frombuffer(raw, "<u4", n, 2 * n)
+        shares[i, at] = times / max(1, int(times.sum()))
+    return [r["lang"] for r in found], shares
 
 
 def learn(docs: DataFrame, per_language: int = 700, most_languages: int = 40) -> Model:
@@ -215,9 +228,7 @@ def learn(docs: DataFrame, per_language: int = 700, most_languages: int = 40) ->
     keep = F.lit(False)
     for r in sorted(counts, key=lambda r: r["lang"]):
         keep = keep | ((F.col("lang") == r["lang"]) & (draw < min(1.0, per_language / r["count"])))
-    langs, shares = _shares(open_.where(keep).limit(2 * per_language * max(1, len(counts))))
-    order = sorted(range(len(langs)), key=lambda i: (langs[i], shares[i].tobytes()))  # rows come in any order
-    return fit([langs[i] for i in order], shares[order])
+    return fit(*_shares(open_.where(keep).limit(2 * per_language * max(1, len(counts)))))
 
 
 def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "lang_score") -> DataFrame:
