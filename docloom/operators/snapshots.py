@@ -1,6 +1,6 @@
-"""Global snapshots: freezing a mapping, sealing it with its closure, publishing, reading pages.
+"""Global snapshots: freezing a mapping, closing it with its closure, publishing, reading pages.
 
-A snapshot is a folder of Parquet tables and becomes visible by its last write, ``seal``; nothing in it is
+A snapshot is a folder of Parquet tables and becomes visible by its last write, ``counters``; nothing in it is
 written twice. Publications are an append-only log, whose last row is the pointer.
 """
 
@@ -23,15 +23,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where))
 
 
-def sealed(spark: SparkSession, path: str) -> bool:
-    return _exists(spark, f"{path}/seal/_SUCCESS")
+def is_closed(spark: SparkSession, path: str) -> bool:
+    return _exists(spark, f"{path}/counters/_SUCCESS")
 
 
 def create(path: str, resources: DataFrame, overrides: DataFrame, versions: DataFrame, rows: DataFrame, coverage: DataFrame | None = None) -> DataFrame:
-    """Writes a snapshot's tables and seals it; returns the one row of counters."""
+    """Writes a snapshot's tables and closes it; returns the one row of counters."""
     spark = resources.sparkSession
-    if sealed(spark, path):
-        raise ConfigError("snapshot_is_sealed")
+    if is_closed(spark, path):
+        raise ConfigError("snapshot_is_closed")
     items = effective_versions(resources, overrides, versions).withColumnRenamed("id", "resource_id")
     items.write.mode("overwrite").parquet(f"{path}/items")
     items = spark.read.parquet(f"{path}/items")
@@ -40,21 +40,21 @@ def create(path: str, resources: DataFrame, overrides: DataFrame, versions: Data
     closed.repartitionByRange("source_id", "resource_id", "row_number").sortWithinPartitions("source_id", "resource_id", "row_number").write.mode("overwrite").parquet(f"{path}/rows")
     if coverage is not None:
         coverage.write.mode("overwrite").parquet(f"{path}/coverage")
-    snapshot_counters(items, rows).coalesce(1).write.mode("overwrite").parquet(f"{path}/seal")
-    return spark.read.parquet(f"{path}/seal")
+    snapshot_counters(items, rows).coalesce(1).write.mode("overwrite").parquet(f"{path}/counters")
+    return spark.read.parquet(f"{path}/counters")
 
 
 def verify(spark: SparkSession, path: str) -> bool:
-    """Whether a sealed snapshot's tables still have the counters of its seal."""
+    """Whether a closed snapshot's tables still have the counters that it was closed with."""
     items, rows = spark.read.parquet(f"{path}/items"), spark.read.parquet(f"{path}/rows")
-    told = spark.read.parquet(f"{path}/seal").first()
+    told = spark.read.parquet(f"{path}/counters").first()
     now = snapshot_counters(items, rows.drop("source_id", "resource_id")).first()
-    return sealed(spark, path) and now == told
+    return is_closed(spark, path) and now == told
 
 
 def publish(spark: SparkSession, log: str, snapshot: str, path: str) -> bool:
     """Appends a publication if the snapshot verifies and is not the published one; whether it changed."""
-    if not sealed(spark, path) or not verify(spark, path):
+    if not is_closed(spark, path) or not verify(spark, path):
         raise ConfigError("snapshot_not_verified")
     before = published(spark, log)
     if before == snapshot:
@@ -89,7 +89,7 @@ def page(spark: SparkSession, root: str, log: str, caller: str, sources: list |
             held = json.loads(base64.urlsafe_b64decode(cursor))
         except ValueError:
             raise ConfigError("invalid_cursor") from None
-        if held.get("caller") != caller or held.get("sources") != sources or not sealed(spark, f"{root}/{held.get('snapshot')}"):
+        if held.get("caller") != caller or held.get("sources") != sources or not is_closed(spark, f"{root}/{held.get('snapshot')}"):
             raise ConfigError("invalid_cursor")
         snapshot, after = held["snapshot"], held["after"]
     rows = spark.read.parquet(f"{root}/{snapshot}/rows")

@@ -27,11 +27,11 @@ def published(spark, tmp_path_factory):
     return root
 
 
-def test_seal(spark, published):
-    told = spark.read.parquet(f"{published}/a/seal").first()
+def test_counters(spark, published):
+    told = spark.read.parquet(f"{published}/a/counters").first()
     assert (told.sources, told.resources, told.versions, told.rows) == (3, 11, 11, 22)  # 3's override is another's version
     assert S.verify(spark, f"{published}/a")
-    with pytest.raises(C.ConfigError, match="snapshot_is_sealed"):
+    with pytest.raises(C.ConfigError, match="snapshot_is_closed"):
         S.create(f"{published}/a", *[spark.range(0)] * 4)
     assert 7 in {r.version_id for r in spark.read.parquet(f"{published}/a/items").collect()}
 
