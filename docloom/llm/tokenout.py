@@ -23,8 +23,8 @@ from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,17 +135,50 @@ def write_training_order(docs: DataFrame, path: str, vocabulary: str, length: in
     for part in sorted(counts):
         base[part], total = total, total + counts[part]
     layout = Layout(total, length, width, per_shard, key)
-    sent = spark.sparkContext.broadcast(base)
+    sent = spark.sparkContext.broadcast(base)  # a number for each task
 
-    @F.pandas_udf("long")
-    def slot_of(part: pd.Series, k: pd.Series) -> pd.Series:
-        first = np.array([sent.value[p] for p in part.to_numpy()], np.int64)
-        return pd.Series(layout.order().slot(first + k.to_numpy()))
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A compressed parcel for each shard that a batch has sequences for: fewer and smaller rows to shuffle."""
+        first, order, pack = sent.value, layout.order(), zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.array([first[p] for p in batch.column(0).to_pylist()], np.int64) + batch.column(1).to_numpy()
+            slots = order.slot(at)
+            rows = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(slots), length * width)
+            by = np.argsort(slots, kind="stable")
+            shard = slots[by] // per_shard
+            cuts = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
+            out = []
+            for i, j in zip(cuts, [*cuts[1:], len(by)]):
+                some = by[i:j]
+                places = (slots[some] - int(shard[i]) * per_shard).astype("<u4")
+                out.append((int(shard[i]), j - i, pack.compress(places.tobytes() + rows[some].tobytes())))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], names=["shard", "n", "parcel"])
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole shards of at most ``per_shard`` records, from parcels in shard order."""
+        unpack, now, body = zstandard.ZstdDecompressor(), None, None
+
+        def done() -> pa.RecordBatch:
+            if body is None:
+                return pa.RecordBatch.from_arrays([pa.array([], pa.int32()), pa.array([], pa.binary())], names=["shard", "value"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([body.tobytes()[:-1]], pa.binary())], names=["shard", "value"])  # the writer ends the last record
 
-    slots = table.select(slot_of("part", "k").alias("slot"), "ids")
-    rows = slots.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int"))
-    rows = rows.repartition(max(1, layout.shards), "shard").sortWithinPartitions("shard", "slot")
-    rows.select("shard", F.col("ids").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(f"{path}/shards")
+        for batch in batches:
+            for shard, n, parcel in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if shard != now:
+                    yield done()
+                    now = shard
+                    body = np.full((min(per_shard, layout.sequences - shard * per_shard), layout.stride), 10, np.uint8)
+                raw = unpack.decompress(parcel)
+                body[np.frombuffer(raw, "<u4", n), :-1] = np.frombuffer(raw, np.uint8, offset=4 * n).reshape(n, length * width)
+        yield done()
+
+    parcels = table.select("part", "k", "ids").mapInArrow(deal, "shard int, n int, parcel binary")
+    dealt = parcels.repartitionById(max(1, layout.shards), "shard").sortWithinPartitions("shard")
+    whole = dealt.mapInArrow(lay, "shard int, value binary")
+    whole.select("shard", F.col("value").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(f"{path}/shards")
     spark.createDataFrame([(json.dumps(asdict(layout)),)], "value string").coalesce(1).write.text(f"{path}/layout")
     return layout
 
