@@ -50,14 +50,15 @@ def buffers(column: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, np.n
     """(first row, bytes, offsets) of runs of rows, each run of about ``most`` bytes or one row; null text is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary()).fill_null(b"")
-    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    raw = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.zeros(0, np.uint8)
-    at = 0
-    while at < len(column):
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
-        yield at, raw[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
-        at = to
+    for begin in range(0, len(column), 1024):  # only so many rows are copied at once
+        part = column.slice(begin, 1024).cast(pa.large_binary()).fill_null(b"")
+        ends = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
+        raw = np.frombuffer(part.buffers()[2], np.uint8) if part.buffers()[2] is not None else np.zeros(0, np.uint8)
+        at = 0
+        while at < len(part):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+            yield begin + at, raw[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
+            at = to
     pa.default_memory_pool().release_unused()
 
 
