@@ -57,8 +57,7 @@ def k03_document_route(spark, sf):
     FROM (SELECT *, length(text) - length(translate(text, '{GARBLED}', '')) AS g, length(text) - length(replace(text, chr(65533), '')) AS r FROM (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN text || repeat('µ©§', 3) WHEN 1 THEN text || chr(65533) WHEN 2 THEN repeat(chr(65533), 3) || text ELSE text END AS text FROM documents))""")
 def k04_text_check(spark, sf):
     t = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.repeat(F.lit("µ©§"), 3))).when(F.col("doc_id") % 5 == 1, F.concat("text", F.lit("�"))).when(F.col("doc_id") % 5 == 2, F.concat(F.lit("���"), "text")).otherwise(F.col("text"))
-    checked = table(spark, sf, "documents").select("doc_id", S.text_check(t, vietnamese=True).alias("c"))
-    return checked.select("doc_id", "c.route", "c.garbled")
+    return S.text_check(table(spark, sf, "documents").select("doc_id", t.alias("text")), vietnamese=True).select("doc_id", "route", "garbled")
 
 
 @query(with_ledgers("block", sql="SELECT document_id, count(DISTINCT page_idx) AS pages, min(page_idx) = 0 AS zero_based, min(page_idx) NOT IN (0, 1) OR max(page_idx) + CASE WHEN min(page_idx) = 0 THEN 1 ELSE 0 END > 3 AS unreliable FROM block GROUP BY 1"))
