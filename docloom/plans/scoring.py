@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.text import GARBLED
 from docloom.operators import scoring as S
-from docloom.plans.base import query
+from docloom.plans.base import SQL, query
 from docloom.sources.tables import ledger, table, with_ledgers
 
 
@@ -48,7 +48,11 @@ def _gated(spark, sf):
     return S.page_gate(d.join(m, ["document_id", "page"], "left").na.fill(0))
 
 
-@query()
+_WARN = "('low_ink_blank_page_candidate', 'isolated_replacement_character', 'signature_block_missing', 'reading_order_unstable')"
+
+
+@query(f"""SELECT document_id, CASE WHEN max(hard) > 0 THEN 'vision_reparse_pages' WHEN max(n) > 0 THEN 'accept_with_warning' ELSE 'accept_ocr' END AS route, CAST(sum(n) AS BIGINT) AS reason_count
+    FROM (SELECT document_id, len(list_filter(string_split(reasons, ','), lambda x: x <> '')) AS n, len(list_filter(string_split(reasons, ','), lambda x: x <> '' AND x NOT IN {_WARN})) AS hard FROM ({SQL['k02_page_gate']})) GROUP BY 1""")
 def k03_document_route(spark, sf):
     return S.document_route(_gated(spark, sf))
 
