@@ -3,14 +3,16 @@
 Pages of a host are merged into one tree whose nodes are paths of container elements (tag, id and classes).
 For each node the merged pages give two entropies, both over log(pages with the node): of the child
 sequences (presentation) and of the text below (content). With l kinds of child sequence its importance is
-(1 - g**l) * presentation + g**l * content, g = 0.9; a node of one page has importance 1. Nodes under
-``least`` importance on ``pages`` pages or more are removed as whole branches; article and main elements, and
-what holds them, never are. Branches that say of themselves that they are menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles or comments go on any page. Pages with article (else main) elements
-keep only those.
-
-The tree is never built in one place: tasks count (host, path, children, text) digests, which are added up by
-key. The list of removed paths is sent to tasks only if its counted rows are few; else it is joined by host
+(1 - g**l) * presentation + g**l * content, g = 0.9; a node of one page has importance 1. Pages of a host with
+one and the same text count as one page, so copies make nothing unimportant. A branch is removed if it is on
+``at_pages`` pages or more and its importance, the entropy of its text and those of all nodes below are under
+``least``; so text that differs from page to page stays, however many pages or layouts the host has. Article
+and main elements, and paths that hold them on any page of the host, never are removed. Branches that say of
+themselves that they are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
+comments go on any page. Pages with article (else main) elements keep only those.
+
+The tree is never built in one place: tasks write (host, path, page text, children, text) digests and the pairs
+of a path and a path above it, which are added up and joined by key. The list of removed paths is sent to tasks only if its counted rows are few; else it is joined by host
 with salt, so a host with a third of all pages is no one's task.
 
 Text: character references are decoded, white space inside a block is one space, blocks are trimmed and
@@ -25,7 +27,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -75,6 +76,7 @@ class Page:
     def __init__(self, html: str, removed: frozenset[int] = frozenset(), nodes: bool = False):
         self.blocks: list[tuple[int, str]] = []  # (2 in article, 1 in main, 0 elsewhere; text)
         self.nodes: dict[str, list] | None = {} if nodes else None
+        self.holders: set[str] = set()  # paths of nodes that hold article or main; only with ``nodes``
         self._text: list[str] = []
         self._stack: list[tuple[str, str, bool, int]] = []  # tag, path, skipped, main kind
         self._walk(html, removed)
@@ -99,6 +101,8 @@ class Page:
         path = f"{path}/{name}"
         kind = max(kind, 2 if tag == "article" else 1 if tag == "main" else 0)
         skip = skip and not (tag == "header" and kind)
+        if tag in MAIN and self.nodes is not None:
+            self.holders.update(x[1] for x in self._stack if x[1] in self.nodes)
         container = tag in BLOCK and (tag not in CLOSES_P or tag in ("div", "section", "ul", "ol", "nav", "aside", "article", "main", "header", "footer", "table", "form", "dl", "figure") or "." in name)
         if container and tag not in MAIN and tag not in ("body", "html"):
             if self.nodes is not None:
@@ -172,26 +176,58 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def style_nodes(pages: DataFrame) -> DataFrame:
-    """host, path, children, words, n: how many pages of a host have this node with these children and this text."""
+#: Kinds of the rows of `style_rows`.
+NODE, ABOVE, HOLDER = 0, 1, 2
+
+
+def _above(path: str, nodes: dict[str, list]) -> list[str]:
+    """The nodes of a page that a path goes through."""
+    found = []
+    while path := path.rpartition("/")[0]:
+        if path in nodes:
+            found.append(path)
+    return found
+
+
+def style_rows(pages: DataFrame) -> DataFrame:
+    """kind, host, path, other, children, words: NODE, a page (its text is ``other``) has this node; ABOVE, the
+    node ``other`` is above this path; HOLDER, the path holds an article or main. Rows may repeat."""
     ship(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter[tuple[int, int, int, int]] = Counter()
+            seen: dict[tuple[int, int, int, int, int, int], None] = {}
+            known: set[tuple[int, str]] = set()
             for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                host = digest(host_of(url))
-                for path, (children, texts) in Page(html or "", nodes=True).nodes.items():
-                    seen[host, digest(path), digest(",".join(dict.fromkeys(children))), digest("\n".join(texts))] += 1
-            cols = list(zip(*seen)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols] + [pa.array(list(seen.values()), pa.int64())], names=["host", "path", "children", "words", "n"])
+                host, page = digest(host_of(url)), Page(html or "", nodes=True)
+                text = digest(page.text())
+                for path, (children, texts) in page.nodes.items():
+                    key = digest(path)
+                    seen[NODE, host, key, text, digest(",".join(dict.fromkeys(children))), digest("\n".join(texts))] = None
+                    if (host, path) not in known:
+                        known.add((host, path))
+                        for up in _above(path, page.nodes):
+                            seen[ABOVE, host, key, digest(up), 0, 0] = None
+                for path in page.holders:
+                    seen[HOLDER, host, digest(path), 0, 0, 0] = None
+            cols = list(zip(*seen)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["kind", "host", "path", "other", "children", "words"])
+
+    return pages.select("url", "html").mapInArrow(run, "kind long, host long, path long, other long, children long, words long")
 
-    found = pages.select("url", "html").mapInArrow(run, "host long, path long, children long, words long, n long")
-    return found.groupBy("host", "path", "children", "words").agg(F.sum("n").alias("n"))
+
+def _counted(rows: DataFrame) -> DataFrame:
+    once = rows.where(F.col("kind") == NODE).groupBy("host", "path", "other").agg(F.min(F.struct("children", "words")).alias("x"))
+    return once.groupBy("host", "path", "x.children", "x.words").agg(F.count(F.lit(1)).alias("n"))
+
+
+def style_nodes(pages: DataFrame) -> DataFrame:
+    """host, path, children, words, n: how many different page texts of a host have this node with these children and this text."""
+    return _counted(style_rows(pages))
 
 
 def importance(nodes: DataFrame, decay: float = 0.9) -> DataFrame:
-    """host, path, pages, importance of every node of the merged trees."""
+    """host, path, pages, importance, e_words (the entropy of its text) of every node of the merged trees."""
 
     def entropy(kind: str) -> DataFrame:
         by = nodes.groupBy("host", "path", kind).agg(F.sum("n").alias("n"))
@@ -201,15 +237,25 @@ def importance(nodes: DataFrame, decay: float = 0.9) -> DataFrame:
 
     both = entropy("children").join(entropy("words").drop("pages", "kinds"), ["host", "path"])
     fade = F.pow(F.lit(decay), F.col("kinds"))
-    return both.select("host", "path", "pages", ((1 - fade) * F.col("e_children") + fade * F.col("e_words")).alias("importance"))
+    return both.select("host", "path", "pages", ((1 - fade) * F.col("e_children") + fade * F.col("e_words")).alias("importance"), "e_words")
+
+
+def low_branches(pages: DataFrame, least: float = 0.2, at_pages: int = 10) -> DataFrame:
+    """host, path of the branches to remove: nothing in them reaches ``least``, and they hold no article or main."""
+    rows = materialize(style_rows(pages), "nodes")
+    scored = materialize(importance(_counted(rows)), "scored")
+    is_low = (F.col("importance") < least) & (F.col("e_words") < least)
+    above = rows.where(F.col("kind") == ABOVE).select("host", "path", "other").distinct()
+    kept = scored.where(~is_low).select("host", "path").join(above, ["host", "path"]).select("host", F.col("other").alias("path"))
+    kept = kept.union(rows.where(F.col("kind") == HOLDER).select("host", "path")).distinct()
+    return scored.where(is_low & (F.col("pages") >= at_pages)).select("host", "path").join(kept, ["host", "path"], "left_anti")
 
 
 def main_text(pages: DataFrame, least: float = 0.2, at_pages: int = 10, sent_rows: int = 200_000, salts: int = 32) -> DataFrame:
     """page_id, url, text, n_chars of all pages."""
     spark = pages.sparkSession
     ship(spark)
-    low = importance(style_nodes(pages)).where((F.col("importance") < least) & (F.col("pages") >= at_pages)).select("host", "path")
-    low = materialize(low, "low")
+    low = materialize(low_branches(pages, least, at_pages), "low")
     rows = pages.select("page_id", "url", "html")
     kind = pages.schema["page_id"].dataType.simpleString()
     if low.limit(sent_rows + 1).count() <= sent_rows:

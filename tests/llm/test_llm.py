@@ -436,6 +436,32 @@ def test_style_tree_removes_branches_that_repeat(spark):
         assert all("Follow" not in got[i] and got[i] for i in range(40))
 
 
+def test_style_tree_keeps_text_of_copied_and_large_hosts(spark):
+    from docloom.llm.sitetree import importance, main_text, style_nodes
+
+    rnd = random.Random(9)
+    bar = "<div class=x1><p>Follow us now</p></div>"
+    page = lambda text, wrap="x2": f"<body>{bar}<div class={wrap}>{text}</div></body>"
+    one = page(f"<p>{words(rnd, 9)}</p>")
+    rows = [(i, "http://copies.org/", one) for i in range(15)]
+    rows += [(100 + i, "http://most.org/", one if i < 990 else page(f"<p>own {i} {words(rnd, 9)}</p>")) for i in range(1000)]
+    # 45 layouts on many pages, text all different: the importance of the wrapper alone is low
+    layouts = [list(p) for p in itertools.product(["p", "h2", "h3", "ul", "pre"], repeat=2)] + [list(p) for p in itertools.permutations(["p", "h4", "ul", "h5"], 3)][:20]
+    shape = lambda i: layouts[rnd.randrange(45)] if i % 4 == 0 else layouts[0]
+    rows += [(10000 + i, "http://large.org/", page("".join(f"<{t}>{i} {words(rnd, 2)}</{t}>" for t in shape(i)), "x3")) for i in range(4000)]
+    # a wrapper whose own text repeats, with an article on some pages
+    rows += [(20000 + i, "http://main.org/", f"<body><div class=x4>{'<article><p>Same</p></article>' if i % 2 else 'Same'}</div><p>{i}</p></body>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    own = importance(style_nodes(pages)).where("pages = 4000 and e_words > 0.99").collect()
+    assert own and all(r.importance < 0.2 for r in own)
+    for sent in (100, 0):
+        got = {r.page_id: r.text for r in main_text(pages, sent_rows=sent).collect()}
+        assert all(got[i].startswith("Follow us now\n") and len(got[i]) > 20 for i in range(15))  # one text: nothing is known to repeat
+        assert all(got[100 + i] and "Follow" not in got[100 + i] for i in range(1000)) and all(f"own {i}" in got[100 + i] for i in range(990, 1000))
+        assert all("Follow" not in got[10000 + i] and str(i) in got[10000 + i] for i in range(4000))
+        assert all(got[20000 + i] == ("Same" if i % 2 else f"Same\n{i}") for i in range(40))
+
+
 # --- media and shards -----------------------------------------------------------------------------------
 
 
