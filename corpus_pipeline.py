@@ -31,7 +31,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learnt languages: not ``und``, and not under the least confidence."""
+    """Documents in one of the learnt languages: not ``und``, and not under the least confidence.
+
+    Text that does not fit the language that the machines choose (a language never learnt, random letters, encoded
+    data) scores near 0.
+    """
     lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
     found = identify(docs, learn_languages(docs), lang, score)
     return found.where((F.col(lang) != "und") & (F.col(score) >= LANGUAGE_THRESHOLD)).drop(lang, score)

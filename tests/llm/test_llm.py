@@ -376,6 +376,23 @@ def test_language_without_letters(spark, odd):
     assert got[3][0] in ("en", "fr", "de") and got[8][0] != "und"
 
 
+def test_language_stage_rejects_text_of_no_learnt_language(spark, sf):
+    import corpus_pipeline as C
+    from docloom.llm.langid import identify, learn
+
+    rnd = random.Random(3)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    some = lambda letters, n: "".join(rnd.choices(letters, k=n))
+    junk = [some("abcdefghijklmnopqrstuvwxyz ", 400), some("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 600), some("0123456789abcdef", 300), "Кошка сидит на ковре и смотрит на птиц в саду. " * 3, "人人生而自由,在尊严和权利上一律平等。" * 5]
+    junk += ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. " * 3, "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. " * 2, "De kat zit op de mat en kijkt naar de vogels in de tuin terwijl het regent. " * 3]
+    more = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(junk)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in C.language(spark, docs.union(more), sf).select("doc_id").collect()}
+    assert not [junk[i - 10**9] for i in kept if i >= 10**9]
+    rows = identify(docs, learn(docs)).collect()
+    lettered = [r for r in rows if r.lang_pred != "und"]
+    assert len({r.doc_id for r in lettered} & kept) >= 0.99 * len(lettered)
+
+
 def test_svm_separates():
     from docloom.llm.langid import fit_svm
 
