@@ -15,12 +15,25 @@ from docloom.sources.tables import ledger, table, with_ledgers
     FROM (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<(?:script|style)[^>]*>.*?</(?:script|style)>', '', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS visible FROM pages)
     WHERE NOT regexp_matches(title || ' ' || left(visible, 1200), '(?i)casino')""")
 def k01_page_class(spark, sf):
+    p = _classed(spark, sf)
+    return p.where(~F.concat_ws(" ", "title", F.substring("visible", 1, 1200)).rlike("(?i)casino")).select("page_id", "class")
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 17 = 0 THEN 'HTTP_ERROR' WHEN length(visible) < 3000 AND regexp_matches(title || ' ' || visible, '(?i)not found|bad gateway') THEN 'SOFT_ERROR'
+        WHEN length(visible) < 80 THEN 'JS_SHELL' ELSE 'ACCESSIBLE_HTML' END AS class
+    FROM (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<(?:script|style)[^>]*>.*?</(?:script|style)>', '', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS visible FROM pages)""")
+def k01_page_class_all(spark, sf):
+    """All pages; k01_page_class, as its SQL, leaves out those with a certain word."""
+    return _classed(spark, sf).select("page_id", "class")
+
+
+def _classed(spark, sf):
     p = table(spark, sf, "pages").withColumn("title", F.regexp_extract("html", "<title>([^<]*)</title>", 1))
     visible = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace("html", "(?s)<(?:script|style)[^>]*>.*?</(?:script|style)>", ""), "<[^>]*>", " "), r"\s+", " "))
     p = p.withColumn("visible", visible)
     scripts, inputs, links = F.regexp_count("html", F.lit("<script")), F.regexp_count("html", F.lit("<input")), F.regexp_count("html", F.lit("<a "))
     p = p.withColumn("class", S.page_class(F.col("title"), F.col("visible"), scripts, inputs, links, F.when(F.col("page_id") % 17 == 0, 500).otherwise(200), F.col("html")))
-    return p.where(~F.concat_ws(" ", "title", F.substring("visible", 1, 1200)).rlike("(?i)casino")).select("page_id", "class")
+    return p
 
 
 _PAGES = "SELECT doc_id AS document_id, n AS page, (doc_id * 7 + n * 31) % 400 AS native_text_chars, (doc_id * 13 + n * 5) % 30 / 1000.0 AS ink_ratio FROM documents, (SELECT unnest(range(1, 4)) AS n)"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import random
+import re
 import zipfile
 
 import pytest
@@ -180,3 +182,43 @@ def test_dominance_equals_brute_force(spark):
 def test_legacy_lines():
     a, b = X._legacy_map()
     assert len(a) == len(b) and dict(zip(a, b))["µ"] == "à"
+
+
+def _redacted(text):
+    """Token, e-mail, mobile and id counts and the text, by runs of digits."""
+    counts = {}
+    text, counts["token"] = re.subn("gAAAA[A-Za-z0-9_=-]+", "[REDACTED_TOKEN]", text)
+    text, counts["email"] = re.subn(r"[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[REDACTED_EMAIL]", text)
+    counts["mobile"] = counts["identity"] = 0
+
+    def run(m):
+        d, x = m[1], m[2]
+        if len(d) == 11 and d[0] == "1" and d[1] in "3456789":
+            counts["mobile"] += 1
+            return "[REDACTED_MOBILE]" + x
+        if len(d) == 18 or (len(d) == 17 and x and not re.match("[0-9]", m.string[m.end() :])):
+            counts["identity"] += 1
+            return "[REDACTED_IDENTITY]" + (x if len(d) == 18 else "")
+        return m[0]
+
+    return counts, re.sub("([0-9]+)([Xx]?)", run, text)
+
+
+def test_redaction_of_all_documents(spark, sf, tmp_path):
+    docs = [(i, t) for i, t in enumerate(["13912345678 a@b.org", "id 11010519491231002X, 123456789012345678x", "gAAAAabc_-= 139123456789", "12345678901234567X1", "none", ""])]
+    docs += [(1000 + r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    from docloom.plans import registry
+
+    got = {r.doc_id: r for r in registry.queries()["h30_redaction_all"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(docs)
+    for i, text in docs:
+        counts, body = _redacted(text)
+        assert {k: got[i][k] for k in counts} == counts and got[i].sha == hashlib.sha256(body.encode()).hexdigest()
+    assert (got[0].mobile, got[0].email, got[1].identity, got[2].token) == (1, 1, 2, 1)
+
+
+def test_page_class_of_all_pages(spark, sf):
+    from docloom.plans import registry
+
+    assert registry.queries()["k01_page_class_all"](spark, sf).count() == spark.read.parquet(f"{sf}/pages.parquet").count()
