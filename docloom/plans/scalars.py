@@ -214,7 +214,19 @@ def h13_legacy_recovery(spark, sf):
         SELECT *, sum(CASE WHEN title THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no) + 9 * coalesce(sum(CASE WHEN top OR section THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no), 0) AS n FROM (
             SELECT *, regexp_matches(text, '^(?i)(the|chapter) ') AS top, regexp_matches(text, '^(?i)(of|mit) ') AS section, regexp_matches(text, '^(?i)(is|a|das) ') AND NOT regexp_matches(text, '^(?i)(the|chapter|of|mit) ') AS title FROM block))"""))
 def h16_heading_recovery(spark, sf):
-    return K.headings(ledger(spark, sf, "block"), "^(?:the|chapter) ", "^(?:of|mit) ", "^(?:is|a|das) ", 2)
+    start = ledger(spark, sf, "block").withColumn("text", F.substring("text", 1, 40))  # as its SQL
+    return K.headings(start, "^(?:the|chapter) ", "^(?:of|mit) ", "^(?:is|a|das) ", 2)
+
+
+@query(with_ledgers("block", sql="""
+    SELECT document_id, block_no, CASE WHEN top THEN '# ' WHEN section THEN '## ' WHEN article THEN '### ' WHEN title AND n <= 2 THEN '# ' ELSE '' END || text AS line FROM (
+        SELECT *, sum(CASE WHEN title THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no) + 9 * sum(CASE WHEN top OR section OR article THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no) AS n FROM (
+            SELECT *, regexp_matches(text, '^(?i)(is|a|das) ') AND NOT top AND NOT section AND NOT article AS title FROM (
+                SELECT *, regexp_matches(text, '^(?i)(by|le) ') AND NOT top AND NOT section AS article FROM (
+                    SELECT *, regexp_matches(text, '^(?i)(the|chapter) ') AS top, regexp_matches(text, '^(?i)(of|mit) ') AS section FROM block))))"""))
+def h16_heading_recovery_whole(spark, sf):
+    """Whole lines and all three levels."""
+    return K.headings(ledger(spark, sf, "block"), "^(?:the|chapter) ", "^(?:of|mit) ", "^(?:is|a|das) ", 2, "^(?:by|le) ")
 
 
 @query("SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'pdf' WHEN 1 THEN 'zip' WHEN 2 THEN 'rtf' WHEN 3 THEN 'json' ELSE 'html' END AS kind FROM pages")

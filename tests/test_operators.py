@@ -222,3 +222,11 @@ def test_page_class_of_all_pages(spark, sf):
     from docloom.plans import registry
 
     assert registry.queries()["k01_page_class_all"](spark, sf).count() == spark.read.parquet(f"{sf}/pages.parquet").count()
+
+
+def test_headings_keep_whole_lines_and_mark_articles(spark):
+    long = "Luật " + "x" * 100
+    lines = [long, "Điều 1. Phạm vi " + "y" * 60, "Luật sau", "Mục 2", "Chương I", "Điều kiện"]
+    rows = spark.createDataFrame([(1, i, t) for i, t in enumerate(lines)], "document_id long, block_no long, text string")
+    got = [r.line for r in K.headings(rows, "^(?:phần|chương) ", "^(?:mục|tiểu mục) ", "^luật ", 2, r"^(?:điều|Điều)\s+\d+[a-zA-Z]?(?:\s*[.:]|$)").orderBy("block_no").collect()]
+    assert got == ["# " + long, "### " + lines[1], "Luật sau", "## Mục 2", "# Chương I", "Điều kiện"]
