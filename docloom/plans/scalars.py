@@ -176,7 +176,7 @@ def h04_clean_value(spark, sf):
 
 @query()
 def h05_safe_name(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.mapped(X.safe_name)(F.substring("text", 1, 400)).alias("name"))
+    return table(spark, sf, "documents").select("doc_id", X.mapped(X.safe_name)("text").alias("name"))
 
 
 @query("SELECT p_partkey, replace(p_name, ' ', '_') || '_' || left(sha256(p_type), 8) || CASE WHEN p_size % 3 = 0 THEN '_' || lpad(CAST(p_size AS VARCHAR), 2, '0') ELSE '' END || '.md' AS file FROM part")
@@ -334,6 +334,6 @@ def h22_html_to_markdown(spark, sf):
 
 @query()
 def h15_rtf_text(spark, sf):
-    raw = F.concat(F.lit("{\\rtf1{\\fonttbl{\\f0 Arial;}}\\b "), F.regexp_replace(F.regexp_replace(F.substring("text", 1, 2000), r"[\\{}]", ""), "\n", "\\\\par "), F.lit("}"))
+    raw = F.concat(F.lit("{\\rtf1{\\fonttbl{\\f0 Arial;}}\\b "), F.regexp_replace(F.regexp_replace("text", r"[\\{}]", ""), "\n", "\\\\par "), F.lit("}"))
     d = table(spark, sf, "documents").select("doc_id", F.encode(raw, "utf-8").alias("body"))
     return d.select("doc_id", X.mapped(K.rtf_text)("body").alias("text"))

@@ -230,3 +230,14 @@ def test_headings_keep_whole_lines_and_mark_articles(spark):
     rows = spark.createDataFrame([(1, i, t) for i, t in enumerate(lines)], "document_id long, block_no long, text string")
     got = [r.line for r in K.headings(rows, "^(?:phần|chương) ", "^(?:mục|tiểu mục) ", "^luật ", 2, r"^(?:điều|Điều)\s+\d+[a-zA-Z]?(?:\s*[.:]|$)").orderBy("block_no").collect()]
     assert got == ["# " + long, "### " + lines[1], "Luật sau", "## Mục 2", "# Chương I", "Điều kiện"]
+
+
+def test_names_and_rtf_read_whole_texts(spark, tmp_path):
+    from docloom.plans import registry
+
+    texts = [" ._" * 200 + "Name", "word " * 3000 + "end", "a"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    names = {r.doc_id: r.name for r in registry.queries()["h05_safe_name"](spark, str(tmp_path)).collect()}
+    assert names == {i: X.safe_name(t) for i, t in enumerate(texts)} and names[0] == "Name"
+    rtf = {r.doc_id: r.text for r in registry.queries()["h15_rtf_text"](spark, str(tmp_path)).collect()}
+    assert rtf[1].split() == texts[1].split()
