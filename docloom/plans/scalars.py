@@ -322,8 +322,8 @@ def a12_page_json(spark, sf):
 
 
 @query()
-def a08_k10_page_anchors(spark, sf):
-    """Anchors of all pages with text, resolved address and whether they leave the host."""
+def a08_page_anchors(spark, sf):
+    """Anchors of all pages with text, resolved address and whether they leave the host."""
     return K.anchors(table(spark, sf, "pages"))
 
 

@@ -241,3 +241,9 @@ def test_names_and_rtf_read_whole_texts(spark, tmp_path):
     assert names == {i: X.safe_name(t) for i, t in enumerate(texts)} and names[0] == "Name"
     rtf = {r.doc_id: r.text for r in registry.queries()["h15_rtf_text"](spark, str(tmp_path)).collect()}
     assert rtf[1].split() == texts[1].split()
+
+
+def test_no_query_claims_page_inspection():
+    from docloom.plans import registry
+
+    assert "a08_page_anchors" in registry.queries() and not [q for q in registry.queries() if "k10" in q.split("_")]
