@@ -12,6 +12,8 @@ trigrams, plus its standard error, as a share of the median that held-back halve
 from 0 to 1. Other languages, random letters and encoded data come out near 0. A language whose halves say
 nothing of each other (one or few texts) has fit 1.
 
+Every language that occurs is learnt; machines grow with the square of the languages in a node.
+
 Only text and non-null lang of rows whose crc32(doc_id as text) mod 5 is not 0 are learnt from.
 
 Defined results: null text and text without a letter are ``und`` with score 0; without any row to learn from
@@ -46,6 +48,8 @@ _FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 DIMS = 4096
 #: Texts whose trigram counts a task holds at once.
 ROWS = 256
+#: Texts that all languages are learnt from (the driver holds their shares), and the least for each of many languages.
+SAMPLE, LEAST = 28_000, 30
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
@@ -230,7 +234,7 @@ def fit(langs: list[str], shares: np.ndarray) -> Model:
             at = np.flatnonzero((labels == children[a]) | (labels == children[b]))
             y = np.where(labels[at] == children[a], 1.0, -1.0)
             w = fit_svm(x, y, rows=at)
-            curves.append(_platt((x @ w[:-1].astype(np.float32))[at] + w[-1], y))
+            curves.append(_platt(x[at] @ w[:-1].astype(np.float32) + w[-1], y))
             nodes[name].append((a, b, len(machines)))
             machines.append(w)
 
@@ -266,16 +270,17 @@ def _shares(rows: DataFrame) -> tuple[list[str], np.ndarray]:
     return [r["lang"] for r in found], shares
 
 
-def learn(docs: DataFrame, per_language: int = 700, most_languages: int = 40) -> Model:
-    """Fits on at most about ``per_language`` texts of each of the ``most_languages`` most frequent languages."""
+def learn(docs: DataFrame, per_language: int = 700) -> Model:
+    """Fits on at most about ``per_language`` texts of every language, fewer if all would be over SAMPLE (but LEAST)."""
     ship(docs.sparkSession)
     open_ = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = open_.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    counts = open_.groupBy("lang").count().collect()
+    if not counts:
+        return fit([], np.zeros((0, DIMS), np.float32))
+    per_language = min(per_language, max(LEAST, SAMPLE // len(counts)))
     draw = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") / float(2**53)
-    keep = F.lit(False)
-    for r in sorted(counts, key=lambda r: r["lang"]):
-        keep = keep | ((F.col("lang") == r["lang"]) & (draw < min(1.0, per_language / r["count"])))
-    return fit(*_shares(open_.where(keep).limit(2 * per_language * max(1, len(counts)))))
+    rate = F.create_map(*[F.lit(x) for r in sorted(counts, key=lambda r: r["lang"]) for x in (r["lang"], min(1.0, per_language / r["count"]))])
+    return fit(*_shares(open_.where(draw < rate[F.col("lang")]).limit(2 * per_language * len(counts))))
 
 
 def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "lang_score") -> DataFrame:

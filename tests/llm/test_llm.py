@@ -393,6 +393,21 @@ def test_language_stage_rejects_text_of_no_learnt_language(spark, sf):
     assert len({r.doc_id for r in lettered} & kept) >= 0.99 * len(lettered)
 
 
+def test_every_language_is_learnt(spark):
+    from docloom.llm.langid import learn
+
+    rnd = random.Random(4)
+    roots = [["".join(rnd.choices("abcdefghijklmnoprstuvz", k=5)) for _ in range(12)] for _ in range(45)]
+    rows = [(100 * k + i, " ".join(rnd.choices(roots[k], k=30)), f"l{k:02}") for k in range(45) for i in range(14 if k < 44 else 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = learn(docs, per_language=10)
+    assert sorted(x for v in model.languages.values() for x in v) == sorted({r[2] for r in rows})
+    data = [r[1].encode() for r in rows]
+    found, _ = model.predict(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    assert sum(a == r[2] for a, r in zip(found, rows)) >= 0.97 * len(rows)
+    assert all(a == r[2] for a, r in zip(found, rows) if r[2] == "l44")
+
+
 def test_svm_separates():
     from docloom.llm.langid import fit_svm
 
