@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,9 +27,11 @@ MASK = (1 << 64) - 1
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one is set only where none is configured (local tests)."""
+    """The cluster's shared folder; a temporary one is set only where none is configured and all tasks run on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="docloom-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -66,10 +69,32 @@ def drop_table(spark: SparkSession, path: str) -> None:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cuts lineage: writes ``df`` as Parquet to the shared folder and reads it again."""
+    return written(df, label)[0]
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``materialize``, with the path, for tables that are dropped before the application ends."""
     spark = df.sparkSession
     path = workspace(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def positioned(df: DataFrame) -> tuple[DataFrame, str, str]:
+    """``df`` with two more columns, and their names: a hash of a row's file and its number there.
+
+    That tells equal rows apart, and is the same in every read. What does not come from Parquet files is written first.
+    """
+    file, row = free_name(df, "_file"), free_name(df, "_row")
+    for once in (df, None):
+        once = materialize(df, "rows") if once is None else once
+        try:
+            meta = once.metadataColumn("_metadata")
+            return once.select("*", F.xxhash64(meta["file_path"]).alias(file), meta["row_index"].alias(row)), file, row
+        except AnalysisException:
+            if once is not df:
+                raise
+    raise AssertionError("unreachable")
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -109,16 +134,17 @@ def with_arrow_columns(docs: DataFrame, column: str, make, added: list[tuple[str
 # --- ranks ----------------------------------------------------------------------------------------
 
 
-def ranked(df: DataFrame, group: list[str], order: list[Column], rank: str, spread: Column, rows_per_bucket: int = 20_000) -> DataFrame:
+def ranked(df: DataFrame, group: list[str], order: list[Column], rank: str, rows_per_bucket: int = 20_000) -> DataFrame:
     """``df`` with a gapless rank from 0 in each group, however many rows one group holds.
 
-    A group is cut into hash buckets of about ``rows_per_bucket`` rows; rows are numbered inside
-    their bucket and shifted by the rows of earlier buckets, so no task sees a whole hot group.
-    ``df`` must be cheap to read twice (a written table). Ties in ``order`` get any order.
+    A group is cut into buckets of about ``rows_per_bucket`` rows by a hash of a row's place in the written table, so
+    equal rows spread, too; rows are numbered inside their bucket and shifted by the rows of earlier buckets, so no
+    task sees a whole hot group. ``df`` must be a written table. Ties in ``order`` get any order.
     """
     total = df.groupBy(*group).count().agg(F.max("count").alias("n")).first()["n"] or 0
     n = max(1, -(-total // rows_per_bucket))
-    tagged = df.withColumn("_b", F.pmod(spread, F.lit(n)).cast("int"))
+    placed, file, row = positioned(df)
+    tagged = placed.withColumn("_b", F.pmod(F.xxhash64(file, row), F.lit(n)).cast("int")).drop(file, row)
     w = Window.partitionBy(*group, "_b").orderBy(*order)
     if n == 1:
         return tagged.withColumn(rank, (F.row_number().over(w) - 1).cast("long")).drop("_b")
@@ -147,25 +173,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """Word bytes to a 64-bit hash; a bounded cache that is emptied when full (results don't change)."""
-
-    def __init__(self, most: int = 1 << 20):
-        super().__init__()
-        import xxhash
-
-        self.most, self.digest = most, xxhash.xxh3_64_intdigest
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = h = self.digest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 

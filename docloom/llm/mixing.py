@@ -1,32 +1,40 @@
 """Mixing sources to target weights by a low-discrepancy schedule over shuffled equal-token blocks.
 
-1. A source's documents stand on a tape in keyed shuffled order, again and again up to ``most`` times.
-2. Targets: weights share all words; a source stops at ``most`` times its size and the excess is shared
-   again by weight (on the driver, one row a source).
-3. The first round(target) words of a tape are cut in blocks of ``block`` words (the last may be shorter).
-4. Slot i's golden-ratio point frac((i + 1) / phi) falls into one source's share of the blocks; slots are
-   ranked per source (in chunks of slots, so no task holds a source's slots), and rank r takes block r.
-   Blocks whose rank the points have not reached by the end follow after the last slot.
-5. A document's words in the mix are the words of scheduled blocks that it covers.
-
-Defined results: null or blank text has size 0 and is never taken; null is a source of its own, after all
-others; repeated rows are documents of their own; an empty table gives an empty result; other columns are
-ignored.
+1. A source's documents stand on a tape in keyed shuffled order, again and again up to ``most`` times. The tape is
+   cut in blocks of equal words.
+2. Targets: weights share all words; a source stops at ``most`` times its size and the excess is shared again by
+   weight (on the driver, one row a source; sources are taken to be thousands at most).
+3. The mix has as many slots as blocks fill all words. Slot i's golden-ratio point frac((i + 1) / phi), exact in 62
+   bits, falls into one source's share of the cumulative targets. Slots are ranked per source, in chunks, so no task
+   holds a source's slots; the slot with rank r plays block r of its source's tape.
+4. A document's words in the mix are those of its words that slots play. So a source's words come from its slots: by
+   the points' discrepancy they stay within a few blocks of its target, in every stretch of the mix as in the whole. A
+   block has at most ``block`` words, fewer where all words would not fill ``least_slots`` slots, so the few blocks
+   weigh little at any size. Slots beyond a tape's end (``most`` times through) play nothing.
+
+Equal rows are counted first and stand side by side on the tape, so repeated rows are not one task's work, and
+results depend on the rows alone, not on how they are split.
+
+Defined results: null or blank text has size 0 and is never taken; null is a source of its own, after all others;
+repeated rows are documents of their own, each with its own place; ties (equal shuffle keys) stand in order of
+doc_id and row hash; a very long text covers several blocks, which may stand in slots far apart; an empty table gives
+an empty result; other columns are ignored by ``mix`` and kept by ``mixed_documents``, whatever their names.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docloom.llm.common import WORD, materialize, quoted
+from docloom.llm.common import WORD, materialize, positioned, quoted
 
 #: Weights of sources in order, repeating (fixed value of the contract).
 WEIGHTS = (5.0, 2.0, 1.0)
-GOLDEN = 0.6180339887498949
+#: The golden ratio's fraction in units of 2**-62.
+GOLDEN = 2850178704830799621
+UNIT = 1 << 62
+_HALF = (1 << 31) - 1
 
 
 def targets(sizes: list[int], weights: list[float], most: float) -> list[float]:
@@ -46,106 +54,131 @@ def targets(sizes: list[int], weights: list[float], most: float) -> list[float]:
     return out
 
 
-def _sources(spark: SparkSession, sized: DataFrame, most: int, block: int) -> tuple[DataFrame, list]:
-    """One row a source (the list of sources is taken to be small): its tape, target and share of blocks."""
-    found = sized.groupBy("source").agg(F.sum("size").alias("n")).collect()
-    found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))  # code points, null last
-    sizes = [r["n"] for r in found]
-    want = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(sizes))], most)
-    take = [min(round(t), most * n) for t, n in zip(want, sizes)]
-    blocks = [-(-t // block) for t in take]
-    edges, at = [], 0
-    for n in blocks:
-        edges.append((at / max(1, sum(blocks)), (at + n) / max(1, sum(blocks))))
-        at += n
-    rows = [(i, r["source"], n, t, k, b) for i, (r, n, t, k, b) in enumerate(zip(found, sizes, want, take, blocks))]
-    schema = "source_no int, source string, source_size long, target double, take long, blocks long"
-    return spark.createDataFrame(rows, schema), edges
-
-
-def schedule(spark: SparkSession, edges: list[tuple[float, float]], blocks: list[int], chunk: int = 8192) -> DataFrame:
-    """(source_no, block, slot): slot order of every source's blocks by golden-ratio points."""
-    slots = sum(blocks)
-    ups = [up for _, up in edges]
-    point = (F.col("id") + 1).cast("double") * GOLDEN
-    # binary search of the point among the sources' upper edges, as a balanced tree of conditions
+def point(slot: Column, step: int = GOLDEN) -> Column:
+    """(slot + 1) * step modulo 2**62, exact for slots below 2**61: no product passes 63 bits."""
+    i = slot + F.lit(1)
+    low, high = i.bitwiseAND(F.lit(_HALF)), F.shiftright(i, 31)
+    middle = (low * F.lit(step >> 31) + high * F.lit(step & _HALF)).bitwiseAND(F.lit(_HALF))
+    return (low * F.lit(step & _HALF) + F.shiftleft(middle.cast("long"), 31)).bitwiseAND(F.lit(UNIT - 1))
+
+
+def edges(want: list[float]) -> list[int]:
+    """Upper ends of the sources' shares of the unit, in units of 2**-62."""
+    whole, out, so_far = sum(want), [], 0.0
+    for t in want:
+        so_far += t
+        out.append(min(UNIT, int(so_far / whole * UNIT)) if whole else 0)
+    return [*out[:-1], UNIT] if out else out
+
+
+def schedule(spark: SparkSession, ups: list[int], slots: int, chunk: int = 8192, step: int = GOLDEN) -> DataFrame:
+    """(source_no, block, slot): the source that each slot's point falls to, and the slot's rank among that source's."""
+    if not slots:
+        return spark.createDataFrame([], "source_no int, block long, slot long")
     x = F.col("point")
 
-    def find(low: int, high: int):
+    def find(low: int, high: int) -> Column:
+        """Binary search among the upper ends, as a balanced tree of conditions."""
         if low == high:
             return F.lit(low)
         mid = (low + high) // 2
         return F.when(x < ups[mid], find(low, mid)).otherwise(find(mid + 1, high))
 
-    if not slots:
-        return spark.createDataFrame([], "source_no int, block long, slot long")
-    last = bisect_left(ups, 1.0)
-    table = spark.range(slots).withColumn("point", point - F.floor(point)).select(F.col("id").alias("slot"), find(0, last).cast("int").alias("source_no"))
-    table = table.withColumn("chunk", F.floor(F.col("slot") / chunk))
+    table = spark.range(slots).select(F.col("id").alias("slot"), point(F.col("id"), step).alias("point"))
+    table = table.select("slot", find(0, len(ups) - 1).cast("int").alias("source_no"), F.floor(F.col("slot") / chunk).alias("chunk"))
     inside = Window.partitionBy("source_no", "chunk").orderBy("slot")
     before = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = table.groupBy("source_no", "chunk").agg(F.count(F.lit(1)).alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    ranks = table.withColumn("r", F.row_number().over(inside) - 1).join(base, ["source_no", "chunk"]).select("source_no", (F.col("r") + F.col("base")).alias("block"), "slot")
-    counts = spark.createDataFrame([(i, n) for i, n in enumerate(blocks)], "source_no int, blocks long")
-    kept = materialize(ranks.join(F.broadcast(counts), "source_no").where("block < blocks").select("source_no", "block", "slot"), "slots")
-    # blocks that the points did not reach stand at the end, by source and block
-    reached = kept.groupBy("source_no").agg(F.count(F.lit(1)).alias("n"))
-    short = counts.join(reached, "source_no", "left").select("source_no", F.coalesce("n", F.lit(0)).alias("n"), "blocks").where("n < blocks")
-    late = short.select("source_no", F.explode(F.expr("sequence(n, blocks - 1)")).alias("block"))
-    return kept.unionByName(late.select("source_no", "block", (F.lit(slots) + F.col("source_no") * F.lit(1)).cast("long").alias("slot")))
+    ranks = table.withColumn("r", F.row_number().over(inside) - 1).join(base, ["source_no", "chunk"])
+    return ranks.select("source_no", (F.col("r") + F.col("base")).alias("block"), "slot")
+
+
+def _row_keys(docs: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a row's columns (maps, which have no hash, left out)."""
+    cells = quoted([f.name for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    return [F.xxhash64(*cells).alias("row_a"), F.xxhash64(F.lit(1), *cells).alias("row_b")]
 
 
-def row_hash(docs: DataFrame) -> Column:
-    """A hash of a row's columns (maps, which have no hash, left out)."""
-    return F.xxhash64(*quoted([f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]))
+def _exploded(copies: Column, chunk: int = 4096) -> tuple[Column, Column]:
+    """Two generators for the numbers 0 to ``copies`` - 1: chunks, then numbers of the chunk ``_chunk``; no long array."""
+    outer = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / chunk)))
+    first = F.col("_chunk") * chunk
+    return outer, F.explode(F.sequence(first, F.least(first + (chunk - 1), copies - 1)))
 
 
-def mix(docs: DataFrame, most: int = 3, block: int = 2048, seed: int = 1) -> DataFrame:
-    """doc_id, size, source_size, target, taken, source, first_slot and a hash of each row of ``docs``."""
+def _played(docs: DataFrame, most: int, block: int, least_slots: int, seed: int, step: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Copies (all documents), plays (words of a copy on one turn of its tape that slots play, and where), sources, slots."""
     spark = docs.sparkSession
-    sized = docs.select(
+    at, file, row = positioned(docs)
+    sized = at.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        row_hash(docs).alias("row_hash"),
+        *_row_keys(docs),
+        F.struct(F.col(file).alias("file"), F.col(row).alias("row")).alias("at"),
     )
-    sized = materialize(sized, "sized")
-    table, edges = _sources(spark, sized, most, block)
-    table = materialize(table, "sources")
-    per = {r["source_no"]: r["blocks"] for r in table.collect()}
-    rows = sized.join(F.broadcast(table), sized["source"].eqNullSafe(table["source"])).drop(table["source"])
+    # equal rows become one row with its count, before anything is shuffled by a key
+    rows = materialize(sized.groupBy("doc_id", "source", "size", "row_a", "row_b").agg(F.count(F.lit(1)).alias("copies"), F.min("at").alias("at")), "rows")
+    found = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("n")).collect()  # a row a source
+    found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))  # code points, null last
+    sizes = [r["n"] for r in found]
+    want = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(sizes))], most)
+    total = sum(sizes)
+    block = max(1, min(block, total // least_slots))
+    slots = -(-total // block)
+    sources = materialize(spark.createDataFrame([(i, r["source"], n, t) for i, (r, n, t) in enumerate(zip(found, sizes, want))], "source_no int, source string, source_size long, target double"), "sources")
+    placed = rows.join(F.broadcast(sources.drop("target")), rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])  # a row a source
 
     # the tape: buckets of the shuffled order, then places inside a bucket
-    key = F.xxhash64("doc_id", "row_hash", F.lit(seed))
-    n = max(1, -(-sized.count() // 10_000))
-    rows = rows.withColumn("key", key).withColumn("bucket", F.floor((F.shiftrightunsigned("key", 11)).cast("double") / float(2**53) * n).cast("long"))
+    n = max(1, -(-rows.count() // 10_000))
+    placed = placed.withColumn("key", F.xxhash64("row_a", "row_b", F.lit(seed)))
+    placed = placed.withColumn("bucket", F.floor((F.shiftrightunsigned("key", 11)).cast("double") / float(2**53) * n).cast("long"))
+    words = F.col("size") * F.col("copies")
     before = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = rows.groupBy("source_no", "bucket").agg(F.sum("size").alias("words")).withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
-    inside = Window.partitionBy("source_no", "bucket").orderBy("key", "doc_id", "row_hash").rowsBetween(Window.unboundedPreceding, -1)
-    order = Window.partitionBy("source_no", "bucket").orderBy("key", "doc_id", "row_hash")
-    tape = rows.withColumn("place", F.coalesce(F.sum("size").over(inside), F.lit(0))).withColumn("nth", F.row_number().over(order)).join(base, ["source_no", "bucket"])
-    tape = materialize(tape.withColumn("start", F.col("place") + F.col("base")).drop("place", "base", "key"), "tape")
-
-    # documents on each turn of the tape, cut where blocks end, joined to the slots that take those blocks
-    turns = tape.where("size > 0").select("source_no", "bucket", "nth", "take", "start", "source_size", "size", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("turn"))
-    turns = turns.withColumn("a", F.col("start") + F.col("turn") * F.col("source_size")).where("a < take").withColumn("b", F.least(F.col("a") + F.col("size"), F.col("take")))
-    part = turns.select("source_no", "bucket", "nth", "a", "b", F.explode(F.sequence(F.floor(F.col("a") / block), F.floor((F.col("b") - 1) / block))).alias("block"))
-    part = part.withColumn("words", F.least("b", (F.col("block") + 1) * block) - F.greatest("a", F.col("block") * block))
-    slots = schedule(spark, edges, [per[i] for i in sorted(per)])
-    taken = part.join(slots, ["source_no", "block"]).groupBy("source_no", "bucket", "nth").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
-    out = tape.join(taken, ["source_no", "bucket", "nth"], "left")
-    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source", "first_slot", "row_hash")
-
-
-def mixed_documents(docs: DataFrame, most: int = 3, block: int = 2048, seed: int = 1) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: each document as often as the mix takes its words.
-
-    A document stands round(taken / size) times; at most the two ends of a source's tape are rounded.
+    base = placed.groupBy("source_no", "bucket").agg(F.sum(words).alias("words")).withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
+    inside = Window.partitionBy("source_no", "bucket").orderBy("key", "doc_id", "row_a", "row_b").rowsBetween(Window.unboundedPreceding, -1)
+    tape = placed.withColumn("place", F.coalesce(F.sum(words).over(inside), F.lit(0))).join(base, ["source_no", "bucket"])
+    outer, inner = _exploded(F.col("copies"))
+    copies = tape.withColumn("start", F.col("place") + F.col("base")).drop("place", "base", "key", "bucket").withColumn("_chunk", outer).withColumn("copy", inner)
+    copies = materialize(copies.withColumn("start", F.col("start") + F.col("copy") * F.col("size")).drop("_chunk", "copies"), "tape")
+
+    # each turn of a document, cut where blocks end, joined to the slots that play those blocks
+    turns = copies.where("size > 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("turn")).withColumn("a", F.col("start") + F.col("turn") * F.col("source_size"))
+    part = turns.select("*", F.explode(F.sequence(F.floor(F.col("a") / block), F.floor((F.col("a") + F.col("size") - 1) / block))).alias("block"))
+    first = F.greatest("a", F.col("block") * block)
+    part = part.withColumn("words", F.least(F.col("a") + F.col("size"), (F.col("block") + 1) * block) - first).withColumn("inside", first - F.col("block") * block)
+    played = part.join(schedule(spark, edges(want), slots, step=step), ["source_no", "block"])
+    return copies, played.withColumn("place", F.col("slot") * block + F.col("inside")), sources, slots
+
+
+def mix(docs: DataFrame, most: int = 3, block: int = 2048, least_slots: int = 65_536, seed: int = 1, step: int = GOLDEN) -> DataFrame:
+    """doc_id, size, source_size, target, taken, source, first_slot and first_place of each row of ``docs``.
+
+    ``first_slot`` is the first slot that plays words of the document (null: none does), ``first_place`` the first such
+    word's place in the mix, where every slot has ``block`` places; no two documents share a place.
+    """
+    copies, played, sources, _ = _played(docs, most, block, least_slots, seed, step)
+    keys = ["doc_id", "size", "source_no", "row_a", "row_b", "copy"]
+    # every document once with no words, so those that no slot plays stay, without an outer join on empty keys
+    every = copies.select(*keys, F.lit(0).cast("long").alias("words"), F.lit(None).cast("long").alias("slot"), F.lit(None).cast("long").alias("place"))
+    taken = played.select(*keys, "words", "slot", "place").unionByName(every).groupBy(*keys).agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.min("place").alias("first_place"))
+    out = taken.join(F.broadcast(sources), "source_no")  # a row a source
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "first_slot", "first_place")
+
+
+def mixed_documents(docs: DataFrame, most: int = 3, block: int = 2048, least_slots: int = 65_536, seed: int = 1, step: int = GOLDEN) -> DataFrame:
+    """The mix itself, with the columns of ``docs``, in the order of the slots: partition after partition, row after row.
+
+    A document stands once for each turn of its tape of which slots play half its words or more; so whole documents
+    stand for their words, and only at the end of a source's part are they rounded.
     """
-    names = docs.columns
-    taken = mix(docs, most, block, seed)
-    some = taken.groupBy("doc_id", "row_hash").agg(F.sum(F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5)).cast("int").alias("times")).where("times > 0")
-    row = F.struct(*quoted(names))
-    rows = docs.select(row_hash(docs).alias("_hash"), F.col("doc_id").cast("long").alias("_id"), row.alias("_row")).dropDuplicates(["_id", "_hash"])
-    on = rows["_id"].eqNullSafe(some["doc_id"]) & (rows["_hash"] == some["row_hash"])
-    return rows.join(some, on).select("_row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_turn")).select("_row.*")
+    spark, names = docs.sparkSession, docs.columns
+    _, played, _, slots = _played(docs, most, block, least_slots, seed, step)
+    turns = played.groupBy("row_a", "row_b", "copy", "turn", "size", "at").agg(F.sum("words").alias("words"), F.min("place").alias("place"), F.min("slot").alias("slot"))
+    stands = turns.where(F.col("words") * 2 >= F.col("size")).select(F.col("at.file").alias("_f"), F.col("at.row").alias("_r"), "slot", "place")
+    at, file, row = positioned(docs)
+    rows = at.select(F.col(file).alias("_file"), F.col(row).alias("_row"), F.struct(*quoted(names)).alias("_doc"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    to = F.floor(F.col("slot") * parts / max(1, slots)).cast("int")
+    joined = rows.join(stands, (rows["_file"] == stands["_f"]) & (rows["_row"] == stands["_r"]))
+    return joined.select("_doc", "place", to.alias("_to")).repartitionById(parts, "_to").sortWithinPartitions("place").select("_doc.*")

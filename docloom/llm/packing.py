@@ -3,11 +3,14 @@
 Lengths are integers of at most ``capacity``, so an instance of any size is its histogram of at most
 ``capacity`` counts. The driver gets that histogram only, fixes item sets that provably dominate all
 others (the reduction works on whole counts), best-fits what is left, and gets runs of equal bins.
-Each piece then finds its bin by its rank among pieces of equal length; ranks are dealt in hash
-buckets, so a length that a third of all pieces share is not one task's work.
-
-Defined results: null text is empty and has only the end id; equal rows are packed each on its own;
-an empty table gives an empty result; other columns are ignored.
+Each piece then finds its bin by its rank among pieces of equal length; ranks are dealt in buckets of
+places in the written table, so a length that a third of all pieces share, or equal rows, are not one
+task's work.
+
+Defined results: null text is empty and has only the end id; a very long text is cut in as many pieces as
+it needs, all but the last of ``capacity``; equal rows are packed each on its own, and pieces of equal
+length take any of the places for that length; an empty table gives an empty result; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -205,8 +208,7 @@ def pack(lengths: DataFrame, capacity: int) -> DataFrame:
     counts = {r["length"]: r["count"] for r in lengths.groupBy("length").count().collect()}  # at most `capacity` rows
     runs, _ = plan(counts, capacity)
     sent = spark.sparkContext.broadcast(runs)  # at most a few runs for each of `capacity` sizes
-    spread = F.xxhash64(F.col("doc_id"), F.col("piece"))
-    numbered = ranked(lengths, ["length"], [F.col("doc_id"), F.col("piece")], "_rank", spread)
+    numbered = ranked(lengths, ["length"], [F.col("doc_id"), F.col("piece")], "_rank")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lengths.schema) + ", sequence_id long, offset long"
 
     names = list(lengths.columns)

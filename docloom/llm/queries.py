@@ -62,7 +62,7 @@ def op6_block_pruned_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docloom.llm.mixing import mix
 
-    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot", "first_place")
 
 
 def op8_latent_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,18 +1,23 @@
-"""Hierarchical weighted hash tree: region, rack and shard levels by weighted hash draws.
+"""Hierarchical weighted hash tree: a descent through region, rack and shard levels by weighted hash draws.
 
-Every shard draws for a document an exponential variate with its weight as rate, from a hash of the
-document's id and the shard's name alone. A rack's draw is the least of its shards' draws and a region's
-the least of its racks', so each is again exponential with the subtree's summed weight: at every level a
-child wins with the share of its weight. Descending takes the child with the least draw. As an inner draw
-changes only if a draw below it changes, a new or heavier shard takes documents only into itself, and
-movement stays inside subtrees whose weights change; that holds for any number of shards and any tree.
+A node of the tree has the weight of all shards below it. At each node that a document reaches, every child draws an
+exponential variate with its weight as rate, from a hash of the document's key and the child's path, and the least
+draw wins: a child is taken with the share of its weight. The descent draws for the children of the nodes on its way
+alone, so its cost grows with depth and width, not with the number of shards. Changing a weight changes the draws of
+that node and of those above it only: documents move out of or into subtrees whose weights change, and nowhere else.
+A new shard in a region of its own, as ``topology`` adds one when its regions are full, takes documents only into
+itself; in a region with others, documents that move into that region may come to any of its shards.
 
-Defined results: null text has size 1; a null doc_id is a key of its own; repeated rows go to one shard and
-get slots of their own; an empty table gives an empty result; other columns are ignored.
+The tree is a small literal table (a list of children for each node); draws are native expressions over it.
+
+Defined results: null text has size 1, a very long one its bytes and 1; a null doc_id is a key of its own; repeated rows
+go to one shard and get slots of their own; ties of two draws go to the child that stands first; an empty table gives
+an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -36,29 +41,51 @@ def topology(shards: int, per_rack: int = 2, racks: int = 4) -> list[Leaf]:
     return [Leaf(f"region{s // (per_rack * racks)}", f"rack{s // per_rack % racks}", s) for s in range(shards)]
 
 
-def _draw(key: Column, leaf: Leaf) -> Column:
-    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(f"{leaf.region}/{leaf.rack}/{leaf.shard}")), 11)
-    return -F.log((bits.cast("double") + 1.0) / float(2**53 + 1)) / F.lit(float(leaf.weight))
-
+Node = list[tuple[str, float, int, int]]
 
-def _lowest(entries: list[Column]) -> Column:
-    return entries[0] if len(entries) == 1 else F.least(*entries)
 
+def tree(leaves: list[Leaf]) -> list[Node]:
+    """Nodes from the root (0) on, each a list of children: path, weight, own number (-1: a shard), shard (-1: an inner node).
 
-def placement(key: Column, leaves: list[Leaf]) -> Column:
-    """struct(draw, region, rack, shard) of the leaf that the descent reaches; only native expressions.
-
-    A node's value is the least (draw, names) of its children, ties to the smaller name.
+    Shards without weight, and what holds no others, are left out.
     """
-    regions: dict[str, dict[str, list[Leaf]]] = {}
+    below: dict[str, dict[str, list[Leaf]]] = {}
     for x in leaves:
         if x.weight > 0:
-            regions.setdefault(x.region, {}).setdefault(x.rack, []).append(x)
+            below.setdefault(x.region, {}).setdefault(x.rack, []).append(x)
+    nodes: list[Node] = [[]]
+    for region, racks in below.items():
+        at = len(nodes)
+        nodes.append([])
+        nodes[0].append((region, sum(x.weight for some in racks.values() for x in some), at, -1))
+        for rack, some in racks.items():
+            nodes[at].append((f"{region}/{rack}", sum(x.weight for x in some), len(nodes), -1))
+            nodes.append([(f"{region}/{rack}/{x.shard}", x.weight, -1, x.shard) for x in some])
+    return nodes
+
+
+DEPTH = 3
+
+
+def placement(key: Column, leaves: list[Leaf]) -> Column:
+    """struct(..., path, shard) of the leaf that the descent reaches (null: there is none); only native expressions."""
+    nodes = tree(leaves)
+    kind = "array<array<struct<path: string, weight: double, node: int, shard: int>>>"
+    rows = [[{"path": p, "weight": float(w), "node": n, "shard": s} for p, w, n, s in node] for node in nodes]
+    table = F.from_json(F.lit(json.dumps(rows)), kind)  # folded to one literal by the optimizer
+
+    def draw(child: Column) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64(key, child["path"]), 11)
+        return -F.log((bits.cast("double") + 1.0) / float(2**53 + 1)) / child["weight"]
 
-    def leaf(x: Leaf) -> Column:
-        return F.struct(_draw(key, x).alias("draw"), F.lit(x.region).alias("region"), F.lit(x.rack).alias("rack"), F.lit(x.shard).alias("shard"))
+    def descend(number: Column) -> Column:
+        drawn = F.transform(F.get(table, number), lambda c, i: F.struct(draw(c).alias("draw"), i.alias("i"), c["path"].alias("path"), c["node"].alias("node"), c["shard"].alias("shard")))
+        return F.array_min(drawn)  # the least draw, then the first child
 
-    return _lowest([_lowest([_lowest([leaf(x) for x in shards]) for shards in racks.values()]) for racks in regions.values()])
+    at = F.lit(0)
+    for _ in range(DEPTH - 1):
+        at = descend(at)["node"]
+    return descend(at)
 
 
 def shard_documents(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf]) -> DataFrame:
@@ -70,8 +97,8 @@ def shard_documents(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf]) -> D
         F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("text_crc32"),
         F.lit("key").alias("law"),
         placement(key, leaves).alias("at"),
-        placement(key, grown)["shard"].cast("int").alias("grown_shard"),
+        placement(key, grown)["shard"].alias("grown_shard"),
     )
-    rows = rows.select("doc_id", "size", "text_crc32", "law", F.col("at.region").alias("region"), F.col("at.rack").alias("rack"), F.col("at.shard").cast("int").alias("shard"), "grown_shard")
-    spread = F.xxhash64("doc_id", "text_crc32", "size")
-    return ranked(materialize(rows, "shards"), ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], "slot", spread)
+    path = F.split("at.path", "/")
+    rows = rows.select("doc_id", "size", "text_crc32", "law", F.get(path, F.lit(0)).alias("region"), F.get(path, F.lit(1)).alias("rack"), F.col("at.shard").alias("shard"), "grown_shard")
+    return ranked(materialize(rows, "shards"), ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], "slot")

@@ -1,8 +1,10 @@
 """Words of whole text batches in numpy: spans, 64-bit hashes and a hash table, without a loop over words.
 
-A batch's texts stand one after another in one byte buffer (as Arrow holds them). The hash of a span
-comes from prefix sums of table[byte] * BASE**position modulo 2**64, shifted back by the span's start;
-equal spans have equal hashes wherever they stand.
+A batch's texts stand one after another in one byte buffer (as Arrow holds them). A word of at most 64 bytes is
+hashed eight bytes at a time, all words together: each step mixes the next eight bytes into the word's state by a
+64-bit finaliser. So words of one length up to eight bytes never collide, and others do with the chance of random
+64-bit values; no structure of their letters (periodic, self-similar) matters. Longer words take xxh3 of their
+bytes. Equal spans have equal hashes wherever they stand.
 """
 
 from __future__ import annotations
@@ -12,42 +14,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 
 from docloom.llm.common import mix64
 
+_settled: list[bool] = []
+
+
 def _return_freed_memory() -> None:
-    """Lets large arrays go back to the system when they are freed, so that a worker's heap stays near what it holds."""
+    """In a task's Python worker, once: large arrays go back to the system when freed, so a heap stays near what it holds."""
+    if _settled or TaskContext.get() is None:
+        return
+    _settled.append(True)
     try:
         ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD, fixed from now on
     except (OSError, AttributeError):
         pass  # another C library
 
 
-_return_freed_memory()
-
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_BACK = pow(_BASE, -1, 1 << 64)
-_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * _U(0xD1B54A32D192ED03)) | _U(1)
+#: Bytes of a word that go into one step of its hash; longer words than LONG take xxh3.
+_STEP, LONG = 8, 64
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
 #: As bytes: white space of the contract, and values under which A-Z equal a-z.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_FOLDED = _VALUES[LOWER]
-
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _grow(n: int) -> None:
-    while len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _BACK)):
-            a = _powers[k]
-            _powers[k] = np.concatenate((a, a * _U(pow(base, len(a), 1 << 64))))
 
 
 def buffers(column: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows, each run of about ``most`` bytes or one row; null text is empty."""
+    _return_freed_memory()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     for begin in range(0, len(column), 1024):  # only so many rows are copied at once
@@ -83,11 +82,25 @@ class Spans:
 
     def hashes(self, folded: bool = True) -> np.ndarray:
         """A hash of each word; folded: A-Z count as a-z."""
-        n = len(self.data)
-        _grow(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((_FOLDED if folded else _VALUES)[self.data] * _powers[0][:n], out=sums[1:])
-        return mix64((sums[self.ends] - sums[self.starts]) * _powers[1][self.starts] + (self.ends - self.starts).astype(np.uint64))
+        size = self.ends - self.starts
+        h = mix64(size.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+        if not len(h):
+            return h
+        data = LOWER[self.data] if folded else self.data
+        padded = np.concatenate((data, np.zeros(_STEP, np.uint8)))
+        eight = np.ndarray(len(data), "<u8", padded, strides=(1,))  # the eight bytes from each position on
+        on = slice(None) if size.max() <= LONG else np.flatnonzero(size <= LONG)
+        at, left = self.starts[on], size[on]
+        while True:
+            h[on] = mix64(h[on] ^ (eight[at] & _KEEP[np.minimum(left, _STEP)]))
+            more = np.flatnonzero(left > _STEP)
+            if not len(more):
+                break
+            on = more if isinstance(on, slice) else on[more]
+            at, left = at[more] + _STEP, left[more] - _STEP
+        for i in np.flatnonzero(size > LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(data[self.starts[i] : self.ends[i]].tobytes())
+        return h
 
 
 class Table:
