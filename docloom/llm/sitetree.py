@@ -1,26 +1,40 @@
 """Main text of HTML pages by site style trees.
 
-Pages of a host are merged into one tree whose nodes are paths of container elements (tag, id and classes).
-For each node the merged pages give two entropies, both over log(pages with the node): of the child
+A page is parsed once, to pieces of text and the container elements around them. Pages of a host are merged into one
+tree whose nodes are paths of container elements (tag, id and classes; nameless ones and table cells by their number
+among like ones). For each node the merged pages give two entropies, both over log(pages with the node): of the child
 sequences (presentation) and of the text below (content). With l kinds of child sequence its importance is
-(1 - g**l) * presentation + g**l * content, g = 0.9; a node of one page has importance 1. Pages of a host with
-one and the same text count as one page, so copies make nothing unimportant. A branch is removed if it is on
-``at_pages`` pages or more and its importance, the entropy of its text and those of all nodes below are under
-``least``; so text that differs from page to page stays, however many pages or layouts the host has. Article
-and main elements, and paths that hold them on any page of the host, never are removed. Branches that say of
-themselves that they are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
-comments go on any page. Pages with article (else main) elements keep only those.
-
-The tree is never built in one place: tasks write (host, path, page text, children, text) digests and the pairs
-of a path and a path above it, which are added up and joined by key. The list of removed paths is sent to tasks only if its counted rows are few; else it is joined by host
-with salt, so a host with a third of all pages is no one's task.
-
-Text: character references are decoded, white space inside a block is one space, blocks are trimmed and
-joined by one line feed; ``br`` and table cells are white space, other block elements end blocks.
-
-Defined results: null or empty html gives empty text; a null url is the host ''; broken markup never fails,
-an unfinished tag at the end is dropped; repeated rows get equal results; an empty table gives an empty
-result; other columns are ignored.
+(1 - g**l) * presentation + g**l * content, g = 0.9; a node of one page has importance 1. Pages of a host with one and
+the same text count as one page, so copies make nothing unimportant. A branch is removed if it is on ``at_pages`` pages
+or more and its importance, the entropy of its text and those of all nodes below are under ``least``; so text that
+differs from page to page stays, however many pages or layouts the host has. Paths that hold an article or main element
+on any page of the host never are removed, and a page that would be left without any text keeps its branches.
+
+What a page says of itself is prior knowledge of importance, and enters as importance 0 on that page:
+
+* navigation, footers, asides, menus, dialogs, buttons, hidden elements and such roles, unless they hold an article or
+  main element (a wrapper that was never closed, or misused);
+* containers named as adverts, consent notices, popups, sharing bars or reader comments, unless they hold an article,
+  main or h1 element. A name counts whole, with only neutral words beside it: ``ad-slot`` and ``comment-list`` do,
+  ``has-comments``, ``notice-of-law`` or ``post-header`` do not;
+* forms, headers outside of articles, containers named as menus, sidebars, notices and the like, and containers outside
+  of articles whose text is nearly all links (three or more), unless they hold an article or main element or more than
+  half of the page's other text (a form around the whole page is no form of it).
+
+Of what is left, articles alone are the main text if they hold half of what is in main and article elements and a fifth
+of all; else main elements if they hold a fifth of all; else everything.
+
+The tree is never built in one place: parsed pages are a written table, and counts of (host, path, children, text) are
+grouped by key with partial sums, the page's text among the keys, so a host with a third of all pages is no one's task.
+Removed paths come back to pages by joins on (host, path) and on the page's place in the table.
+
+Text: character references are decoded, white space inside a block is one space, blocks are trimmed and joined by one
+line feed; ``br`` and table cells are white space, other block elements end blocks, inline elements neither.
+
+Defined results: null or empty html gives empty text; a null url is the host ''; broken markup never fails, an
+unfinished tag at the end is dropped; very long pages are read whole, and containers nested deeper than 64 count to the
+64th; repeated rows get equal results; ties do not occur; an empty table gives an empty result; other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
@@ -28,96 +42,168 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import materialize, ship
+from docloom.llm.common import materialize, positioned, ship
 
-#: Elements without content of their own, with raw content, of the block kind, that are never main text.
+#: Elements without content of their own, with raw content, of the block kind.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template", "svg", "math", "object", "select"}
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split())
-SPACE = {"br", "td", "th", "wbr"}
-BOILERPLATE = {"nav", "footer", "aside", "form", "head", "menu", "dialog", "button", "header"}
-ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar"}
-MARKS = set(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promoted banner cookie cookies consent gdpr notice notices notification alert popup modal overlay "
-    "newsletter subscribe subscription sidebar aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs header footer masthead topbar toolbar "
-    "comment comments commentlist disqus respond replies social share sharing related recommended pagination pager login signup search skip".split()
-)
+CELLS = {"td", "th"}
+SPACE = {"br", "wbr"}
 MAIN = {"article", "main"}
 CLOSES_P = BLOCK - {"body", "html", "head", "caption", "legend", "tbody", "tfoot", "thead", "tr", "summary"}
+#: Elements and roles that are no main text: always, or unless most of the page is in them.
+NOISE, SOFT_NOISE = {"nav", "footer", "aside", "head", "menu", "dialog"}, {"form", "header"}
+ROLES = {"navigation", "contentinfo", "complementary", "dialog", "alertdialog", "menu", "menubar"}
+SOFT_ROLES = {"banner", "search", "alert", "form"}
+#: Words of names for what is never main text, for what is around it, and neutral words beside them.
+LOUD = set("ad ads adbox advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promoted cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription social share sharing comment comments commentlist disqus".split())
+QUIET = set("banner notice notices notification notifications alert sidebar aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs header footer masthead topbar toolbar respond replies related recommended pagination pager login signup search skip".split())
+NEUTRAL = set("site page main top bottom left right global primary secondary area bar block box container content unit wrapper wrap section list inner outer slot item items link links user reader readers left right col column the bar layer".split())
+#: Containers that are nodes of the tree even without a name.
+NODES = set("div section article main ul ol dl nav aside header footer table form figure td th body fieldset".split())
+DEEPEST = 64
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
-_WORD = re.compile(r"[a-z0-9]+")
+_PART = re.compile(r"[a-z0-9]+")
 _END = re.compile(r"<[a-zA-Z/!?][^>]*\Z", re.S)
 _NUMBER = re.compile(r"\d{3,}")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _traits(tag: str, attributes: str) -> tuple[str, bool]:
-    """The node's name in paths, and whether it says that it is no main text."""
+def _said(names: str) -> int:
+    """What class and id names say: 2 adverts, notices of consent, comments; 1 what stands around main text; 0 nothing."""
+    most = 0
+    for name in names.split():
+        parts = {p.rstrip("0123456789") for p in _PART.findall(_CAMEL.sub("-", name).lower())} - {""}
+        if parts and parts <= LOUD | QUIET | NEUTRAL:
+            most = max(most, 2 if parts & LOUD else 1 if parts & QUIET else 0)
+    return most
+
+
+def _traits(tag: str, attributes: str) -> tuple[str, int]:
+    """The element's name in paths ('': none of its own), and its noise: 0 none, 1 soft, 2 loud by name, 3 by kind."""
+    noise = 3 if tag in NOISE else 1 if tag in SOFT_NOISE else 0
     if not attributes or not attributes.strip():
-        return tag, tag in BOILERPLATE
-    found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
-    words = _WORD.findall(f"{found.get('class', '')} {found.get('id', '')}".replace("_", " ").replace("-", " "))
-    noise = tag in BOILERPLATE or found.get("role") in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-    noise = noise or (tag not in MAIN and tag not in ("body", "html") and not MARKS.isdisjoint(words))
-    name = ".".join([tag, *sorted({_NUMBER.sub("0", w) for w in words})])
-    return name, noise
+        return "", noise
+    found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
+    if not found:
+        return "", noise
+    names = f"{found.get('class', '')} {found.get('id', '')}"
+    role = found.get("role", "").lower()
+    if role in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
+        noise = 3
+    elif tag not in ("body", "html"):
+        noise = max(noise, _said(names), 1 if role in SOFT_ROLES else 0)
+    return ".".join(sorted({_NUMBER.sub("0", w) for w in _PART.findall(names.lower())})), noise
 
 
-class Page:
-    """Blocks of a page with the depth of main elements; with ``seen``, also its nodes."""
+class Element:
+    """An open or closed element: its path, place among the pieces, and what it holds."""
+
+    __slots__ = ("tag", "node", "first", "end", "noise", "holds", "heads", "links", "kind", "inline", "skip", "like", "depth")
 
-    def __init__(self, html: str, removed: frozenset[int] = frozenset(), nodes: bool = False):
-        self.blocks: list[tuple[int, str]] = []  # (2 in article, 1 in main, 0 elsewhere; text)
-        self.nodes: dict[str, list] | None = {} if nodes else None
-        self.holders: set[str] = set()  # paths of nodes that hold article or main; only with ``nodes``
+    def __init__(self, tag: str, node: int, first: int, noise: int, kind: int, inline: bool, skip: bool, depth: int):
+        self.tag, self.node, self.first, self.end, self.noise, self.kind, self.inline, self.skip, self.depth = tag, node, first, -1, noise, kind, inline, skip, depth
+        self.holds = self.heads = False
+        self.links, self.like = 0, None
+
+
+class Page:
+    """Pieces of text that are not noise by the page's own word, and its nodes.
+
+    ``pieces``: (text, node, kind: 2 in article, 1 in main, 0 elsewhere, block number); ``nodes``: path digest, digests
+    of the child sequence and of the text below, digests of the paths above; ``holders``: paths over article or main.
+    """
+
+    def __init__(self, html: str):
+        self._pieces: list[tuple[str, int, int, int, int]] = []  # text, node, kind, block, characters in links
+        self._paths: list[int] = [0]  # path digest of each node; node 0 is the page
+        self._up: list[int] = [-1]
+        self._children: list[list[str]] = [[]]
+        self._known: dict[tuple[int, str], int] = {}
+        self._elements: list[Element] = []
+        self._stack: list[Element] = [Element("", 0, 0, 0, 0, False, False, 0)]
         self._text: list[str] = []
-        self._stack: list[tuple[str, str, bool, int]] = []  # tag, path, skipped, main kind
-        self._walk(html, removed)
+        self._linked, self._link, self._links, self._block = 0, False, 0, 0
+        self._walk(html)
+        self._settle()
 
-    def _flush(self) -> None:
+    # --- reading
+
+    def _cut(self) -> None:
+        """Ends a piece (not its block)."""
         if self._text:
             joined = " ".join(entities.unescape("".join(self._text)).split())
             self._text.clear()
             if joined:
-                top = self._stack[-1] if self._stack else ("", "", False, 0)
-                if not top[2]:
-                    self.blocks.append((top[3], joined))
-                if self.nodes is not None:
-                    for x in self._stack:
-                        if x[1] in self.nodes:
-                            self.nodes[x[1]][1].append(joined)
-
-    def _push(self, tag: str, name: str, skip: bool, removed: frozenset[int]) -> None:
-        _, path, skipped, kind = self._stack[-1] if self._stack else ("", "", False, 0)
-        if self.nodes is not None and path in self.nodes:
-            self.nodes[path][0].append(name)
-        path = f"{path}/{name}"
-        kind = max(kind, 2 if tag == "article" else 1 if tag == "main" else 0)
-        skip = skip and not (tag == "header" and kind)
-        if tag in MAIN and self.nodes is not None:
-            self.holders.update(x[1] for x in self._stack if x[1] in self.nodes)
-        container = tag in BLOCK and (tag not in CLOSES_P or tag in ("div", "section", "ul", "ol", "nav", "aside", "article", "main", "header", "footer", "table", "form", "dl", "figure") or "." in name)
-        if container and tag not in MAIN and tag not in ("body", "html"):
-            if self.nodes is not None:
-                self.nodes.setdefault(path, [[], []])
-            elif removed and digest(path) in removed:
-                skip = True
-        self._stack.append((tag, path, skipped or skip, kind))
-
-    def _pop(self, tag: str) -> None:
-        for i in range(len(self._stack) - 1, -1, -1):
-            if self._stack[i][0] == tag:
-                del self._stack[i:]
+                top = self._stack[-1]
+                self._pieces.append((joined, top.node, top.kind, self._block, min(self._linked, len(joined))))
+        self._linked = 0
+
+    def _flush(self) -> None:
+        self._cut()
+        self._block += 1
+
+    def _say(self, text: str) -> None:
+        if not self._stack[-1].skip:
+            self._text.append(text)
+            if self._link:
+                self._linked += len(text)
+
+    def _push(self, tag: str, name: str, noise: int) -> None:
+        top = self._stack[-1]
+        kind = max(top.kind, 2 if tag == "article" else 1 if tag == "main" else 0)
+        if noise < 3 and (tag == "header" and top.kind or tag in MAIN and top.kind < 2):
+            noise = 0
+        node = top.node
+        if (tag in NODES or name) and tag not in ("html", "body") and top.depth < DEEPEST:
+            label = f"{tag}.{name}" if name else tag
+            if not name or tag in CELLS:
+                top.like = top.like or {}
+                top.like[tag] = nth = top.like.get(tag, 0) + 1
+                label = f"{label}:{nth}"
+            self._children[node].append(f"{tag}.{name}" if name else tag)
+            key = (node, label)
+            if key not in self._known:
+                self._known[key] = len(self._paths)
+                self._paths.append(digest(f"{self._paths[node]}/{label}"))
+                self._up.append(node)
+                self._children.append([])
+            node = self._known[key]
+        else:
+            self._children[node].append(tag)
+        if tag in MAIN or tag == "h1":
+            for x in reversed(self._stack):
+                if x.holds or x.heads and tag not in MAIN:
+                    break  # and so is what is above
+                x.holds, x.heads = tag in MAIN, True
+        x = Element(tag, node, len(self._pieces), noise, kind, False, top.skip, top.depth + (node != top.node))
+        x.links = -self._links
+        self._elements.append(x)
+        self._stack.append(x)
+
+    def _pop_to(self, i: int) -> None:
+        for x in self._stack[i:]:
+            x.end = len(self._pieces)
+            x.links += self._links
+        del self._stack[i:]
+
+    def _close(self, tag: str) -> None:
+        for i in range(len(self._stack) - 1, 0, -1):
+            if self._stack[i].tag == tag:
+                self._pop_to(i)
                 return
 
-    def _walk(self, html: str, removed: frozenset[int]) -> None:
+    def _walk(self, html: str) -> None:
         at, size = 0, len(html)
         while at < size:
             m = _TOKEN.search(html, at)
@@ -125,44 +211,135 @@ class Page:
                 rest = html[at:]
                 if unfinished := _END.search(rest):
                     rest = rest[: unfinished.start()]
-                self._text.append(rest)
+                self._say(rest)
                 break
             if m.start() > at:
-                self._text.append(html[at : m.start()])
+                self._say(html[at : m.start()])
             at = m.end()
             tag = (m[2] or m[5] or "").lower()
             if not tag:
                 continue
-            closing = m[1] or m[4]
+            closing, attributes = m[1] or m[4], (m[3] if m[2] else m[6]) or ""
             if tag in SPACE:
-                self._text.append(" ")
-                continue
-            if tag in RAW:
-                if not closing and not (m[3] or m[6] or "").endswith("/"):
+                self._say(" ")
+            elif tag in RAW:
+                if not closing and not attributes.endswith("/"):
                     end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
                     at = end.end() if end else size
-                if tag in ("iframe", "object"):
-                    self._text.append(" ")
-                continue
-            attributes = m[3] if m[2] else m[6]
-            name, skip = (tag, False) if closing else _traits(tag, attributes)
-            if tag not in BLOCK and not skip and not (closing and any(x[0] == tag for x in self._stack)):
-                continue  # inline
-            self._flush()
-            if closing:
-                self._pop(tag)
+                self._say(" " if tag in ("iframe", "object") else "")
+            elif tag in BLOCK:
+                self._block_tag(tag, closing, attributes)
+            elif tag in CELLS:
+                self._cell(tag, closing, attributes)
             else:
-                if tag in CLOSES_P and self._stack and self._stack[-1][0] == "p":
-                    self._stack.pop()
-                if tag == "li" and self._stack and self._stack[-1][0] == "li":
-                    self._stack.pop()
-                if tag not in VOID and not attributes.endswith("/"):
-                    self._push(tag, name, skip, removed)
+                self._inline(tag, closing, attributes)
+        self._flush()
+        self._pop_to(1)
+
+    def _block_tag(self, tag: str, closing: str, attributes: str) -> None:
         self._flush()
+        if closing:
+            self._close(tag)
+            return
+        top = self._stack[-1]
+        if tag in CLOSES_P and top.tag == "p" or tag == "li" and top.tag == "li" or tag == "tr" and top.tag in CELLS:
+            self._pop_to(len(self._stack) - 1)
+        if tag not in VOID and not attributes.endswith("/"):
+            self._push(tag, *_traits(tag, attributes))
+
+    def _cell(self, tag: str, closing: str, attributes: str) -> None:
+        """A table cell is a node of its own, but its text stays in the row's block."""
+        self._cut()
+        if closing:
+            self._close(tag)
+        else:
+            if self._stack[-1].tag in CELLS:
+                self._pop_to(len(self._stack) - 1)
+            self._push(tag, *_traits(tag, attributes))
+
+    def _inline(self, tag: str, closing: str, attributes: str) -> None:
+        if tag == "a":
+            self._link = not closing
+            self._links += not closing
+        if closing:
+            if self._stack[-1].inline and self._stack[-1].tag == tag:
+                self._stack.pop()
+        elif not attributes.endswith("/") and tag not in VOID and (tag == "button" or (attributes and _traits(tag, attributes)[1] > 1)):
+            top = self._stack[-1]
+            self._stack.append(Element(tag, top.node, len(self._pieces), 0, top.kind, True, True, top.depth))
+
+    # --- deciding what the page itself says
+
+    def _settle(self) -> None:
+        pieces, n = self._pieces, len(self._pieces)
+        gone = [False] * n
+        sums: list[list[int]] = []
+
+        def inside(x: Element) -> tuple[int, int]:
+            """Characters of text, and of links, that are left in an element."""
+            if x.end - x.first < 256:
+                left = [pieces[i] for i in range(x.first, x.end) if not gone[i]]
+                return sum(len(p[0]) for p in left), sum(p[4] for p in left)
+            if not sums:
+                for value in ([len(p[0]) for p in pieces], [p[4] for p in pieces]):
+                    sums.append([0, *accumulate(0 if g else v for v, g in zip(value, gone))])
+            return sums[0][x.end] - sums[0][x.first], sums[1][x.end] - sums[1][x.first]
+
+        for x in self._elements:
+            if x.noise == 3 and not x.holds or x.noise == 2 and not x.heads:
+                gone[x.first : x.end] = [True] * (x.end - x.first)
+        total = sum(len(p[0]) for p, g in zip(pieces, gone) if not g)
+        for x in self._elements:
+            linking = x.links >= 3 and not x.kind and x.tag in NODES
+            if x.holds or not (x.noise or linking):
+                continue
+            text, linked = inside(x)
+            if text and 2 * text <= total and (x.noise or linked >= 0.8 * text):
+                gone[x.first : x.end] = [True] * (x.end - x.first)
+                sums.clear()
+        self.pieces = [p[:4] for p, g in zip(pieces, gone) if not g]
+        held = {x.node for x in self._elements if x.holds or x.tag in MAIN}
+        self.holders = set()
+        for node in held:
+            while node > 0:
+                self.holders.add(self._paths[node])
+                node = self._up[node]
+        below: dict[int, list[str]] = {}
+        for text, node, _, _ in self.pieces:
+            while node > 0:
+                below.setdefault(node, []).append(text)
+                node = self._up[node]
+        self.nodes = [(self._paths[k], digest(",".join(dict.fromkeys(self._children[k]))), digest("\n".join(texts)), self._above(k)) for k, texts in below.items()]
+        self._place = {k: i for i, k in enumerate(below)}
+
+    def _above(self, node: int) -> list[int]:
+        out = []
+        while (node := self._up[node]) > 0:
+            out.append(self._paths[node])
+        return out
+
+    def placed(self) -> list[tuple[str, int, int, int]]:
+        """Pieces with the number of their node in ``nodes`` (-1: none)."""
+        return [(text, self._place.get(node, -1), kind, block) for text, node, kind, block in self.pieces]
 
     def text(self) -> str:
-        kind = max((k for k, _ in self.blocks), default=0)
-        return "\n".join(t for k, t in self.blocks if k == kind)
+        """The page's text without knowledge of its site."""
+        return joined([p[0] for p in self.pieces], [p[2] for p in self.pieces], [p[3] for p in self.pieces])
+
+
+def joined(texts: list[str], kinds: list[int], blocks: list[int]) -> str:
+    """The main text of pieces: of articles, of main elements or of all (see the module), pieces of a block by a space."""
+    everything = sum(map(len, texts))
+    article = sum(len(t) for t, k in zip(texts, kinds) if k == 2)
+    main = sum(len(t) for t, k in zip(texts, kinds) if k)
+    least = 2 if article and 2 * article >= main and 5 * article >= everything else 1 if main and 5 * main >= everything else 0
+    out: list[str] = []
+    last = None
+    for t, k, b in zip(texts, kinds, blocks):
+        if k >= least:
+            out += [" " if b == last else "\n", t] if out else [t]
+            last = b
+    return "".join(out)
 
 
 def digest(text: str) -> int:
@@ -176,54 +353,42 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-#: Kinds of the rows of `style_rows`.
-NODE, ABOVE, HOLDER = 0, 1, 2
+_NODE = pa.struct([("path", pa.int64()), ("children", pa.int64()), ("words", pa.int64()), ("up", pa.list_(pa.int64()))])
+_PIECE = pa.struct([("text", pa.string()), ("node", pa.int32()), ("kind", pa.int32()), ("block", pa.int32())])
+_PARSED = "host long, page long, holders array<long>, nodes array<struct<path: long, children: long, words: long, up: array<long>>>, pieces array<struct<text: string, node: int, kind: int, block: int>>"
 
 
-def _above(path: str, nodes: dict[str, list]) -> list[str]:
-    """The nodes of a page that a path goes through."""
-    found = []
-    while path := path.rpartition("/")[0]:
-        if path in nodes:
-            found.append(path)
-    return found
-
-
-def style_rows(pages: DataFrame) -> DataFrame:
-    """kind, host, path, other, children, words: NODE, a page (its text is ``other``) has this node; ABOVE, the
-    node ``other`` is above this path; HOLDER, the path holds an article or main. Rows may repeat."""
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """page_id, url, host and page (digests of the host's name and the page's text), holders, nodes and pieces: one row a page."""
     ship(pages.sparkSession)
+    kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[tuple[int, int, int, int, int, int], None] = {}
-            known: set[tuple[int, str]] = set()
-            for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                host, page = digest(host_of(url)), Page(html or "", nodes=True)
-                text = digest(page.text())
-                for path, (children, texts) in page.nodes.items():
-                    key = digest(path)
-                    seen[NODE, host, key, text, digest(",".join(dict.fromkeys(children))), digest("\n".join(texts))] = None
-                    if (host, path) not in known:
-                        known.add((host, path))
-                        for up in _above(path, page.nodes):
-                            seen[ABOVE, host, key, digest(up), 0, 0] = None
-                for path in page.holders:
-                    seen[HOLDER, host, digest(path), 0, 0, 0] = None
-            cols = list(zip(*seen)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["kind", "host", "path", "other", "children", "words"])
-
-    return pages.select("url", "html").mapInArrow(run, "kind long, host long, path long, other long, children long, words long")
-
-
-def _counted(rows: DataFrame) -> DataFrame:
-    once = rows.where(F.col("kind") == NODE).groupBy("host", "path", "other").agg(F.min(F.struct("children", "words")).alias("x"))
-    return once.groupBy("host", "path", "x.children", "x.words").agg(F.count(F.lit(1)).alias("n"))
-
-
-def style_nodes(pages: DataFrame) -> DataFrame:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):  # few pages at once, so that a batch of long ones stays small
+                batch = whole.slice(at, 64)
+                urls = batch.column(1).to_pylist()
+                found = [Page(h or "") for h in batch.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *batch.columns[:2],
+                        pa.array([digest(host_of(u)) for u in urls], pa.int64()),
+                        pa.array([digest(p.text()) for p in found], pa.int64()),
+                        pa.array([sorted(p.holders) for p in found], pa.list_(pa.int64())),
+                        pa.array([p.nodes for p in found], pa.list_(_NODE)),
+                        pa.array([p.placed() for p in found], pa.list_(_PIECE)),
+                    ],
+                    names=["page_id", "url", "host", "page", "holders", "nodes", "pieces"],
+                )
+
+    return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kind}, url string, {_PARSED}")
+
+
+def style_nodes(parsed: DataFrame) -> DataFrame:
     """host, path, children, words, n: how many different page texts of a host have this node with these children and this text."""
-    return _counted(style_rows(pages))
+    rows = parsed.select("host", "page", F.explode("nodes").alias("x"))
+    once = rows.groupBy("host", F.col("x.path").alias("path"), "page").agg(F.min(F.struct("x.children", "x.words")).alias("x"))
+    return once.groupBy("host", "path", "x.children", "x.words").agg(F.count(F.lit(1)).alias("n"))
 
 
 def importance(nodes: DataFrame, decay: float = 0.9) -> DataFrame:
@@ -240,45 +405,42 @@ def importance(nodes: DataFrame, decay: float = 0.9) -> DataFrame:
     return both.select("host", "path", "pages", ((1 - fade) * F.col("e_children") + fade * F.col("e_words")).alias("importance"), "e_words")
 
 
-def low_branches(pages: DataFrame, least: float = 0.2, at_pages: int = 10) -> DataFrame:
+def low_branches(parsed: DataFrame, least: float = 0.2, at_pages: int = 10) -> DataFrame:
     """host, path of the branches to remove: nothing in them reaches ``least``, and they hold no article or main."""
-    rows = materialize(style_rows(pages), "nodes")
-    scored = materialize(importance(_counted(rows)), "scored")
+    scored = materialize(importance(style_nodes(parsed)), "scored")
     is_low = (F.col("importance") < least) & (F.col("e_words") < least)
-    above = rows.where(F.col("kind") == ABOVE).select("host", "path", "other").distinct()
-    kept = scored.where(~is_low).select("host", "path").join(above, ["host", "path"]).select("host", F.col("other").alias("path"))
-    kept = kept.union(rows.where(F.col("kind") == HOLDER).select("host", "path")).distinct()
+    node = parsed.select("host", F.explode("nodes").alias("x")).select("host", "x.path", F.explode("x.up").alias("other")).distinct()
+    kept = scored.where(~is_low).select("host", "path").join(node, ["host", "path"]).select("host", F.col("other").alias("path"))
+    kept = kept.union(parsed.select("host", F.explode("holders").alias("path"))).distinct()
     return scored.where(is_low & (F.col("pages") >= at_pages)).select("host", "path").join(kept, ["host", "path"], "left_anti")
 
 
-def main_text(pages: DataFrame, least: float = 0.2, at_pages: int = 10, sent_rows: int = 200_000, salts: int = 32) -> DataFrame:
-    """page_id, url, text, n_chars of all pages."""
-    spark = pages.sparkSession
-    ship(spark)
-    low = materialize(low_branches(pages, least, at_pages), "low")
-    rows = pages.select("page_id", "url", "html")
+def main_text(pages: DataFrame, least: float = 0.2, at_pages: int = 10) -> DataFrame:
+    """page_id, url, text, n_chars and removed (how many pieces of text the style tree removed) of all pages."""
     kind = pages.schema["page_id"].dataType.simpleString()
-    if low.limit(sent_rows + 1).count() <= sent_rows:
-        by_host: dict[int, set[int]] = {}
-        for r in low.collect():  # at most `sent_rows` pairs of longs
-            by_host.setdefault(r["host"], set()).add(r["path"])
-        sent = spark.sparkContext.broadcast({h: frozenset(p) for h, p in by_host.items()})
-    else:
-        paths = low.groupBy("host").agg(F.collect_list("path").alias("paths")).withColumn("salt", F.explode(F.expr(f"sequence(0, {salts - 1})")))
-        host = F.udf(lambda u: digest(host_of(u)), "long")
-        rows = rows.withColumn("host", host("url")).withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int"))
-        rows = rows.join(paths, ["host", "salt"], "left").select("page_id", "url", "html", "paths")
-        sent = None
-    none: frozenset[int] = frozenset()
+    parsed = materialize(parsed_pages(pages), "parsed")
+    low = materialize(low_branches(parsed, least, at_pages), "low")
+    placed, file, row = positioned(parsed)
+    on_pages = placed.select(file, row, "host", F.explode("nodes.path").alias("path")).join(low, ["host", "path"])
+    gone = on_pages.groupBy(file, row).agg(F.collect_set("path").alias("gone"))  # a page's own paths at most
+    rows = placed.join(gone, [file, row], "left").select("page_id", "url", "pieces", F.transform("nodes", lambda x: F.struct(x["path"], x["up"])).alias("nodes"), "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            urls, htmls = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            if sent is not None:
-                gone = [sent.value.get(digest(host_of(u)), none) if sent.value else none for u in urls]
-            else:
-                gone = [frozenset(x or ()) for x in batch.column(3).to_pylist()]
-            texts = [Page(h or "", g).text() for h, g in zip(htmls, gone)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
-
-    return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+            texts, removed = [], []
+            for pieces, nodes, low in zip(*(batch.column(i) for i in (2, 3, 4))):
+                parts = pieces.values
+                text, kinds, blocks = (parts.field(i).to_pylist() for i in (0, 2, 3))
+                if low.is_valid:
+                    off = set(low.as_py())
+                    out = [x["path"] in off or not off.isdisjoint(x["up"]) for x in nodes.as_py()]
+                    stay = [i for i, k in enumerate(parts.field(1).to_pylist()) if k < 0 or not out[k]]
+                    removed.append(len(text) - len(stay) if stay else 0)
+                    if stay:
+                        text, kinds, blocks = ([x[i] for i in stay] for x in (text, kinds, blocks))
+                else:
+                    removed.append(0)
+                texts.append(joined(text, kinds, blocks))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int32())], names=["page_id", "url", "text", "n_chars", "removed"])
+
+    return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long, removed int")
