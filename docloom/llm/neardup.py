@@ -5,20 +5,24 @@
 2. Classes that share a band join a candidate cluster (min-label propagation with pointer jumping over
    star edges class -> smallest class of the band; no pair is emitted inside a band).
 3. Clusters are verified on full shingle sets inside tasks, with union-find, so only a spanning forest of
-   confirmed links leaves a task. A cluster over ``block_shingles`` shingles is cut in hash blocks, to
+   confirmed links leaves a task; in a block, members meet through their rarest shingles alone, which loses
+   no link. A cluster over ``block_shingles`` shingles or ``block_members`` classes is cut in hash blocks, to
    each of which the same few seed classes are added; then only classes outside the cluster's largest
-   confirmed component still meet all blocks. Every pair of a cluster is so either tested or already
-   connected: no cap, no drop. Blocks bound a task; a cluster of R blocks' outsiders and B blocks costs
-   R x B tasks.
+   confirmed component still meet all blocks. Every pair of a cluster is so either tested, ruled out by its
+   rarest shingles or sizes, or already connected: no cap, no drop. Blocks bound a task; a cluster of R blocks'
+   outsiders and B blocks costs R x B tasks.
 4. Components of the confirmed links are joined back to all documents.
 
 Links: 100 * |A & B| >= percent * |A | B|. With 32 bands of 5 ranks a pair at similarity 0.8 shares no band
-with probability 3e-6. Set equality and intersections are taken on 64-bit shingle hashes.
+with probability 3e-6. Intersections are counted on 64-bit shingle hashes, mixed from 64-bit word hashes that depend
+on every byte of a word (see words.py): two different shingles of a pair of texts of 10,000 words count as one with
+probability below 1e-11. Set equality is that of a 128-bit hash of the sorted shingle hashes.
 
 Defined results: null text and texts without words have the empty set, are linked with nothing and are kept;
-rows with null doc_id are linked with nothing, have a null component and are kept; repeated rows have equal
-sets; texts that share one doc_id are told as that document's, and a link of one of them is its link; an empty
-table gives an empty result; other columns are ignored.
+rows with null doc_id are linked with nothing, have a null component and are kept; very long texts take part whole,
+one being a block of its own if need be; repeated rows have equal sets, and of documents with equal sets (ties) the
+smallest doc_id stands for all; texts that share one doc_id are told as that document's, and a link of one of them is
+its link; an empty table gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import MASK, materialize, mix64, shingle_hashes, ship
-from docloom.llm.words import Spans, buffers
+from docloom.llm.common import MASK, drop_table, materialize, mix64, shingle_hashes, ship, written
+from docloom.llm.words import Spans, buffers, spread
 
 _U = np.uint64
 _GAMMA = _U(0x9E3779B97F4A7C15)
@@ -135,22 +139,25 @@ def components(edges: DataFrame, label: str = "component") -> DataFrame:
     """(id, smallest id reachable) for every id of ``edges`` (a, b), by hooking and pointer jumping.
 
     Each round joins every node to the smallest label near it and then to that label's label; rounds are
-    written tables, so neither lineage nor the driver grows. Ends when a round changes nothing.
+    written tables, each dropped once the next is there, so neither lineage, the driver nor the folder grows.
+    Ends when a round changes nothing.
     """
-    pairs = materialize(edges.select(F.col("a"), F.col("b")).union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "edges")
-    now = materialize(pairs.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("near")).select("id", F.least("id", "near").alias("root")), "labels")
+    spark = edges.sparkSession
+    pairs, pairs_at = written(edges.select(F.col("a"), F.col("b")).union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "edges")
+    now, now_at = written(pairs.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("near")).select("id", F.least("id", "near").alias("root")), "labels")
     while True:
         # the smallest root among neighbours
         seen = pairs.join(now.select(F.col("id").alias("b"), F.col("root").alias("r")), "b").groupBy(F.col("a").alias("id")).agg(F.min("r").alias("r"))
         hooked = now.join(seen, "id").select("id", "root", F.least("root", "r").alias("best"))
         # a root follows the smallest root that any of its members sees
         by_root = hooked.groupBy(F.col("root").alias("old")).agg(F.min("best").alias("to"))
-        stepped = hooked.join(by_root, hooked["root"] == by_root["old"]).select("id", F.col("root").alias("was"), F.least("best", "to").alias("root"))
-        stepped = materialize(stepped, "hooked")
+        stepped, stepped_at = written(hooked.join(by_root, hooked["root"] == by_root["old"]).select("id", F.col("root").alias("was"), F.least("best", "to").alias("root")), "hooked")
+        drop_table(spark, now_at)
         jump = stepped.select(F.col("id").alias("root"), F.col("root").alias("up"))
-        jumped = stepped.join(jump, "root", "left").select("id", "was", F.least("root", F.coalesce("up", "root")).alias("root"))
-        now = materialize(jumped, "labels")
+        now, now_at = written(stepped.join(jump, "root", "left").select("id", "was", F.least("root", F.coalesce("up", "root")).alias("root")), "labels")
+        drop_table(spark, stepped_at)
         if not now.where("root <> was").limit(1).count():
+            drop_table(spark, pairs_at)
             return now.select("id", F.col("root").alias(label))
         now = now.select("id", "root")
 
@@ -158,37 +165,79 @@ def components(edges: DataFrame, label: str = "component") -> DataFrame:
 # --- verification inside a task -----------------------------------------------------------------------
 
 
+class _Groups:
+    """Union-find over 0 .. n - 1 with a label for each member, so that groups of many members are read at once.
+
+    The smaller group takes the larger's label: at most n log n labels change in all.
+    """
+
+    def __init__(self, n: int):
+        self.label, self.members = np.arange(n), {}
+
+    def join(self, x: int, y: int) -> None:
+        x, y = int(self.label[x]), int(self.label[y])
+        a, b = self.members.get(x, [x]), self.members.get(y, [y])
+        if len(a) < len(b):
+            x, y, a, b = y, x, b, a
+        self.label[b] = x
+        if isinstance(a, list):
+            a.extend(b)
+        self.members[x] = a
+        self.members.pop(y, None)
+
+
 def _forest(ids: np.ndarray, sets: list[np.ndarray], percent: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the links between ``left`` and ``right`` members, confirmed on full sets.
 
-    A member meets, all at once, those members with which it is not yet connected and whose set sizes
-    allow a link; its own set is marked in a bitmap over the block's shingles.
+    Shingles are put in order of how many members have them. Two sets can only link if they share one of their
+    rarest n - ceil(percent * n / 100) + 1 shingles each, so a member meets those alone that do, largest sets first,
+    whose sizes allow a link and with which it is not yet connected; few at first, as one link often settles the rest.
     """
     n = len(ids)
     sizes = np.fromiter(map(len, sets), np.int64, n)
     if n == 2:
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
         return [(int(ids[0]), int(ids[1]))] if 100 * both >= percent * (sizes.sum() - both) else []
-    order = np.argsort(-sizes, kind="stable")
-    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    _, flat, had = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(had), np.int64)
+    rank[np.argsort(had, kind="stable")] = np.arange(len(had))
+    flat = rank[flat]  # rare shingles have small numbers
     begin = np.concatenate(([0], np.cumsum(sizes)))
-    marked = np.zeros(int(flat.max()) + 1 if len(flat) else 1, np.uint8)
-    root, forest = np.arange(n), []
-    for i in order[left[order]]:
-        fits = right & (root != root[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
-        others = np.flatnonzero(fits)
-        if not len(others):
+    owner = np.repeat(np.arange(n), sizes)
+    flat = flat[np.lexsort((flat, owner))]
+    prefix = sizes - -(-percent * sizes // 100) + 1
+    # members by shingle of their prefixes, for the right side
+    at = np.arange(len(flat)) - np.repeat(begin[:-1], sizes)
+    on = (at < np.repeat(prefix, sizes)) & np.repeat(right, sizes)
+    keys, who = flat[on], owner[on]
+    order = np.argsort(keys, kind="stable")
+    keys, who = keys[order], who[order]
+    marked, groups, forest = np.zeros(len(had), np.uint8), _Groups(n), []
+    for i in np.argsort(-sizes, kind="stable"):
+        if not left[i]:
             continue
         own = flat[begin[i] : begin[i + 1]]
+        some = own[: prefix[i]]
+        lows, highs = np.searchsorted(keys, some, "left"), np.searchsorted(keys, some, "right")
+        others = np.unique(who[spread(lows, highs - lows)])
+        others = others[(groups.label[others] != groups.label[i]) & (100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i]))]
+        if not len(others):
+            continue
+        others = others[np.argsort(-sizes[others], kind="stable")]
         marked[own] = 1
-        for at in range(0, len(others), 512):
-            some = others[at : at + 512]
-            hits = np.concatenate([marked[flat[begin[o] : begin[o + 1]]] for o in some])
-            both = np.add.reduceat(hits, np.concatenate(([0], np.cumsum(sizes[some])[:-1])), dtype=np.int64)
-            for o in some[100 * both >= percent * (sizes[i] + sizes[some] - both)]:
-                if root[o] != root[i]:
-                    root[root == root[o]] = root[i]
+        step = 4
+        while len(others):
+            now, others = others[:step], others[step:]
+            hits = marked[flat[spread(begin[now], sizes[now])]]
+            both = np.add.reduceat(hits, np.concatenate(([0], np.cumsum(sizes[now])[:-1])), dtype=np.int64)
+            linked = now[100 * both >= percent * (sizes[i] + sizes[now] - both)]
+            for o in linked:
+                if groups.label[o] != groups.label[i]:
+                    groups.join(int(i), int(o))
                     forest.append((int(ids[i]), int(ids[o])))
+            if len(linked):
+                others = others[groups.label[others] != groups.label[i]]
+            step = min(512, 2 * step)
         marked[own] = 0
     return forest
 
@@ -228,7 +277,7 @@ def _verify(rows: DataFrame, words: int, percent: int) -> DataFrame:
     return sent.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 32, ranks: int = 5, block_shingles: int = 6_000_000, seeds: int = 64) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 32, ranks: int = 5, block_shingles: int = 6_000_000, block_members: int = 50_000, seeds: int = 64) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     signed = materialize(signatures(docs, words, bands, ranks), "signatures")
     full = signed.where("n_shingles > 0 and doc_id is not null")
@@ -244,7 +293,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
 
     sized = materialize(cluster.join(signed.select(F.col("doc_id").alias("id"), "n_shingles").groupBy("id").agg(F.max("n_shingles").alias("n")), "id"), "clustered")
     totals = sized.groupBy("cluster").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("size"))
-    totals = totals.withColumn("blocks", F.ceil(F.col("n") / F.lit(block_shingles)).cast("int"))
+    totals = totals.withColumn("blocks", F.greatest(F.ceil(F.col("n") / F.lit(block_shingles)), F.ceil(F.col("size") / F.lit(block_members))).cast("int"))
     dealt = materialize(
         sized.select("id", "cluster")
         .join(totals.select("cluster", "blocks", "size"), "cluster")
@@ -259,18 +308,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     links = materialize(_verify(own.unionByName(extra).join(content, "id"), words, percent), "links")
 
     if dealt.where("blocks > 1").limit(1).count():
-        links = _outsiders(dealt, content, links, words, percent, block_shingles)
-    joined = materialize(components(links), "components")
-    by_class = classes.join(joined, "id", "left").select("key_a", "key_b", F.coalesce("component", "id").alias("component_id"))
-    return (
-        signed.alias("s")
-        .join(by_class.alias("c"), (F.col("s.key_a") == F.col("c.key_a")) & (F.col("s.key_b") == F.col("c.key_b")), "left")
-        .select("s.doc_id", "s.n_shingles", F.coalesce("c.component_id", "s.doc_id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+        links = _outsiders(dealt, content, links, words, percent)
+    by_class = classes.join(components(links), "id", "left").select("key_a", "key_b", F.coalesce("component", "id").alias("component_id"))
+    told = full.join(by_class, ["key_a", "key_b"]).select("doc_id", "n_shingles", "component_id")
+    # rows without a set or an id are linked with nothing: no join on their null keys
+    alone = signed.where("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return told.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _outsiders(dealt: DataFrame, content: DataFrame, links: DataFrame, words: int, percent: int, block_shingles: int) -> DataFrame:
+def _outsiders(dealt: DataFrame, content: DataFrame, links: DataFrame, words: int, percent: int) -> DataFrame:
     """Links of the second round: classes outside their cluster's largest component against all its blocks."""
     found = components(links)
     placed = dealt.where("blocks > 1").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))

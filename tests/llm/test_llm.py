@@ -269,6 +269,33 @@ def test_near_duplicates_equal_brute_force(spark, block):
     assert got == components_of(texts, 4, 80)
 
 
+def test_forest_in_a_block_equals_all_pairs():
+    from docloom.llm.neardup import _forest
+
+    for seed in range(60):
+        rng = np.random.default_rng(seed)
+        base = [rng.choice(60, rng.integers(1, 30), replace=False) for _ in range(4)]
+        sets = []
+        for _ in range(25):
+            s = set(base[rng.integers(4)].tolist())
+            s ^= set(rng.choice(60, rng.integers(0, 4), replace=False).tolist())
+            sets.append(np.array(sorted(s or {0}), np.uint64))
+        left, right = rng.random(25) < 0.7, rng.random(25) < 0.7
+        percent = int(rng.choice([50, 80, 100]))
+        root = list(range(25))
+        find = lambda x: x if root[x] == x else find(root[x])
+        for i, j in itertools.permutations(range(25), 2):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if left[i] and right[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+        got = list(range(25))
+        held = lambda x: x if got[x] == x else held(got[x])
+        for a, b in _forest(np.arange(25), sets, percent, left, right):
+            assert held(a) != held(b)
+            got[held(a)] = held(b)
+        assert len({(find(i), held(i)) for i in range(25)}) == len({find(i) for i in range(25)}) == len({held(i) for i in range(25)})
+
+
 def test_components_of_a_path(spark):
     from docloom.llm.neardup import components
 
