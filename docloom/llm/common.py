@@ -80,8 +80,8 @@ def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def positioned(df: DataFrame) -> tuple[DataFrame, str, str]:
-    """``df`` with two more columns, and their names: a hash of a row's file and its number there.
+def positioned(df: DataFrame, by_path: bool = False) -> tuple[DataFrame, str, str]:
+    """``df`` with two more columns, and their names: a row's file (a hash, or its path) and its number there.
 
     That tells equal rows apart, and is the same in every read. What does not come from Parquet files is written first.
     """
@@ -90,7 +90,7 @@ def positioned(df: DataFrame) -> tuple[DataFrame, str, str]:
         once = materialize(df, "rows") if once is None else once
         try:
             meta = once.metadataColumn("_metadata")
-            return once.select("*", F.xxhash64(meta["file_path"]).alias(file), meta["row_index"].alias(row)), file, row
+            return once.select("*", (meta["file_path"] if by_path else F.xxhash64(meta["file_path"])).alias(file), meta["row_index"].alias(row)), file, row
         except AnalysisException:
             if once is not df:
                 raise

@@ -784,6 +784,22 @@ def test_shards_round_trip_and_resume(spark, odd, tmp_path):
     assert sorted(r.slot for r in part) == list(range(45, 105)) and all(bytes(r.ids) == bytes(rows[r.slot].ids) for r in part)
 
 
+def test_order_does_not_depend_on_splits(spark, odd, tmp_path):
+    from docloom.llm.tokenout import ordered_digests
+
+    path = f"{tmp_path}/docs"
+    odd.repartition(3).write.option("parquet.block.size", 20_000).parquet(path)
+    digests = []
+    for size in ("128m", "20k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            docs = spark.read.parquet(path)
+            digests.append((docs.rdd.getNumPartitions(), sorted(map(str, ordered_digests(docs, Q.vocabulary_path(), length=64, per_shard=40).collect()))))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert digests[0][0] < digests[1][0] and digests[0][1] == digests[1][1] and digests[0][1]
+
+
 # --- the pipeline ---------------------------------------------------------------------------------------
 
 
