@@ -12,17 +12,21 @@ trigrams, plus its standard error, as a share of the median that held-back halve
 from 0 to 1. Other languages, random letters and encoded data come out near 0. A language whose halves say
 nothing of each other (one or few texts) has fit 1.
 
-Every language that occurs is learnt; machines grow with the square of the languages in a node.
+Every language that occurs is learnt; machines grow with the square of the languages in a node. A label's family is that
+of its first subtag (``en-GB`` is germanic); a language that no family names is a family of its own.
 
 Only text and non-null lang of rows whose crc32(doc_id as text) mod 5 is not 0 are learnt from.
 
 Defined results: null text and text without a letter are ``und`` with score 0; without any row to learn from
-so is every text; a null doc_id is never learnt from and counts as held out; repeated rows get equal results;
-an empty table gives an empty result; other columns are ignored.
+so is every text; a null doc_id is never learnt from and counts as held out; repeated rows get equal results, and rows
+that share doc_id and lang are learnt from once, by the text with the least hash; a tie of votes goes to the child that
+is first by name; very long texts are read whole; an empty table gives an empty result; other columns are kept by
+``identify``, whatever their names, and ignored by ``identify_documents``.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -45,6 +49,13 @@ FAMILIES = {
     "indic": ["hi", "bn", "mr", "ur", "ne"],
 }
 _FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
+
+
+def family_of(lang: str) -> str:
+    """The family of a language label: that of its first subtag, else the label itself."""
+    return _FAMILY.get(re.split(r"[-_]", lang.strip().lower())[0], lang)
+
+
 DIMS = 4096
 #: Texts whose trigram counts a task holds at once.
 ROWS = 256
@@ -96,17 +107,18 @@ def _lettered(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 # --- fitting ------------------------------------------------------------------------------------------
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = 12, rows: np.ndarray | None = None) -> np.ndarray:
+def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = 12, rows: np.ndarray | None = None, norms: np.ndarray | None = None) -> np.ndarray:
     """A linear machine with squared hinge loss (weights, then the bias), by dual coordinate descent; classes weigh alike.
 
-    ``rows`` are the rows of ``x`` that ``y`` is about (all, if not told); they are not copied.
+    ``rows`` are the rows of ``x`` that ``y`` is about (all, if not told); they are not copied. ``norms`` are the squared
+    norms of all rows of ``x``, if they are known.
     """
     rows = np.arange(len(x)) if rows is None else rows
     rng = np.random.default_rng(7)
     w, bias = np.zeros(x.shape[1], np.float64), 0.0
     share = np.where(y > 0, len(y) / max(1, 2 * (y > 0).sum()), len(y) / max(1, 2 * (y < 0).sum()))
     diag = 0.5 / (cost * share)
-    norm = np.einsum("ij,ij->i", x, x)[rows] + 1.0 + diag
+    norm = (np.einsum("ij,ij->i", x, x) if norms is None else norms)[rows] + 1.0 + diag
     alpha = np.zeros(len(y))
     for _ in range(epochs):
         for i in rng.permutation(len(y)):
@@ -218,22 +230,23 @@ def _typical(shares: np.ndarray) -> tuple[np.ndarray, float, float]:
 def fit(langs: list[str], shares: np.ndarray) -> Model:
     """A model from texts' trigram shares (one row of DIMS a text)."""
     known = sorted(set(langs))
-    families = sorted({_FAMILY.get(x, x) for x in known})
-    languages = {f: [x for x in known if _FAMILY.get(x, x) == f] for f in families}
+    families = sorted({family_of(x) for x in known})
+    languages = {f: [x for x in known if family_of(x) == f] for f in families}
     typical = {v: _typical(shares[np.array(langs, object) == v]) for v in known}
     scale = (1 / np.sqrt(shares.mean(axis=0) + 1e-6)).astype(np.float32) if len(shares) else np.ones(DIMS, np.float32)
     x = shares
     x *= scale  # in place: the driver holds the sample once
     lang = np.array(langs, object)
-    family = np.array([_FAMILY.get(v, v) for v in langs], object)
+    family = np.array([family_of(v) for v in langs], object)
     machines, curves, nodes = [], [], {}
+    norms = np.einsum("ij,ij->i", x, x)  # once for all machines
 
     def node(name: str, labels: np.ndarray, children: list[str]) -> None:
         nodes[name] = []
         for a, b in combinations(range(len(children)), 2):
             at = np.flatnonzero((labels == children[a]) | (labels == children[b]))
             y = np.where(labels[at] == children[a], 1.0, -1.0)
-            w = fit_svm(x, y, rows=at)
+            w = fit_svm(x, y, rows=at, norms=norms)
             curves.append(_platt(x[at] @ w[:-1].astype(np.float32) + w[-1], y))
             nodes[name].append((a, b, len(machines)))
             machines.append(w)
@@ -280,7 +293,9 @@ def learn(docs: DataFrame, per_language: int = 700) -> Model:
     per_language = min(per_language, max(LEAST, SAMPLE // len(counts)))
     draw = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") / float(2**53)
     rate = F.create_map(*[F.lit(x) for r in sorted(counts, key=lambda r: r["lang"]) for x in (r["lang"], min(1.0, per_language / r["count"]))])
-    return fit(*_shares(open_.where(draw < rate[F.col("lang")]).limit(2 * per_language * len(counts))))
+    # a row for each doc_id at most, so repeated rows do not lift the bound
+    chosen = open_.where(draw < rate[F.col("lang")]).groupBy("lang", "doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return fit(*_shares(chosen))
 
 
 def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "lang_score") -> DataFrame:

@@ -9,9 +9,10 @@ Reader: skips tags, finds frame headers (after damage it looks on for a header t
 the end follows), reads Xing and VBRI tables, verifies Layer III checksums, and gives exact durations
 (samples and rate) and the byte offset of every frame.
 
-Defined results: null text is empty, and its payload 64 zero bytes; equal texts have equal media; null media
-and media without frames give zero frames and an empty payload; an empty table gives an empty result; other
-columns are ignored.
+Defined results: null text is empty, and its payload 64 zero bytes; very long texts take as many frames as they need;
+equal texts (ties, repeated rows) have equal media; null media and media without frames give zero frames and an empty
+payload; an empty table gives an empty result; other columns are kept by ``decode_audio``, whatever their names (but
+for those that it adds), and ignored by ``audio_digests``.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import ship
+from docloom.llm.common import materialize, ship
 
 #: Fixed values of the format: kbit/s by (version 1, layer), (version 2, layer), rates of version 1.
 KBITS = {
@@ -305,8 +306,9 @@ def decode_audio(media: DataFrame) -> DataFrame:
 
 
 def audio_digests(docs: DataFrame) -> DataFrame:
-    """The digest columns of the stored media of every text, from the bytes read back."""
-    read = decode_audio(encode_audio(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
+    """The digest columns of the stored media of every text: media are written as a table and its bytes are read back."""
+    stored = materialize(encode_audio(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "media")
+    read = decode_audio(stored)
     return read.select(
         "doc_id",
         "n_bytes",

@@ -3,7 +3,7 @@
 A text's terms are hashed words and, more heavily, the look of its words: case, first and last byte kinds,
 length, words that come twice running, pairs of neighbouring looks, and the share of distinct words. Counts
 become log tf-idf; a truncated singular value decomposition of the labelled texts gives the latent axes.
-The labelled vectors (at most about ``rows``, by a hash threshold on doc_id) are broadcast, each document's
+The labelled vectors (at most ``rows``, those of least hash of doc_id and label) are broadcast, each document's
 cosine with all of them is computed exactly in blocks, and its ``neighbours`` nearest vote for their labels
 by similarity.
 
@@ -11,8 +11,10 @@ Labels are learnt only from rows whose crc32(doc_id as text) mod 5 is not 0; not
 
 Defined results: null and empty texts, and texts without any positive similarity, have the share of label 1
 among the labelled texts as score; without labels every score is 1; a null doc_id is never learnt from and
-counts as held out; repeated rows get equal results; several labels of a document count as several texts;
-an empty table gives an empty result; other columns are ignored.
+counts as held out; repeated rows get equal results; different labels of a document count as several texts, equal ones
+once, and of several texts of one doc_id that with the least hash is learnt from; neighbours at equal similarity (ties)
+are taken in any fixed order; very long texts are counted whole; an empty table gives an empty result; other columns are
+kept by ``classify``, whatever their names, and ignored by ``score_documents``.
 """
 
 from __future__ import annotations
@@ -132,14 +134,14 @@ def fit(c: np.ndarray, labels: np.ndarray, rank: int, neighbours: int) -> Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = 4000, rank: int = 64, neighbours: int = 15) -> Model:
-    """Fits on at most about ``rows`` labelled texts of documents that are not held out."""
+    """Fits on at most ``rows`` labelled texts of documents that are not held out: those with the least hashes."""
     spark = docs.sparkSession
     ship(spark)
     open_ = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_quality"))
-    total = open_.count()
-    draw = F.shiftrightunsigned(F.xxhash64("_id"), 11).cast("double") / float(2**53)
-    chosen = open_.where(draw < min(1.0, rows / max(1, total))).limit(2 * rows)  # about `rows`, at most twice that
-    texts = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select("_id", "_quality", "text")
+    chosen = open_.distinct().orderBy(F.xxhash64("_id", "_quality"), "_id", "_quality").limit(rows)
+    texts = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select("_id", "_quality", "text")  # `rows` rows at most
+    # one text for each label, so that what is collected is bounded by `rows` whatever repeats
+    texts = texts.groupBy("_id", "_quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,7 +155,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = 4000, rank: int = 64,
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, kinds[0]), pa.array(value, kinds[1])], names=["id", "quality", "at", "value"])
 
     found = texts.mapInArrow(count, "id long, quality int, at array<int>, value array<float>").toArrow()
-    order = np.lexsort((found.column("quality").to_numpy(), found.column("id").to_numpy()))[: 2 * rows]
+    order = np.lexsort((found.column("quality").to_numpy(), found.column("id").to_numpy()))
     c = np.zeros((len(order), DIMS), np.float32)
     at, value = found.column("at"), found.column("value")
     for r, i in enumerate(order.tolist()):
@@ -164,7 +166,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = 4000, rank: int = 64,
 
 def classify(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
     """All columns of ``docs`` with the score under ``name`` (one that ``docs`` does not have: see free_name)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x rank and 2 x rows x rank floats at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x rank and rows x rank floats at most
 
     def make():
         model = sent.value

@@ -6,12 +6,15 @@ and least weight. A query's bound for a block is the sum over terms of the large
 the block is above it. Blocks are taken in order of falling bound, and a query stops when the next bound
 is below its k-th score so far; equal bounds are still scored, as ties go to the smaller id.
 
-Queries go out in groups of about ``group`` rows, whose size is checked before they are sent; each group
-meets all candidates. Tasks return at most k rows a query, and groups of queries are merged by key.
+Queries go out in groups of about ``group`` rows (a hash of the id decides), one group after another: a group is
+broadcast, meets all candidates, its results are written and the broadcast is destroyed, so driver and executors
+hold one group at a time however many queries there are. Tasks return at most k rows a query, merged by query.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no part; vectors of
 different lengths meet on their common dimensions; a query's own id is not its candidate; repeated ids are
-candidates of their own; empty tables give an empty result; other columns are ignored.
+candidates of their own, and rows that share a query's id share one answer of k rows; ties go to the smaller
+vec_id; a null vec_id neither asks nor is found; texts play no part; empty tables give an empty result; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -75,22 +78,25 @@ class _Best:
         self.score[rows], self.id[rows], self.held[rows] = score[at, order], who[at, order], held[at, order]
 
 
-def _search(queries: np.ndarray, query_ids: np.ndarray, best: _Best, ids: np.ndarray, rows: np.ndarray, block: int) -> None:
-    """Scores blocks of ``rows`` in order of falling bound for every query until bounds are below its k-th score."""
+def _search(queries: np.ndarray, query_ids: np.ndarray, best: _Best, ids: np.ndarray, rows: np.ndarray, block: int, at_once: int = 4096) -> int:
+    """Scores blocks of ``rows`` in order of falling bound for every query until bounds are below its k-th score.
+
+    Returns how many (query, block) pairs were scored.
+    """
     starts = list(range(0, len(rows), block))
     tops = np.stack([rows[s : s + block].max(axis=0) for s in starts])
     lows = np.stack([rows[s : s + block].min(axis=0) for s in starts])
     width = min(queries.shape[1], rows.shape[1])
     bound = _product(np.maximum(queries[:, :width], 0), tops[:, :width]) + _product(np.minimum(queries[:, :width], 0), lows[:, :width])
     order = np.argsort(-bound, axis=1, kind="stable")
-    alive = np.arange(len(queries))
+    alive, done = np.arange(len(queries)), 0
     for step in range(len(starts)):
         alive = alive[bound[alive, order[alive, step]] >= best.floor()[alive]]
         if not len(alive):
-            return
+            break
         chosen = order[alive, step]
-        for b in np.unique(chosen):
-            who = alive[chosen == b]
+        done += len(alive)
+        for b, who in ((b, asked[i : i + at_once]) for b in np.unique(chosen) for asked in [alive[chosen == b]] for i in range(0, len(asked), at_once)):
             part = slice(starts[b], starts[b] + block)
             scores = _product(queries[who], rows[part])
             own = ids[part][None, :] != query_ids[who][:, None]
@@ -101,9 +107,10 @@ def _search(queries: np.ndarray, query_ids: np.ndarray, best: _Best, ids: np.nda
                 best.add(who, scores[:, useful], ids[part][useful], own[:, useful])
             else:
                 best.add(who, scores, ids[part], own)
+    return done
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, block: int = 512, group: int = 4096) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, block: int = 512, group: int = 32_768) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k highest integer inner products."""
     spark = vectors.sparkSession
     ship(spark)
@@ -127,6 +134,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
             yield pa.RecordBatch.from_arrays([pa.array(query_ids[q]), pa.array(best.id[q, at]), pa.array(best.score[q, at])], names=["query_id", "vec_id", "score"])
 
         found = kept.where("vec_id is not null").select("vec_id", "terms").mapInArrow(search, "query_id long, vec_id long, score long")
+        found = materialize(found, "found")
+        sent.destroy()
         out = found if out is None else out.unionByName(found)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return out.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

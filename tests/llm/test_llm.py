@@ -498,6 +498,22 @@ def test_top_k_prunes_and_groups(spark):
         assert [got[q, k + 1] for k in range(7)] == [(i, int(v[q] @ v[i])) for i in order]
 
 
+def test_block_bounds_prune():
+    """On clustered vectors most (query, block) pairs are never scored, and the answer is that of all pairs."""
+    from docloom.llm.topk import _Best, _search
+
+    rng = np.random.default_rng(4)
+    middle = rng.integers(-900, 900, (40, 16))
+    rows = np.repeat(middle, 50, axis=0) + rng.integers(-30, 30, (2000, 16))
+    ids, asked = np.arange(2000), np.arange(0, 2000, 20)
+    best = _Best(100, 10)
+    done = _search(rows[asked], asked, best, ids, rows, 50, at_once=7)
+    assert done < 0.5 * 100 * 40
+    for i, q in enumerate(asked):
+        want = sorted((j for j in range(2000) if j != q), key=lambda j: (-int(rows[q] @ rows[j]), j))[:10]
+        assert best.id[i].tolist() == want
+
+
 # --- learnt operators -----------------------------------------------------------------------------------
 
 
@@ -550,6 +566,54 @@ def test_every_language_is_learnt(spark):
     assert all(a == r[2] for a, r in zip(found, rows) if r[2] == "l44")
 
 
+def test_predictions_equal_plain_votes(spark, sf):
+    """Family, then language, by counting each pair's machine in turn over plain trigram counts of whole texts."""
+    from docloom.llm.langid import DIMS, identify, learn, trigrams
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    more = docs.select("doc_id", "text", "source", "n_chars", docs.lang)
+    model = learn(more)
+    assert len(model.languages) > 1 and any(len(x) > 1 for x in model.languages.values())
+    rows = {r.doc_id: r for r in identify(docs, model).collect()}
+    for r in docs.where("doc_id % 7 = 0").collect():
+        raw = (r.text or "").encode()
+        if not any(c.isalpha() for c in r.text or ""):
+            assert rows[r.doc_id].lang_pred == "und"
+            continue
+        counts = np.zeros(DIMS)
+        for h in trigrams(np.frombuffer(raw, np.uint8)).tolist():
+            counts[h] += 1
+        share = counts / counts.sum()
+
+        def choose(node, names, share=share):
+            votes = dict.fromkeys(names, 0.0)
+            for a, b, m in model.nodes[node]:
+                margin = sum(share[k] * model.weights[k, m] for k in np.flatnonzero(share)) + model.bias[m]
+                p = 1 / (1 + math.exp(-max(-30, min(30, model.curve[0][m] * margin + model.curve[1][m]))))
+                votes[names[a]] += p
+                votes[names[b]] += 1 - p
+            return max(names, key=lambda n: votes[n])
+
+        family = choose("", model.families)
+        assert rows[r.doc_id].lang_pred == choose(family, model.languages[family])
+
+
+def test_families_of_labels():
+    from docloom.llm.langid import family_of
+
+    assert [family_of(x) for x in ("en", "en-GB", "EN_us", "pt-BR", "xx", "zh-Hans")] == ["germanic"] * 3 + ["romance", "xx", "zh-Hans"]
+
+
+def test_labels_learnt_are_bounded_and_in_fixed_order(spark):
+    from docloom.llm.quality import learn
+
+    rnd = random.Random(1)
+    docs = spark.createDataFrame([(i % 60, words(rnd, 20), "en", "s", 1) for i in range(600)], DOCS)
+    labels = spark.createDataFrame([(i % 60, i % 2) for i in range(900)], "doc_id long, quality int")
+    one, two = learn(docs, labels, rows=25), learn(docs.repartition(7), labels.repartition(5), rows=25)
+    assert len(one.labels) == 25 and (one.labels == two.labels).all() and np.allclose(one.vectors, two.vectors)
+
+
 def test_svm_separates():
     from docloom.llm.langid import fit_svm
 
@@ -741,6 +805,42 @@ def test_audio_columns(spark, odd):
     assert sorted(tuple(r)[1:7] for r in got) == sorted(want)
 
 
+def frames_of(media):
+    """An independent walk over a stored stream: bodies of audio frames and the payload's length, from the format's description."""
+    assert media[:3] == b"ID3"
+    n = media[6] << 21 | media[7] << 14 | media[8] << 7 | media[9]
+    length = int.from_bytes(media[10 + n - 8 : 10 + n], "big")
+    at, bodies = 10 + n, []
+    rates = [0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320]
+    while at < len(media):
+        b = int.from_bytes(media[at : at + 4], "big")
+        assert b >> 21 == 0x7FF and b >> 19 & 3 == 3 and b >> 17 & 3 == 1 and b >> 10 & 3 == 2 and b >> 6 & 3 == 3
+        size = 144000 * rates[b >> 12 & 15] // 32000 + (b >> 9 & 1)
+        bodies.append((at, media[at : at + size], not b >> 16 & 1))
+        at += size
+    assert at == len(media)
+    return bodies, length
+
+
+def test_stored_streams_equal_an_independent_walk(spark, odd):
+    from docloom.llm.media import decode_audio, encode_audio
+
+    for r in decode_audio(encode_audio(odd.select("doc_id", "text"))).collect():
+        bodies, length = frames_of(bytes(r.media))
+        table, audio = bodies[0], bodies[1:]
+        assert b"Xing" in table[1] and list(r.offsets) == [at for at, _, _ in audio]
+        assert r.samples == 1152 * len(audio) and r.rate == 32000 and r.vbr_frames == len(audio)
+        body = b"".join(frame[4 + 2 * crc + 17 :] for _, frame, crc in audio)[:length]
+        assert body == bytes(r.payload) and length % 64 == 0 and length >= 64
+        for _, frame, crc in audio:
+            if crc:
+                value = 0xFFFF
+                for byte in frame[2:4] + frame[6:23]:
+                    for k in range(7, -1, -1):
+                        value = (value << 1 & 0xFFFF) ^ (0x8005 if (value >> 15) ^ (byte >> k & 1) else 0)
+                assert value == frame[4] << 8 | frame[5]
+
+
 def test_vbri_table_is_read():
     import struct
 
