@@ -3,7 +3,14 @@
 Each stage takes what its predecessor kept, written as Parquet and read again:
 quality (rejects documents that the classifier scores under its threshold), language (rejects texts without a
 recognised language), near-duplicates (keeps the smallest doc_id of each group), mix (repeats or leaves out
-documents so that sources meet their target weights) and pack (best-fit sequences; one row a piece).
+documents as the schedule's slots play them, in slot order) and pack (best-fit sequences; one row a piece).
+
+Defined results: null, empty and blank texts score as the classifier's prior says, are no language and so go in the
+language stage at the latest; very long texts are read whole in every stage; rows with a null doc_id pass quality and
+language by their text, are linked with nothing in near-duplicates and are mixed and packed like others; repeated rows
+(equal in all columns) have equal scores, all stay in near-duplicates if their doc_id stays, and are mixed each on its
+own; ties (equal texts) keep the smallest doc_id; empty tables give no rows in every stage; extra columns, whatever
+their names, are kept up to the last stage, and columns that a stage needs get names that are free.
 """
 
 from __future__ import annotations
@@ -49,7 +56,7 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as slots of the mix play them, in the order of the slots."""
     return mixed_documents(docs)
 
 
