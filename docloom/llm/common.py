@@ -134,7 +134,7 @@ def with_arrow_columns(docs: DataFrame, column: str, make, added: list[tuple[str
 # --- ranks ----------------------------------------------------------------------------------------
 
 
-def ranked(df: DataFrame, group: list[str], order: list[Column], rank: str, rows_per_bucket: int = 20_000) -> DataFrame:
+def ranked(df: DataFrame, group: list[str], order: list[Column], rank: str, rows_per_bucket: int = 2_000) -> DataFrame:
     """``df`` with a gapless rank from 0 in each group, however many rows one group holds.
 
     A group is cut into buckets of about ``rows_per_bucket`` rows by a hash of a row's place in the written table, so

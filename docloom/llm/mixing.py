@@ -130,7 +130,7 @@ def _played(docs: DataFrame, most: int, block: int, least_slots: int, seed: int,
     placed = rows.join(F.broadcast(sources.drop("target")), rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])  # a row a source
 
     # the tape: buckets of the shuffled order, then places inside a bucket
-    n = max(1, -(-rows.count() // 10_000))
+    n = max(1, -(-rows.count() // 2_000))
     placed = placed.withColumn("key", F.xxhash64("row_a", "row_b", F.lit(seed)))
     placed = placed.withColumn("bucket", F.floor((F.shiftrightunsigned("key", 11)).cast("double") / float(2**53) * n).cast("long"))
     words = F.col("size") * F.col("copies")
