@@ -24,7 +24,7 @@ What a page says of itself is prior knowledge of importance, and enters as impor
 Of what is left, articles alone are the main text if they hold half of what is in main and article elements and a fifth
 of all; else main elements if they hold a fifth of all; else everything.
 
-The tree is never built in one place: parsed pages are a written table, and counts of (host, path, children, text) are
+The tree is never built in one place: parsed pages (their pieces compressed) are a written table, and counts of (host, path, children, text) are
 grouped by key with partial sums, the page's text among the keys, so a host with a third of all pages is no one's task.
 Removed paths come back to pages by joins on (host, path) and on the page's place in the table.
 
@@ -44,8 +44,10 @@ import re
 from collections.abc import Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -354,16 +356,32 @@ def host_of(url: str | None) -> str:
 
 
 _NODE = pa.struct([("path", pa.int64()), ("children", pa.int64()), ("words", pa.int64()), ("up", pa.list_(pa.int64()))])
-_PIECE = pa.struct([("text", pa.string()), ("node", pa.int32()), ("kind", pa.int32()), ("block", pa.int32())])
-_PARSED = "host long, page long, holders array<long>, nodes array<struct<path: long, children: long, words: long, up: array<long>>>, pieces array<struct<text: string, node: int, kind: int, block: int>>"
+_PARSED = "host long, page long, holders array<long>, nodes array<struct<path: long, children: long, words: long, up: array<long>>>, pieces binary"
+
+
+def packed(pieces: list[tuple[str, int, int, int]], pack: zstandard.ZstdCompressor) -> bytes:
+    """Pieces as compressed bytes: their number, then their nodes, kinds, blocks and sizes as ints, then their text."""
+    texts = [p[0].encode("utf-8", "surrogatepass") for p in pieces]
+    numbers = np.array([[p[1], p[2], p[3], len(t)] for p, t in zip(pieces, texts)], "<i4").reshape(-1, 4)
+    return pack.compress(np.int32(len(texts)).astype("<i4").tobytes() + numbers.T.tobytes() + b"".join(texts))
+
+
+def unpacked(body: bytes, unpack: zstandard.ZstdDecompressor) -> tuple[list[str], list[int], list[int], list[int]]:
+    """Texts, nodes, kinds and blocks of packed pieces."""
+    raw = unpack.decompress(body)
+    n = int.from_bytes(raw[:4], "little")
+    nodes, kinds, blocks, sizes = np.frombuffer(raw, "<i4", 4 * n, 4).reshape(4, n)
+    ends = (4 + 16 * n + np.concatenate(([0], np.cumsum(sizes)))).tolist()
+    return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:])], nodes.tolist(), kinds.tolist(), blocks.tolist()
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, host and page (digests of the host's name and the page's text), holders, nodes and pieces: one row a page."""
+    """page_id, url, host and page (digests of the host's name and the page's text), holders, nodes and packed pieces: one row a page."""
     ship(pages.sparkSession)
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
         for whole in batches:
             for at in range(0, whole.num_rows, 64):  # few pages at once, so that a batch of long ones stays small
                 batch = whole.slice(at, 64)
@@ -376,7 +394,7 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
                         pa.array([digest(p.text()) for p in found], pa.int64()),
                         pa.array([sorted(p.holders) for p in found], pa.list_(pa.int64())),
                         pa.array([p.nodes for p in found], pa.list_(_NODE)),
-                        pa.array([p.placed() for p in found], pa.list_(_PIECE)),
+                        pa.array([packed(p.placed(), pack) for p in found], pa.binary()),
                     ],
                     names=["page_id", "url", "host", "page", "holders", "nodes", "pieces"],
                 )
@@ -422,25 +440,27 @@ def main_text(pages: DataFrame, least: float = 0.2, at_pages: int = 10) -> DataF
     low = materialize(low_branches(parsed, least, at_pages), "low")
     placed, file, row = positioned(parsed)
     on_pages = placed.select(file, row, "host", F.explode("nodes.path").alias("path")).join(low, ["host", "path"])
-    gone = on_pages.groupBy(file, row).agg(F.collect_set("path").alias("gone"))  # a page's own paths at most
+    # a page's own paths at most; written, so that its size is known when the join to pages is planned
+    gone = materialize(on_pages.groupBy(file, row).agg(F.collect_set("path").alias("gone")), "gone")
     rows = placed.join(gone, [file, row], "left").select("page_id", "url", "pieces", F.transform("nodes", lambda x: F.struct(x["path"], x["up"])).alias("nodes"), "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, removed = [], []
-            for pieces, nodes, low in zip(*(batch.column(i) for i in (2, 3, 4))):
-                parts = pieces.values
-                text, kinds, blocks = (parts.field(i).to_pylist() for i in (0, 2, 3))
-                if low.is_valid:
-                    off = set(low.as_py())
-                    out = [x["path"] in off or not off.isdisjoint(x["up"]) for x in nodes.as_py()]
-                    stay = [i for i, k in enumerate(parts.field(1).to_pylist()) if k < 0 or not out[k]]
-                    removed.append(len(text) - len(stay) if stay else 0)
-                    if stay:
-                        text, kinds, blocks = ([x[i] for i in stay] for x in (text, kinds, blocks))
-                else:
+        unpack = zstandard.ZstdDecompressor()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                texts, removed = [], []
+                for body, nodes, low in zip(*(batch.column(i) for i in (2, 3, 4))):
+                    text, places, kinds, blocks = unpacked(body.as_py(), unpack)
                     removed.append(0)
-                texts.append(joined(text, kinds, blocks))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int32())], names=["page_id", "url", "text", "n_chars", "removed"])
+                    if low.is_valid:
+                        off = set(low.as_py())
+                        out = [x["path"] in off or not off.isdisjoint(x["up"]) for x in nodes.as_py()]
+                        stay = [i for i, k in enumerate(places) if k < 0 or not out[k]]
+                        if stay:
+                            removed[-1] = len(text) - len(stay)
+                            text, kinds, blocks = ([x[i] for i in stay] for x in (text, kinds, blocks))
+                    texts.append(joined(text, kinds, blocks))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(removed, pa.int32())], names=["page_id", "url", "text", "n_chars", "removed"])
 
     return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long, removed int")
