@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Names of parameters that must not be kept, and of those that only track (fixed values).
+#: Names of parameters that must not be kept, those that an inventory leaves out, and those that only track (fixed values).
 SENSITIVE = "token|password|secret|authorization|api[-_]?key|session|signature|credential"
-TRACKING = "^(?:utm_.*|gclid|fbclid|spm|from|ref)$"
+INVENTORY_SENSITIVE = "token|password|secret|session|auth|api.?key|signature"
+TRACKING = "^(?:utm_|qhclickid|saasdianping|addrid)"
 _URL = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
 
@@ -69,7 +70,7 @@ def public_url(url: Column) -> Column:
 def inventory_url(url: Column) -> Column:
     """Without session paths, sensitive and tracking parameters."""
     path = F.regexp_replace(part(url, 3), "(?i);jsessionid=[^/?;#]*", "")
-    query = F.array_join(F.filter(F.split(part(url, 4), "&"), lambda s: ~_name(s).rlike(f"(?i){SENSITIVE}") & ~_name(s).rlike(f"(?i){TRACKING}")), "&")
+    query = F.array_join(F.filter(F.split(part(url, 4), "&"), lambda s: ~_name(s).rlike(f"(?i){INVENTORY_SENSITIVE}") & ~_name(s).rlike(f"(?i){TRACKING}")), "&")
     net = F.concat(host(url), F.when(port(url) == "", "").otherwise(F.concat(F.lit(":"), port(url))))
     return F.when(is_web(url), _build(F.lower(part(url, 1)), net, path, query))
 

@@ -39,3 +39,17 @@ def file_references(rows: DataFrame) -> DataFrame:
     """One row for each original and each derived file that delivery rows name."""
     original = rows.where("original_hash IS NOT NULL").select(F.col("original_hash").alias("sha"), F.lit("original").alias("kind"), "version_id", "row_number")
     return original.unionByName(rows.select(F.col("markdown_hash").alias("sha"), F.lit("markdown").alias("kind"), "version_id", "row_number"))
+
+
+def seeded_places(rows: DataFrame, key: str, seed: int, name: str = "place") -> DataFrame:
+    """``rows`` with their places (from 1) in a seeded shuffle, without one task that has them all.
+
+    The order is that of a digest of seed and key; its first digits deal rows into 4096 like parts, whose places begin
+    after the rows of the parts before (one count a part is added up).
+    """
+    dealt = rows.withColumn("_key", F.md5(F.concat(F.lit(f"{seed}/"), F.col(key).cast("string")))).withColumn("_part", F.substring("_key", 1, 3))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("_key", key))
+    numbered = dealt.withColumn("_r", inside).join(F.broadcast(base.select("_part", "_base")), "_part")  # at most 4096 rows
+    return numbered.withColumn(name, (F.col("_r") + F.col("_base")).cast("long")).drop("_key", "_part", "_r", "_base")

@@ -116,11 +116,11 @@ def d19_table_digest(spark, sf):
     return A.table_digest(table(spark, sf, "nation"))
 
 
-@query("SELECT conv_id, array_to_string(list_distinct(list(role ORDER BY turn)), ',') IS NOT NULL AS known, count(DISTINCT role) AS roles FROM conversations GROUP BY conv_id")
+@query("SELECT conv_id, string_agg(role, ',' ORDER BY first, role) AS roles FROM (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY 1, 2) GROUP BY 1")
 def d21_ordered_distinct(spark, sf):
     turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
     first = F.array_distinct(F.transform("t", lambda x: x["role"]))
-    return turns.select("conv_id", first.isNotNull().alias("known"), F.size(first).cast("long").alias("roles"))
+    return turns.select("conv_id", F.array_join(first, ",").alias("roles"))
 
 
 @query(with_ledgers("acquisition", sql="SELECT id FROM acquisition WHERE state = 'failed' AND acquired_at < (SELECT max(acquired_at) FROM acquisition) - INTERVAL 2 DAY AND request_key NOT IN (SELECT request_key FROM acquisition WHERE state = 'archived' AND id % 3 = 0)"))

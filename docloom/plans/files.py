@@ -8,6 +8,8 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
+from docloom.functions import identity as I
+from docloom.functions.text import LEGACY, LETTERS, STRONG, legacy_fonts, recover_legacy
 from docloom.operators import containers as K
 from docloom.plans.base import query
 from docloom.sources import sinks
@@ -105,14 +107,16 @@ def i06_equal_but_for_keys(spark, sf):
     return o.select(F.col("o_orderkey").alias("id"), (old == new).alias("frozen_equal"))
 
 
-@query(with_ledgers("task_input", sql="SELECT target_id, array_to_string(list_distinct(list_concat(list(request_id ORDER BY position), [target_id + 1, target_id + 9])), ',') IS NOT NULL AS known, len(list_distinct(list_concat(list(request_id), [target_id + 1, target_id + 9]))) AS inputs FROM task_input GROUP BY 1"))
+@query(with_ledgers("task_input", sql="""
+    WITH o AS (SELECT target_id, list(request_id ORDER BY position) AS old FROM task_input GROUP BY 1)
+    SELECT target_id, array_to_string(list_concat(old, list_filter([target_id + 1, target_id + 9], lambda x: NOT list_contains(old, x))), ',') AS inputs FROM o"""))
 def j03_amend_inputs(spark, sf):
     """New inputs behind the old ones, each once, old positions kept."""
     i = ledger(spark, sf, "task_input").groupBy("target_id").agg(F.array_sort(F.collect_list(F.struct("position", "request_id"))).alias("s"))
     old = F.transform("s", lambda x: x["request_id"])
     new = F.array(F.col("target_id") + 1, F.col("target_id") + 9)
     merged = F.concat(old, F.filter(new, lambda x: ~F.array_contains(old, x)))
-    return i.select("target_id", merged.isNotNull().alias("known"), F.size(merged).cast("long").alias("inputs"))
+    return i.select("target_id", F.array_join(merged, ",").alias("inputs"))
 
 
 @query(with_ledgers("version", sql="SELECT v.resource_id, v.id AS version_id, r.archive_ref FROM version v JOIN (SELECT md5(CAST(n AS VARCHAR)) AS archive_ref, n FROM (SELECT unnest(range(0, 500)) AS n)) r ON r.n = v.id % 700"))
@@ -127,14 +131,16 @@ def a10_reparse_inputs(spark, sf):
 PLANNING = ["per_page", "max_pages", "budget"]
 
 
-@query("SELECT c_custkey, sha256('options' || chr(31) || 'nation=' || c_nationkey || chr(30) || 'segment=' || c_mktsegment) AS options_hash, sha256('replay' || chr(31) || c_custkey || chr(31) || c_mktsegment) AS replay_key FROM customer")
+@query("""SELECT c_custkey, sha256('{"algorithm":"docloom.fingerprint.v1","kind":"options","value":{"nation":"' || c_nationkey || '","segment":' || CAST(to_json(c_mktsegment) AS VARCHAR) || '}}') AS options_hash,
+    sha256('{"algorithm":"docloom.delivery-replay.v1","payload":{"segment":' || CAST(to_json(c_mktsegment) AS VARCHAR) || '},"target":"t' || c_custkey || '"}') AS replay_key FROM customer""")
 def g09_g12_g13_option_hashes(spark, sf):
     """A hash of the options that matter, keys in order; G12: the key of a changed payload."""
-    options = F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("per_page"), F.lit("50"), F.lit("nation"), F.col("c_nationkey").cast("string"), F.lit("budget"), F.lit("9"))
+    options = F.create_map(F.lit("segment"), I.scalar("c_mktsegment"), F.lit("per_page"), F.lit("50"), F.lit("nation"), I.scalar(F.col("c_nationkey").cast("string")), F.lit("budget"), F.lit("9"))
     kept = F.map_entries(F.map_filter(options, lambda k, _: ~k.isin(PLANNING)))
-    text = F.array_join(F.array_sort(F.transform(kept, lambda e: F.concat_ws("=", e["key"], e["value"]))), "\u001e")
-    replay = F.concat_ws("\u001f", F.lit("replay"), F.col("c_custkey").cast("string"), "c_mktsegment")
-    return table(spark, sf, "customer").select("c_custkey", F.sha2(F.concat(F.lit("options\u001f"), text), 256).alias("options_hash"), F.sha2(replay, 256).alias("replay_key"))
+    pairs = F.array_sort(F.transform(kept, lambda e: F.concat(I.scalar(e["key"]), F.lit(":"), e["value"])))
+    value = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+    replay = I.replay_key(F.concat(F.lit("t"), F.col("c_custkey").cast("string")), I.members({"segment": I.scalar("c_mktsegment")}))
+    return table(spark, sf, "customer").select("c_custkey", I.tagged("options", value).alias("options_hash"), replay.alias("replay_key"))
 
 
 @query("SELECT conv_id, CASE role WHEN 'user' THEN 'issuer' WHEN 'assistant' THEN 'title' END AS field, min_by(text, turn) AS value FROM conversations WHERE role IN ('user', 'assistant') GROUP BY 1, 2")
@@ -149,10 +155,18 @@ def h11_label_fields(spark, sf):
 def h14_rtf_fonts(spark, sf):
     """Legacy fonts that an RTF head declares."""
     head = F.concat(F.lit("{\\rtf1{\\fonttbl{\\f0 Arial;}{\\f1 "), F.when(F.col("page_id") % 3 == 0, ".VnTime").otherwise("Times"), F.lit(";}}"))
-    fonts = F.array_distinct(F.filter(F.regexp_extract_all(head, F.lit(r"\\f\d+ ([^;{}]+);"), F.lit(1)), lambda f: f.rlike(r"(?i)(?:^|[.\s])(?:vn(?:time|arial|helvet|book|courier)|vntimeh)(?![a-z])")))
+    fonts = legacy_fonts(head)
     return table(spark, sf, "pages").select("page_id", (F.size(fonts) > 0).alias("legacy"), F.size(fonts).alias("fonts"))
 
 
+@query("""SELECT doc_id, sha256(CASE WHEN doc_id % 2 = 0 THEN array_to_string(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN regexp_matches(x, '[ĂăĐđĨĩŨũƠơƯưẠ-ỹ]') THEN x ELSE translate(x, '""" + LEGACY + "', '" + LETTERS + """') END), chr(10))
+    WHEN length(text) - length(translate(text, '""" + STRONG + """', '')) >= 3 THEN array_to_string(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN regexp_matches(x, '[ĂăĐđĨĩŨũƠơƯưẠ-ỹ]') THEN x ELSE translate(x, '""" + LEGACY + "', '" + LETTERS + """') END), chr(10)) ELSE text END) AS sha FROM documents""")
+def h13_h14_recovery_by_fonts(spark, sf):
+    """H13 with the evidence of H14: every second document declares a legacy font."""
+    head = F.concat(F.lit("{\\rtf1{\\fonttbl{\\f0 "), F.when(F.col("doc_id") % 2 == 0, ".VnTimeH").otherwise("Arial"), F.lit(";}}"))
+    return table(spark, sf, "documents").select("doc_id", F.sha2(recover_legacy(F.col("text"), F.size(legacy_fonts(head)) > 0), 256).alias("sha"))
+
+
 @query(with_ledgers("task", sql="SELECT id, CASE error WHEN 'network_failed' THEN 'no connection' WHEN 'http_500' THEN 'server error' WHEN 'interrupted' THEN 'stopped' ELSE 'other: ' || error END AS detail FROM task WHERE error IS NOT NULL"))
 def k09_failure_details(spark, sf):
     """K9: error codes to texts by a dictionary."""

@@ -199,6 +199,7 @@ def e10_link_score(spark, sf):
     return p.select("page_id", score.alias("score")).where("score >= 3").orderBy(F.desc("score"), "page_id").limit(12)
 
 
-@query()
+@query("SELECT item_id, CAST(row_number() OVER (ORDER BY md5('20260714/' || item_id), item_id) AS BIGINT) AS place FROM benchmark")
 def e12_seeded_shuffle(spark, sf):
-    return table(spark, sf, "benchmark").select("item_id").orderBy(F.xxhash64("item_id", F.lit(20260714)), "item_id")
+    """Jobs in the order of a seed: each with its place."""
+    return P.seeded_places(table(spark, sf, "benchmark").select("item_id"), "item_id", 20260714)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docloom.functions import identity as I
 from docloom.functions import text as X
 from docloom.functions import urls as U
 from docloom.operators import containers as K
@@ -39,39 +40,77 @@ def g02_public_url(spark, sf):
 
 
 @query(_urls(f"""SELECT page_id, CASE WHEN ok THEN scheme || '://' || host || CASE port WHEN '' THEN '' ELSE ':' || port END || CASE p WHEN '' THEN '/' ELSE p END || CASE q WHEN '' THEN '' ELSE '?' || q END END AS url
-    FROM (SELECT *, regexp_replace(path, '(?i);jsessionid=[^/?;#]*', '', 'g') AS p, array_to_string(list_filter(string_split(query, '&'), lambda s: NOT regexp_matches(string_split(s, '=')[1], '(?i){U.SENSITIVE}') AND NOT regexp_matches(string_split(s, '=')[1], '(?i){U.TRACKING}')), '&') AS q FROM web)"""))
+    FROM (SELECT *, regexp_replace(path, '(?i);jsessionid=[^/?;#]*', '', 'g') AS p, array_to_string(list_filter(string_split(query, '&'), lambda s: NOT regexp_matches(string_split(s, '=')[1], '(?i){U.INVENTORY_SENSITIVE}') AND NOT regexp_matches(string_split(s, '=')[1], '(?i){U.TRACKING}')), '&') AS q FROM web)"""))
 def g04_inventory_url(spark, sf):
     return ledger(spark, sf, "link").select("page_id", U.inventory_url(F.col("url")).alias("url"))
 
 
-@query(_urls("SELECT page_id, sha256('docloom.request.v1' || chr(10) || 'GET' || chr(10) || scheme || '://' || net || path || chr(10) || 'page') AS request_key FROM web WHERE ok"))
-def g05_request_key(spark, sf):
-    u = F.col("url")
-    known = ledger(spark, sf, "link").where(U.is_web(u))
-    bare = F.concat(F.lower(U.part(u, 1)), F.lit("://"), U._netloc(u), U.part(u, 3))
-    return known.select("page_id", F.sha2(F.concat_ws("\n", F.lit("docloom.request.v1"), F.lit("GET"), bare, F.lit("page")), 256).alias("request_key"))
+def js(x: str) -> str:
+    """DuckDB's JSON text of a value."""
+    return f"coalesce(CAST(to_json({x}) AS VARCHAR), 'null')"
 
 
-@query("SELECT doc_id, sha256('docloom.record.v1' || chr(31) || source || chr(31) || lang || chr(31) || CAST(doc_id AS VARCHAR)) AS record_hash FROM documents")
-def g06_record_hash(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.sha2(F.concat_ws("\u001f", F.lit("docloom.record.v1"), "source", "lang", F.col("doc_id").cast("string")), 256).alias("record_hash"))
+_PUBLIC = "CASE WHEN userinfo = '' AND len(secrets) = 0 AND ok THEN scheme || '://' || net || CASE path WHEN '' THEN '/' ELSE path END || CASE WHEN query = '' THEN '' ELSE '?' || query END END"
 
 
-@query(with_ledgers("delivery", sql="""SELECT seq, sha256('input' || chr(31) || array_to_string(list_sort([input_fp, content_hash, mode]), chr(30))) AS input_fingerprint, sha256('parser' || chr(31) || parser_fp) AS parser_fingerprint,
-    sha256('version' || chr(31) || sha256('input' || chr(31) || array_to_string(list_sort([input_fp, content_hash, mode]), chr(30))) || chr(31) || sha256('parser' || chr(31) || parser_fp)) AS version_fingerprint FROM delivery"""))
-def g08_fingerprints(spark, sf):
-    d = ledger(spark, sf, "delivery")
-    tag = lambda kind, v: F.sha2(F.concat(F.lit(kind), F.lit("\u001f"), v), 256)
-    i = tag("input", F.array_join(F.array_sort(F.array("input_fp", "content_hash", "mode")), "\u001e"))
-    p = tag("parser", F.col("parser_fp"))
-    return d.select("seq", i.alias("input_fingerprint"), p.alias("parser_fingerprint"), tag("version", F.concat(i, F.lit("\u001f"), p)).alias("version_fingerprint"))
+@query(_urls(f"""SELECT page_id, CASE WHEN public IS NOT NULL THEN sha256('{{"algorithm":"docloom.request-key.v1","form":' || CASE WHEN page_id % 3 = 0 THEN {js("sha256('{\"page\":' || page_id || '}')")} ELSE 'null' END
+    || ',"method":' || {js("CASE WHEN page_id % 3 = 0 THEN 'POST' ELSE 'GET' END")} || ',"role":' || {js("CASE WHEN page_id % 2 = 0 THEN 'page' ELSE 'file' END")} || ',"url":' || {js('public')} || '}}') END AS request_key FROM (SELECT page_id, {_PUBLIC} AS public FROM web)"""))
+def g05_request_key(spark, sf):
+    """All links; those whose URL is refused as a public one have no key."""
+    form = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('{"page":'), F.col("page_id"), F.lit("}")))
+    method = F.when(F.col("page_id") % 3 == 0, "POST").otherwise("GET")
+    role = F.when(F.col("page_id") % 2 == 0, "page").otherwise("file")
+    return ledger(spark, sf, "link").select("page_id", I.request_key(method, U.public_url(F.col("url")), form, role).alias("request_key"))
 
 
-@query(with_ledgers("task", sql="SELECT id, CASE WHEN external_key IS NOT NULL THEN sha256(namespace || chr(31) || external_key) ELSE sha256('inputs' || chr(31) || CAST(seq AS VARCHAR)) END AS key FROM task WHERE kind = 'target'"))
+@query(f"""SELECT doc_id, sha256('{{"algorithm":"docloom.source-record.v1","external_key":' || {js("CASE WHEN doc_id % 4 <> 0 THEN CAST(doc_id AS VARCHAR) END")} || ',"namespace":' || {js("CASE WHEN doc_id % 4 <> 1 THEN lang END")}
+    || ',"source_id":' || {js("source")} || '}}') AS record_hash FROM documents""")
+def g06_record_hash(spark, sf):
+    """Records without a namespace or a key among them."""
+    d = table(spark, sf, "documents")
+    namespace, key = F.when(F.col("doc_id") % 4 != 1, F.col("lang")), F.when(F.col("doc_id") % 4 != 0, F.col("doc_id").cast("string"))
+    return d.select("doc_id", I.record_hash(F.col("source"), namespace, key).alias("record_hash"))
+
+
+def _input_sql(k: int) -> str:
+    """One of two inputs of a delivery, as DuckDB writes it."""
+    charset = "CASE WHEN seq % 3 = 0 THEN 'utf-8' END"
+    order = "CASE WHEN seq % 2 = 1 THEN 1 END" if k else "CAST(NULL AS INTEGER)"
+    context = "'{\"mode\":' || " + js("mode") + " || '}'" if k else "'{}'"
+    return f"""'{{"base_url":' || {js("'https://example.org/' || resource_id")} || ',"charset":' || {js(charset)} || ',"context":' || {context} || ',"role":' || {js("'attachment'" if k else "'page'")}
+        || ',"semantic_locator":' || {js(f"'$.results[' || ((seq + {k}) % 2) || ']'")} || ',"slice_hash":' || {js("content_hash" if k else "input_fp")} || ',"volume_order":' || {js(order)} || '}}'"""
+
+
+@query(with_ledgers("delivery", sql=f"""
+    WITH i AS (SELECT *, sha256('{{"algorithm":"docloom.fingerprint.v1","kind":"input","value":{{"external_key":' || {js("CAST(resource_id AS VARCHAR)")} || ',"inputs":[' || array_to_string(list_sort([{_input_sql(0)}, {_input_sql(1)}]), ',') || '],"namespace":' || {js("CASE WHEN seq % 5 <> 0 THEN mode END")} || '}}}}') AS input_fingerprint,
+        sha256('{{"algorithm":"docloom.fingerprint.v1","kind":"parser","value":{{"adapter":"web","algorithm":"v1"' || CASE WHEN seq % 2 = 0 THEN ',"pdf":' || {js("parser_fp")} ELSE '' END || '}}}}') AS parser_fingerprint FROM delivery)
+    SELECT seq, input_fingerprint, parser_fingerprint, sha256('{{"algorithm":"docloom.fingerprint.v1","kind":"version","value":{{"input":"' || input_fingerprint || '","parser":"' || parser_fingerprint || '"}}}}') AS version_fingerprint,
+        sha256('{{"algorithm":"docloom.fingerprint.v1","kind":"content","value":{{"dates":{{}},"deliverables":[],"extensions":{{}},"links":[],"media":[],"metadata":{{"title":' || {js("content_hash")} || '}},"tables":[]}}}}') AS content FROM i"""))
+def g08_fingerprints(spark, sf):
+    """G8 of two inputs with all seven fields, G9 of the effective part of a manifest, G10 of both and of the content."""
+    d = ledger(spark, sf, "delivery")
+    order = lambda c: c.cast("int").alias("volume_order")
+    common = [F.concat(F.lit("https://example.org/"), "resource_id").alias("base_url"), F.when(F.col("seq") % 3 == 0, "utf-8").alias("charset")]
+    at = lambda k: F.concat(F.lit("$.results["), (F.col("seq") + k) % 2, F.lit("]")).alias("semantic_locator")
+    page = F.struct(*common, F.lit(None).cast("string").alias("context"), F.lit("page").alias("role"), at(0), F.col("input_fp").alias("slice_hash"), order(F.lit(None)))
+    extra = F.struct(*common, I.members({"mode": I.scalar("mode")}).alias("context"), F.lit("attachment").alias("role"), at(1), F.col("content_hash").alias("slice_hash"), order(F.when(F.col("seq") % 2 == 1, 1)))
+    manifest = F.create_map(F.lit("pdf"), I.scalar("parser_fp"), F.lit("adapter"), F.lit('"web"'), F.lit("office"), F.lit('"7.1"'), F.lit("algorithm"), F.lit('"v1"'))
+    used = F.when(F.col("seq") % 2 == 0, F.array(F.lit("pdf"))).otherwise(F.array().cast("array<string>"))
+    i = I.input_fingerprint(F.when(F.col("seq") % 5 != 0, F.col("mode")), F.col("resource_id").cast("string"), F.array(page, extra))
+    p = I.tagged("parser", I.effective_manifest(manifest, used))
+    told = d.select("seq", "content_hash", i.alias("input_fingerprint"), p.alias("parser_fingerprint"))
+    content = I.content_hash({"metadata": I.members({"title": I.scalar("content_hash")})})
+    return told.select("seq", "input_fingerprint", "parser_fingerprint", I.version_fingerprint(F.col("input_fingerprint"), F.col("parser_fingerprint")).alias("version_fingerprint"), content.alias("content"))
+
+
+@query(with_ledgers("task", sql=f"""SELECT id, CASE WHEN external_key IS NOT NULL AND seq % 7 <> 0 THEN sha256('{{"external_key":' || {js("external_key")} || ',"namespace":' || {js("namespace")} || '}}')
+    ELSE sha256('{{"inputs":["' || sha256(CAST(seq AS VARCHAR)) || '","' || sha256(CAST(seq + 1 AS VARCHAR)) || '"]}}') END AS key FROM task WHERE kind = 'target'"""))
 def g11_target_key(spark, sf):
+    """Targets with half an identity among them: they are known by their inputs."""
     t = ledger(spark, sf, "task").where("kind = 'target'")
-    own = F.sha2(F.concat_ws("\u001f", "namespace", "external_key"), 256)
-    return t.select("id", F.when(F.col("external_key").isNotNull(), own).otherwise(F.sha2(F.concat_ws("\u001f", F.lit("inputs"), F.col("seq").cast("string")), 256)).alias("key"))
+    namespace = F.when(F.col("seq") % 7 != 0, F.col("namespace"))
+    keys = F.array(F.sha2(F.col("seq").cast("string"), 256), F.sha2((F.col("seq") + 1).cast("string"), 256))
+    return t.select("id", I.target_key(namespace, F.col("external_key"), keys).alias("key"))
 
 
 @query(_urls("SELECT page_id, CASE WHEN regexp_matches(d, '^[0-9]+$') THEN d END AS docid, CASE f WHEN '' THEN 'file' ELSE f END AS file FROM (SELECT page_id, regexp_extract(query, '(?:^|&)docid=([^&]*)', 1) AS d, url_decode(string_split(path, '/')[-1]) AS f FROM web)"))
@@ -142,7 +181,7 @@ def b13_accepted_route(spark, sf):
 @query("SELECT event_id, CAST(props::JSON->>'k' AS BIGINT) AS k, 'a/b' AS escaped FROM events")
 def b15_json_pointer(spark, sf):
     e = table(spark, sf, "events").withColumn("body", F.concat(F.lit('{"a/b":["x",'), F.col("props"), F.lit("]}")))
-    return e.select("event_id", K.json_pointer("/a~1b/1/k")(F.col("body")).cast("long").alias("k"), F.lit("a/b").alias("escaped"))
+    return e.select("event_id", K.json_pointer(F.col("body"), "/a~1b/1/k").cast("long").alias("k"), F.lit("a/b").alias("escaped"))
 
 
 @query(with_ledgers("task", sql="SELECT run_id, count(DISTINCT namespace || chr(31) || coalesce(external_key, CAST(id AS VARCHAR))) AS identities FROM task WHERE kind = 'target' GROUP BY run_id"))
@@ -174,9 +213,11 @@ def h04_clean_value(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.clean_value(t).alias("value"), X.value_error(t).alias("error"))
 
 
-@query()
+@query("""WITH n AS (SELECT doc_id, trim(regexp_replace(regexp_replace(nfc_normalize(text), '[\\x00-\\x1f\\x7f/\\\\:*?"<>|]+', '_', 'g'), '\\s+', ' ', 'g'), ' ._') AS v FROM documents)
+    SELECT doc_id, coalesce(nullif(rtrim(left(v, list_max(list_filter(range(0, 151), lambda k: strlen(left(v, k)) <= 150))), ' ._'), ''), 'document') AS name FROM n""")
 def h05_safe_name(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.mapped(X.safe_name)("text").alias("name"))
+    """Whole texts as titles."""
+    return table(spark, sf, "documents").select("doc_id", X.safe_name(F.col("text")).alias("name"))
 
 
 @query("SELECT p_partkey, replace(p_name, ' ', '_') || '_' || left(sha256(p_type), 8) || CASE WHEN p_size % 3 = 0 THEN '_' || lpad(CAST(p_size AS VARCHAR), 2, '0') ELSE '' END || '.md' AS file FROM part")
@@ -199,33 +240,24 @@ def h09_h10_field_rules(spark, sf):
     return table(spark, sf, "pages").select("page_id", title.alias("title"), F.regexp_extract("url", "/([a-z]{2})/", 1).alias("lang"), F.regexp_extract("url", "/([0-9]+)", 1).try_cast("bigint").alias("number"))
 
 
-@query(f"SELECT doc_id, sha256(translate(text, '{X._legacy_map()[0]}', '{X._legacy_map()[1]}')) AS sha FROM documents")
+@query(f"SELECT doc_id, sha256(translate(text, '{X.LEGACY}', '{X.LETTERS}')) AS sha FROM documents")
 def h12_legacy_letters(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.sha2(X.legacy_to_unicode(F.col("text")), 256).alias("sha"))
 
 
-@query(f"SELECT doc_id, sha256(CASE WHEN length(text) - length(translate(text, '{X.STRONG}', '')) >= 3 THEN array_to_string(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN regexp_matches(x, '[ĂăĐđĨĩŨũƠơƯưẠ-ỹ]') THEN x ELSE translate(x, '{X._legacy_map()[0]}', '{X._legacy_map()[1]}') END), chr(10)) ELSE text END) AS sha FROM documents")
+@query(f"SELECT doc_id, sha256(CASE WHEN length(text) - length(translate(text, '{X.STRONG}', '')) >= 3 THEN array_to_string(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN regexp_matches(x, '[ĂăĐđĨĩŨũƠơƯưẠ-ỹ]') THEN x ELSE translate(x, '{X.LEGACY}', '{X.LETTERS}') END), chr(10)) ELSE text END) AS sha FROM documents")
 def h13_legacy_recovery(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.sha2(X.recover_legacy(F.col("text")), 256).alias("sha"))
 
 
-@query(with_ledgers("block", sql="""
-    SELECT document_id, block_no, CASE WHEN top THEN '# ' WHEN section THEN '## ' WHEN title AND n <= 2 THEN '# ' ELSE '' END || left(text, 40) AS line FROM (
-        SELECT *, sum(CASE WHEN title THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no) + 9 * coalesce(sum(CASE WHEN top OR section THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no), 0) AS n FROM (
-            SELECT *, regexp_matches(text, '^(?i)(the|chapter) ') AS top, regexp_matches(text, '^(?i)(of|mit) ') AS section, regexp_matches(text, '^(?i)(is|a|das) ') AND NOT regexp_matches(text, '^(?i)(the|chapter|of|mit) ') AS title FROM block))"""))
-def h16_heading_recovery(spark, sf):
-    start = ledger(spark, sf, "block").withColumn("text", F.substring("text", 1, 40))  # as its SQL
-    return K.headings(start, "^(?:the|chapter) ", "^(?:of|mit) ", "^(?:is|a|das) ", 2)
-
-
 @query(with_ledgers("block", sql="""
     SELECT document_id, block_no, CASE WHEN top THEN '# ' WHEN section THEN '## ' WHEN article THEN '### ' WHEN title AND n <= 2 THEN '# ' ELSE '' END || text AS line FROM (
         SELECT *, sum(CASE WHEN title THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no) + 9 * sum(CASE WHEN top OR section OR article THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY block_no) AS n FROM (
             SELECT *, regexp_matches(text, '^(?i)(is|a|das) ') AND NOT top AND NOT section AND NOT article AS title FROM (
                 SELECT *, regexp_matches(text, '^(?i)(by|le) ') AND NOT top AND NOT section AS article FROM (
                     SELECT *, regexp_matches(text, '^(?i)(the|chapter) ') AS top, regexp_matches(text, '^(?i)(of|mit) ') AS section FROM block))))"""))
-def h16_heading_recovery_whole(spark, sf):
-    """Whole lines and all three levels."""
+def h16_heading_recovery(spark, sf):
+    """Whole lines and all three levels, with words of the data in place of the legal ones (see LEGAL)."""
     return K.headings(ledger(spark, sf, "block"), "^(?:the|chapter) ", "^(?:of|mit) ", "^(?:is|a|das) ", 2, "^(?:by|le) ")
 
 
@@ -252,17 +284,20 @@ def h29_language_normalisation(spark, sf):
     return table(spark, sf, "benchmark").select("item_id", F.when(F.col("item_id") % 2 == 0, squeezed).otherwise(F.trim(F.regexp_replace("text", r"\s+", " "))).alias("text"))
 
 
-@query("""SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')) AS email, sha256(regexp_replace(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '[REDACTED_EMAIL]', 'g')) AS sha
-    FROM documents WHERE NOT regexp_matches(text, '[0-9]{11}') AND NOT regexp_matches(text, 'gAAAA')""")
-def h30_redaction(spark, sf):
-    kept = table(spark, sf, "documents").where("NOT text RLIKE '[0-9]{11}' AND NOT text RLIKE 'gAAAA'")
-    body, counts = X.redactions(F.col("text"))
-    return kept.select("doc_id", counts["email"].cast("long").alias("email"), F.sha2(body, 256).alias("sha"))
+_EMAIL = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 
-@query()
-def h30_redaction_all(spark, sf):
-    """All documents with all four counts; h30_redaction, as its SQL, leaves out those with long numbers or tokens."""
+@query(f"""
+    WITH t AS (SELECT doc_id, text, regexp_replace(text, 'gAAAA[A-Za-z0-9_=-]+', '[REDACTED_TOKEN]', 'g') AS a FROM documents),
+    e AS (SELECT *, regexp_replace(a, '{_EMAIL}', '[REDACTED_EMAIL]', 'g') AS b FROM t),
+    m AS (SELECT *, regexp_extract_all(b, '[0-9]+|[^0-9]+') AS runs FROM e),
+    n AS (SELECT *, array_to_string(list_transform(runs, lambda x: CASE WHEN regexp_full_match(x, '1[3-9][0-9]{{9}}') THEN '[REDACTED_MOBILE]' ELSE x END), '') AS c FROM m),
+    i AS (SELECT *, regexp_extract_all(c, '[0-9]+[Xx]?|[^0-9]+') AS parts FROM n),
+    k AS (SELECT *, list_transform(parts, lambda x, n: regexp_full_match(x, '[0-9]{{18}}[Xx]?') OR (regexp_full_match(x, '[0-9]{{17}}[Xx]') AND NOT coalesce(regexp_matches(parts[n + 1], '^[0-9]'), false))) AS hit FROM i)
+    SELECT doc_id, len(regexp_extract_all(text, 'gAAAA[A-Za-z0-9_=-]+')) AS token, len(regexp_extract_all(a, '{_EMAIL}')) AS email, len(list_filter(runs, lambda x: regexp_full_match(x, '1[3-9][0-9]{{9}}'))) AS mobile,
+        len(list_filter(hit, lambda x: x)) AS identity, sha256(array_to_string(list_transform(parts, lambda x, n: CASE WHEN hit[n] THEN '[REDACTED_IDENTITY]' || CASE WHEN regexp_full_match(x, '[0-9]{{18}}[Xx]') THEN right(x, 1) ELSE '' END ELSE x END), '')) AS sha FROM k""")
+def h30_redaction(spark, sf):
+    """All documents, with all four counts and a digest of the redacted text."""
     body, counts = X.redactions(F.col("text"))
     return table(spark, sf, "documents").select("doc_id", *[counts[k].cast("long").alias(k) for k in ("token", "email", "mobile", "identity")], F.sha2(body, 256).alias("sha"))
 
@@ -332,8 +367,18 @@ def h22_html_to_markdown(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.mapped(K.html_to_markdown)("html").alias("markdown"))
 
 
-@query()
+@query("SELECT doc_id, CASE WHEN length(t) >= 8 THEN t || chr(10) END AS text FROM (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[{}\\\\\\r]', '', 'g'), '[ \\t]+', ' ', 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12)) AS t FROM documents)")
 def h15_rtf_text(spark, sf):
-    raw = F.concat(F.lit("{\\rtf1{\\fonttbl{\\f0 Arial;}}\\b "), F.regexp_replace(F.regexp_replace("text", r"[\\{}]", ""), "\n", "\\\\par "), F.lit("}"))
-    d = table(spark, sf, "documents").select("doc_id", F.encode(raw, "utf-8").alias("body"))
+    """Whole texts written as RTF, with escapes for letters beyond ASCII, and read back."""
+
+    def letter(c):
+        n = F.ascii(c)
+        above = n - 65536
+        pair = F.concat(F.lit("\\u"), F.lit(55296) + F.floor(above / 1024), F.lit("?\\u"), F.lit(56320) + above % 1024, F.lit("?"))
+        return F.when(n < 128, c).when(n < 65536, F.concat(F.lit("\\u"), n, F.lit("?"))).otherwise(pair)
+
+    plain = F.regexp_replace(F.regexp_replace("text", r"[\\{}\r]", ""), "\n", "\u0001")
+    body = F.replace(F.array_join(F.transform(F.split(plain, ""), letter), ""), F.lit("\u0001"), F.lit("\\par "))
+    raw = F.concat(F.lit("{\\rtf1{\\fonttbl{\\f0 Arial;}}\\b "), body, F.lit("}"))
+    d = table(spark, sf, "documents").select("doc_id", F.encode(raw, "iso-8859-1").alias("body"))
     return d.select("doc_id", X.mapped(K.rtf_text)("body").alias("text"))

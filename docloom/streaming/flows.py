@@ -66,8 +66,30 @@ def incremental_timeline(stream: DataFrame) -> DataFrame:
     return stream.groupBy("resource_id").applyInPandasWithState(step, _TIMELINE, held, "append", GroupStateTimeout.NoTimeout)
 
 
-def drain(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over all that is there and returns what it wrote (a memory table: for tests and small flows)."""
-    q = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def drain(stream: DataFrame, place: str) -> DataFrame:
+    """Runs a stream over all that is there and returns what it wrote, as a Parquet table below ``place``.
+
+    Only appended rows are written: windows once the watermark has passed them. A last batch that holds no data lets
+    the watermark move on, so windows are complete but for those that the watermark has not reached at the end.
+    """
+    out = f"{place}/rows"
+    q = stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(out)
+
+
+def drain_totals(stream: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """Runs an aggregation over all that is there and returns its last totals.
+
+    Every batch appends the groups that it changed, under its number; the row of the last batch of each group counts.
+    """
+    out = f"{place}/changes"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    q = stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return stream.sparkSession.table(name)
+    rows = stream.sparkSession.read.parquet(out).drop("batch")
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in stream.columns if c not in keys]), "_batch").alias("_last"))
+    return last.select(*keys, "_last.*").select(*stream.columns)

@@ -91,10 +91,11 @@ def test_markdown_escapes():
     assert X.escape_markdown(" \n ") == ""
 
 
-def test_safe_names():
-    assert X.safe_name(' a/b:"c"  d. ') == "a_b_c_ d"
-    assert X.safe_name("...") == "document"
-    assert len(X.safe_name("é" * 200).encode()) == 150
+def test_safe_names(spark):
+    titles = [' a/b:"c"  d. ', "...", "é" * 200, "a" * 149 + "é", "a" * 147 + "🙂", "x" * 150 + "y", None, "", "\u00a0 n\u0301\u2003m \u00a0"]
+    want = ["a_b_c_ d", "document", "é" * 75, "a" * 149, "a" * 147, "x" * 150, None, "document", "ń m"]
+    d = spark.createDataFrame(list(enumerate(titles)), "i int, t string")
+    assert [r.n for r in d.orderBy("i").select(X.safe_name(F.col("t")).alias("n")).collect()] == want
 
 
 def test_private_addresses(spark):
@@ -153,12 +154,20 @@ def test_office_and_gazette():
     assert K.gazette_markdown(b"<a") is None
 
 
-def test_anchors_and_pointer_and_robots():
+def test_pointers(spark):
+    body = '{"a/b":[{"~":3},{"m":{"0":"zero"}}],"s":"x","n":null,"o":{"k":[1,2]},"7":"seven"}'
+    d = spark.createDataFrame([(body,), ("broken",), (None,)], "b string")
+    cases = {"/a~1b/0/~0": "3", "/a~1b/1/m/0": "zero", "/s": "x", "/n": None, "/o": '{"k":[1,2]}', "/a~1b/5": None, "/7": "seven", "/o/k/01": None, "/s/0": None}
+    got = d.select(*[K.json_pointer(F.col("b"), p).alias(str(i)) for i, p in enumerate(cases)]).collect()
+    assert list(got[0]) == list(cases.values()) and not any(got[1]) and not any(got[2])
+    for bad in ("a", "/a'b", "/"):
+        with pytest.raises(ValueError):
+            K.json_pointer(F.col("b"), bad)
+
+
+def test_anchors_and_robots():
     got = K.anchor_list('<a href="/x#f">One</a><a href="javascript:0">no</a><a href="/x">again</a><a href="https://o.org/">two', "https://h.org/a/")
     assert got == [("https://h.org/x", "One", True), ("https://o.org/", "two", False)]
-    assert K.resolve_pointer({"a/b": [{"~": 3}]}, "/a~1b/0/~0") == 3
-    with pytest.raises(KeyError):
-        K.resolve_pointer({"a": []}, "/a/0")
     policy = "User-agent: *\nDisallow: /private\nAllow: /private/open\n"
     assert [K.robots_allow(policy, 200, p) for p in ("/", "/private/x", "/private/open/1")] == [True, False, True]
     assert K.robots_allow(None, 404, "/x") is True and K.robots_allow(None, 500, "/x") is None
@@ -167,6 +176,12 @@ def test_anchors_and_pointer_and_robots():
 def test_chain_follows_hops(spark):
     d = spark.createDataFrame([(i, i - 1 if i else None) for i in range(9)], "id long, parent_id long")
     assert {r.id: (r.root, r.depth) for r in J.chain_roots(d).collect()} == {i: (0, i) for i in range(9)}
+    long = spark.createDataFrame([(i, i - 1 if i else None) for i in range(20)] + [(50, 49), (51, 50)], "id long, parent_id long")
+    for hops in (11, 4, 1, 0):
+        want = {i: (max(0, i - hops), min(i, hops)) for i in range(20)}
+        got = {r.id: (r.root, r.depth) for r in J.chain_roots(long, hops=hops).collect()}
+        assert {i: got[i] for i in want} == want
+    assert got[51] == (51, 0) and {r.id: r.root for r in J.chain_roots(long).collect()}[51] == 49
 
 
 def test_dominance_equals_brute_force(spark):
@@ -180,8 +195,8 @@ def test_dominance_equals_brute_force(spark):
 
 
 def test_legacy_lines():
-    a, b = X._legacy_map()
-    assert len(a) == len(b) and dict(zip(a, b))["µ"] == "à"
+    pairs = dict(zip(X.LEGACY, X.LETTERS))
+    assert len(X.LEGACY) == len(X.LETTERS) and [pairs[c] for c in "µõø§\xad"] == ["à", "ừ", "ứ", "Đ", "ư"]
 
 
 def _redacted(text):
@@ -205,12 +220,12 @@ def _redacted(text):
 
 
 def test_redaction_of_all_documents(spark, sf, tmp_path):
-    docs = [(i, t) for i, t in enumerate(["13912345678 a@b.org", "id 11010519491231002X, 123456789012345678x", "gAAAAabc_-= 139123456789", "12345678901234567X1", "none", ""])]
+    docs = [(i, t) for i, t in enumerate(["13912345678 a@b.org", "id 11010519491231002X, 123456789012345678x", "gAAAAabc_-= 139123456789", "12345678901234567X1", "none", "", "a@b.cc+d@e.fr", "x" * 5000 + " 110105194912310021x 13912345678"])]
     docs += [(1000 + r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     from docloom.plans import registry
 
-    got = {r.doc_id: r for r in registry.queries()["h30_redaction_all"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r for r in registry.queries()["h30_redaction"](spark, str(tmp_path)).collect()}
     assert len(got) == len(docs)
     for i, text in docs:
         counts, body = _redacted(text)
@@ -221,26 +236,26 @@ def test_redaction_of_all_documents(spark, sf, tmp_path):
 def test_page_class_of_all_pages(spark, sf):
     from docloom.plans import registry
 
-    assert registry.queries()["k01_page_class_all"](spark, sf).count() == spark.read.parquet(f"{sf}/pages.parquet").count()
+    assert registry.queries()["k01_page_class"](spark, sf).count() == spark.read.parquet(f"{sf}/pages.parquet").count()
 
 
 def test_headings_keep_whole_lines_and_mark_articles(spark):
     long = "Luật " + "x" * 100
     lines = [long, "Điều 1. Phạm vi " + "y" * 60, "Luật sau", "Mục 2", "Chương I", "Điều kiện"]
     rows = spark.createDataFrame([(1, i, t) for i, t in enumerate(lines)], "document_id long, block_no long, text string")
-    got = [r.line for r in K.headings(rows, "^(?:phần|chương) ", "^(?:mục|tiểu mục) ", "^luật ", 2, r"^(?:điều|Điều)\s+\d+[a-zA-Z]?(?:\s*[.:]|$)").orderBy("block_no").collect()]
+    got = [r.line for r in K.headings(rows).orderBy("block_no").collect()]  # the legal words are its own
     assert got == ["# " + long, "### " + lines[1], "Luật sau", "## Mục 2", "# Chương I", "Điều kiện"]
 
 
 def test_names_and_rtf_read_whole_texts(spark, tmp_path):
     from docloom.plans import registry
 
-    texts = [" ._" * 200 + "Name", "word " * 3000 + "end", "a"]
+    texts = [" ._" * 200 + "Name", "word " * 3000 + "end", "a", "Zürich 🙂 città {x}\\y\nline  two"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     names = {r.doc_id: r.name for r in registry.queries()["h05_safe_name"](spark, str(tmp_path)).collect()}
-    assert names == {i: X.safe_name(t) for i, t in enumerate(texts)} and names[0] == "Name"
+    assert names == {0: "Name", 1: ("word " * 30).strip(), 2: "a", 3: "Zürich 🙂 città {x}_y_line two"}
     rtf = {r.doc_id: r.text for r in registry.queries()["h15_rtf_text"](spark, str(tmp_path)).collect()}
-    assert rtf[1].split() == texts[1].split()
+    assert rtf[1].split() == texts[1].split() and rtf[2] is None and rtf[3] == "Zürich 🙂 città xy\nline two\n"
 
 
 def test_no_query_claims_page_inspection():
@@ -283,3 +298,92 @@ def test_alignment_reads_whole_passages_and_texts(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: (r.distance, r.start, r.end) for r in registry.queries()["h27_semi_global_alignment"](spark, str(tmp_path)).collect()}
     assert got == {i: _aligned(p, t) for i, (p, t) in enumerate(zip(passages, texts))} and all(x[0] <= 3 for x in got.values())
+
+
+def test_identities_are_canonical_json(spark):
+    """Keys in order, nulls told, letters kept: digests of what Python's JSON writes."""
+    import json
+
+    from docloom.functions import identity as I
+
+    digest = lambda v: hashlib.sha256(json.dumps(v, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
+    rows = [(None, "en"), ("en", None), ("", "en"), ('a"b\\/\n', "é🙂"), (None, None)]
+    d = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string").orderBy("i")
+    got = [r.h for r in d.select(I.record_hash(F.lit("s"), F.col("a"), F.col("b")).alias("h")).collect()]
+    assert got == [digest({"algorithm": "docloom.source-record.v1", "source_id": "s", "namespace": a, "external_key": b}) for a, b in rows] and len(set(got)) == 5
+    got = [r.h for r in d.select(I.target_key(F.col("a"), F.col("b"), F.array(F.lit("k1"), F.lit("k2"))).alias("h")).collect()]
+    assert got == [digest({"namespace": a, "external_key": b}) if a and b else digest({"inputs": ["k1", "k2"]}) for a, b in rows]
+    url = F.lit("https://h.org/?q=1")
+    key = spark.range(1).select(I.request_key(F.lit("POST"), url, F.lit('{"x":1}'), F.lit("page")).alias("k"), I.request_key(F.lit("GET"), url, F.lit(None).cast("string"), F.lit("page")).alias("n"), I.request_key(F.lit("GET"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit("page")).alias("r")).first()
+    base = {"algorithm": "docloom.request-key.v1", "url": "https://h.org/?q=1", "role": "page"}
+    assert key.k == digest({**base, "method": "POST", "form": digest({"x": 1})}) and key.n == digest({**base, "method": "GET", "form": None}) and key.r is None
+    inputs = [{"role": "page", "semantic_locator": "$", "slice_hash": "z", "charset": None, "base_url": "b", "volume_order": None, "context": {"k": "v"}}, {"role": "page", "semantic_locator": "$", "slice_hash": "a", "charset": "utf-8", "base_url": "b", "volume_order": 2, "context": {}}]
+    kind = "array<struct<role:string,semantic_locator:string,slice_hash:string,charset:string,base_url:string,volume_order:int,context:string>>"
+    told = spark.createDataFrame([([{**x, "context": json.dumps(x["context"], separators=(",", ":"))} for x in inputs],)], f"x {kind}")
+    got = told.select(I.input_fingerprint(F.lit("n"), F.lit(None).cast("string"), F.col("x")).alias("h")).first().h
+    order = sorted(inputs, key=lambda x: json.dumps(x, sort_keys=True, separators=(",", ":")))
+    assert got == digest({"algorithm": "docloom.fingerprint.v1", "kind": "input", "value": {"namespace": "n", "external_key": None, "inputs": order}})
+
+
+def test_vietnamese_reasons_and_document_reasons(spark):
+    texts = ["µ©§µ legacy", "漢" * 12, "āēī odd", "Nơi nhận: x", "Nơi nhận TM. y", "plain enough text of a page"]
+    blocks = spark.createDataFrame([(i, 0, 5 if i == 5 else 1, "text", t, 0.1) for i, t in enumerate(texts)], "document_id long, block_no long, page_idx long, type string, text string, y0 double")
+    pages = spark.createDataFrame([(i, 1, 0, 0.01, False) for i in range(6)], "document_id long, page long, native_text_chars long, ink_ratio double, suspected_scan boolean")
+    whole = blocks.select("document_id", F.concat("text", F.when(F.col("document_id") == 0, "µ©§µ").otherwise("")).alias("text"))
+    own = S.document_reasons(blocks, whole, pages, vietnamese=True)
+    gated = S.page_gate(pages.join(S.page_measures(blocks, True), ["document_id", "page"], "left").na.fill(0).join(own, "document_id"), True)
+    got = {r.document_id: set(r.reasons) - {"nonblank_page_without_ocr_text", "low_ink_blank_page_candidate"} for r in gated.collect()}
+    assert got == {0: {"legacy_vietnamese_font_garbled"}, 1: {"non_vietnamese_garbage"}, 2: {"foreign_diacritic_garbage"}, 3: {"signature_block_missing"}, 4: set(), 5: {"page_1_blocks_missing_with_unreliable_mapping"}}
+    routes = {r.document_id: r for r in S.document_route(gated, own).collect()}
+    assert routes[0].route == routes[5].route == "legacy_font_encoding_recovery" and routes[1].route == "vision_reparse_pages" and routes[0].reason_count >= 2
+
+
+def test_source_classes(spark):
+    base = {"noise": False, "outcome": "ACCESSIBLE_HTML", "article_blocks": 0, "detail_outcome": None, "detail_blocks": 0, "templates": 0, "iframes": 0, "candidates": 0, "override": None}
+    cases = [({}, "G"), ({"noise": True, "outcome": "HTTP_ERROR"}, "X"), ({"outcome": "SOFT_ERROR"}, "F"), ({"outcome": "ACCESSIBLE_PDF"}, "A"), ({"detail_outcome": "ACCESSIBLE_HTML", "detail_blocks": 1}, "A"), ({"detail_outcome": "JS_SHELL", "detail_blocks": 1, "candidates": 3}, "B"), ({"templates": 3}, "E"), ({"templates": 2, "outcome": "SKIP_INPUT"}, "D"), ({"iframes": 1, "outcome": "SKIP_INPUT"}, "E"), ({"override": "C", "noise": True}, "C")]
+    rows = [(i, *{**base, **c}.values()) for i, (c, _) in enumerate(cases)]
+    d = spark.createDataFrame(rows, "i int, noise boolean, outcome string, article_blocks int, detail_outcome string, detail_blocks int, templates int, iframes int, candidates int, override string")
+    got = [r.c for r in d.orderBy("i").select(S.source_class({k: F.col(k) for k in base}).alias("c")).collect()]
+    assert got == [c for _, c in cases]
+
+
+def test_html_to_markdown():
+    html = "<head><title>no</title></head><h2>T <b>b</b></h2><p>one<br>two <a href='/x'>link</a><script>no()</script></p><ul><li>i<li>j</ul><style>no</style>tail"
+    assert K.html_to_markdown(html) == "## T **b**\n\none two [link](/x)\n\n* i\n\n* j\n\ntail\n"
+    assert K.html_to_markdown("") == "" and K.html_to_markdown("<p> <b></b></p>") == ""
+    assert K.html_to_markdown("<p><b>a<br><p>b</b></p>") == "**a**\n\nb\n"
+
+
+def test_seeded_shuffle_is_a_permutation(spark):
+    from docloom.operators.pages import seeded_places
+
+    d = spark.range(3000)
+    one = {r.id: r.place for r in seeded_places(d, "id", 7).collect()}
+    assert sorted(one.values()) == list(range(1, 3001))
+    order = sorted(range(3000), key=lambda i: (hashlib.md5(f"7/{i}".encode()).hexdigest(), i))
+    assert [one[i] for i in order] == list(range(1, 3001)) and one != {r.id: r.place for r in seeded_places(d, "id", 8).collect()}
+
+
+def test_mapped_spans():
+    assert S.mapped_span("abcdef", "xxabcdef", 1, 4) == (3, 6, 1.0)
+    assert S.mapped_span("abcdef", "abdef", 2, 3) == (None, None, 0.0)
+    assert S.mapped_span("abcdef", "abXdef", 1, 5)[:2] == (1, 5) and S.mapped_span("abcdef", "abXdef", 1, 5)[2] == 0.75
+    rnd = random.Random(2)
+    for _ in range(200):
+        a = "".join(rnd.choices("abc", k=12))
+        b = list(a)
+        for _ in range(rnd.randrange(4)):
+            b.insert(rnd.randrange(len(b) + 1), "z")
+        start, end, same = S.mapped_span(a, "".join(b), 3, 9)
+        assert same == 1.0 and "".join(b[start:end]).replace("z", "") == a[3:9]
+
+
+def test_edit_scripts_are_least(spark, sf):
+    """Whole passages: as many operations as Spark's own distance, each applied once gives the other text."""
+    from docloom.plans import registry
+
+    distance = {r.item_id: r.distance for r in registry.queries()["h28_levenshtein"](spark, sf).collect()}
+    steps = {}
+    for r in registry.queries()["h26_edit_script"](spark, sf).collect():
+        steps[r.item_id] = steps.get(r.item_id, 0) + 1
+    assert distance and steps == {i: d for i, d in distance.items() if d}

@@ -55,6 +55,45 @@ def test_pages_stay_on_their_snapshot(spark, published):
     assert {r["source_id"] for r in S.page(spark, published, log, "me", [1], 100)["items"]} == {1}
 
 
+def test_changed_tables_do_not_verify(spark, published, tmp_path):
+    import shutil
+
+    root = published.removeprefix("file://")
+    shutil.copytree(f"{root}/a", tmp_path / "a")
+    rows = spark.read.parquet(f"{root}/a/rows")
+    changed = rows.withColumn("title", F.when(F.col("row_number") == 1, "other").otherwise(F.col("title")))  # all counts stay
+    changed.write.mode("overwrite").parquet(str(tmp_path / "a/rows"))
+    assert not S.verify(spark, str(tmp_path / "a")) and S.verify(spark, f"{published}/a")
+    with pytest.raises(C.ConfigError, match="snapshot_not_verified"):
+        S.publish(spark, str(tmp_path / "log"), "a", str(tmp_path / "a"))
+
+
+def test_closure_bodies_must_be_there(spark, tmp_path):
+    import hashlib
+
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    resources = spark.createDataFrame([(1, 1, 10)], "id long, source_id long, current_version_id long")
+    versions = spark.createDataFrame([(10, 1)], "id long, resource_id long")
+    rows = spark.createDataFrame([(10, 0, "t", sha(b"m"), sha(b"o"))], "version_id long, row_number long, title string, markdown_hash string, original_hash string")
+    S.create(f"{tmp_path}/s", resources, spark.createDataFrame([], "resource_id long, version_id long"), versions, rows)
+    bodies = lambda *b: spark.createDataFrame([(sha(k), bytearray(v)) for k, v in b], "sha256 string, body binary")
+    assert S.verify(spark, f"{tmp_path}/s", bodies((b"m", b"m"), (b"o", b"o")))
+    assert not S.verify(spark, f"{tmp_path}/s", bodies((b"m", b"m"))) and not S.verify(spark, f"{tmp_path}/s", bodies((b"m", b"m"), (b"o", b"x")))
+
+
+def test_cursors_have_a_proof_and_a_life_time():
+    now = [100.0]
+    c = S.Cursors(b"secret", 60, clock=lambda: now[0])
+    cursor = c.issue({"snapshot": "a", "after": [1, 2]})
+    assert c.read(cursor)["after"] == [1, 2]
+    for forged in (cursor[:-6] + "AAAAAA", "", "x", S.Cursors(b"other", 60, clock=lambda: now[0]).issue({"snapshot": "a"})):
+        with pytest.raises(C.ConfigError, match="invalid_cursor"):
+            c.read(forged)
+    now[0] = 161.0
+    with pytest.raises(C.ConfigError, match="expired_cursor"):
+        c.read(cursor)
+
+
 def test_configurations(tmp_path):
     assert C.parse(GOOD).entry_urls == ["https://a.org/x"]
     for change, code in [({"id": "x"}, "invalid_source_id"), ({"archive_approved": False}, "source_archive_approval_required"), ({"entry_urls": ["https://b.org/"]}, "source_out_of_scope"), ({"nope": 1}, "unknown_config_key"), ({"blocked_patterns": ["("]}, "invalid_regex"), ({"allowed_path_prefixes": ["/a/../b"]}, "invalid_path_scope"), ({"budget": {"requests": 0}}, "invalid_budget"), ({"fields": {"t": {}}}, "field_rule_needs_one_source"), ({"host_path_scopes": {"b.org": ["/"]}}, "invalid_host_path_scope")]:
