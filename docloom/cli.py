@@ -1,4 +1,4 @@
-"""Thin command line (L7): list and run registered queries, check a source configuration, publish a snapshot.
+"""Thin command line (L7): list and run registered queries, check a source configuration, create, list, inspect and publish snapshots.
 
 Exit codes: 0 done, 1 refused, 2 wrong arguments.
 """
@@ -6,6 +6,7 @@ Exit codes: 0 done, 1 refused, 2 wrong arguments.
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from docloom.sources.config import ConfigError, load
@@ -24,6 +25,15 @@ def main(argv: list[str] | None = None) -> int:
     snapshot = commands.add_parser("publish")
     snapshot.add_argument("root")
     snapshot.add_argument("name")
+    create = commands.add_parser("snapshot-create", help="from Parquet tables resources, overrides, versions and rows in a folder")
+    create.add_argument("root")
+    create.add_argument("name")
+    create.add_argument("tables")
+    inspect = commands.add_parser("snapshot-inspect")
+    inspect.add_argument("root")
+    inspect.add_argument("name")
+    listed = commands.add_parser("snapshot-list")
+    listed.add_argument("root")
     args = parser.parse_args(argv)
     from docloom.plans import registry
     from docloom.session import session
@@ -38,6 +48,18 @@ def main(argv: list[str] | None = None) -> int:
                 raise ConfigError("unknown_query")
             out = registry.queries()[args.query](session("docloom run"), args.folder)
             out.write.mode("errorifexists").parquet(args.out) if args.out else out.show(20, False)
+        elif args.command == "snapshot-create":
+            from docloom.operators.snapshots import create as create_snapshot
+
+            spark = session("docloom snapshot-create")
+            create_snapshot(f"{args.root}/{args.name}", *[spark.read.parquet(f"{args.tables}/{t}") for t in ("resources", "overrides", "versions", "rows")]).show()
+        elif args.command in ("snapshot-inspect", "snapshot-list"):
+            from docloom.operators.snapshots import inspect as inspect_snapshot
+            from docloom.operators.snapshots import snapshots
+
+            spark = session("docloom snapshots")
+            for name in snapshots(spark, args.root) if args.command == "snapshot-list" else [args.name]:
+                print(name, json.dumps(inspect_snapshot(spark, f"{args.root}/{name}")))
         else:
             from docloom.operators.snapshots import publish
 

@@ -73,3 +73,28 @@ def table_digest(rows: DataFrame) -> DataFrame:
     h = F.md5(text)
     half = lambda a: F.sum(F.conv(F.substring(h, a, 12), 16, 10).cast("decimal(38,0)"))
     return rows.agg(F.count(F.lit(1)).alias("n"), half(1).cast("string").alias("low"), half(13).cast("string").alias("high"))
+
+
+def campaigns(rows: DataFrame, by: str, order: str) -> DataFrame:
+    """Each key's campaign row that counts: a later row replaces one that was interrupted; one that replaces a
+    finished row is a conflict (``error``), and the finished row stays. Columns: ``by``, ``order``, campaign, outcome."""
+    whole = F.struct(order, "campaign", "outcome")
+    broken = F.col("outcome") == "INTERRUPTED"
+    agg = rows.groupBy(by).agg(F.min(F.when(~broken, whole)).alias("done"), F.max(whole).alias("last"))
+    conflict = F.col("done").isNotNull() & (F.col(f"last.{order}") > F.col(f"done.{order}"))
+    kept = F.coalesce("done", "last")
+    return agg.select(by, kept["campaign"].alias("campaign"), kept["outcome"].alias("outcome"), F.when(conflict, "campaign_conflict").alias("error"))
+
+
+def recoverable_jobs(jobs: DataFrame, queue: DataFrame, now: DataFrame, stalled_days: int) -> DataFrame:
+    """Jobs to put back, and why: running ones whose sign of life is too old (``stalled``), and waiting ones that
+    no queue entry stands for (``unqueued``). ``jobs``: id, state, seen_at; ``queue``: id; ``now``: one row."""
+    old = F.col("seen_at") < F.col("now") - F.expr(f"INTERVAL {stalled_days} DAY")
+    stalled = jobs.where("state = 'running'").join(F.broadcast(now)).where(old).select("id", F.lit("stalled").alias("why"))
+    unqueued = jobs.where("state = 'waiting'").join(queue.select("id").distinct(), "id", "left_anti").select("id", F.lit("unqueued").alias("why"))
+    return stalled.unionByName(unqueued)
+
+
+def run_status(tasks: DataFrame, by: str) -> DataFrame:
+    """A run has failed if any of its tasks has an error, else it is complete."""
+    return tasks.groupBy(by).agg(F.when(F.count("error") > 0, "failed").otherwise("complete").alias("status"))

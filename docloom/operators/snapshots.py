@@ -77,6 +77,21 @@ def verify(spark: SparkSession, path: str, bodies: DataFrame | None = None) -> b
     return not wanted.join(sound, "sha256", "left_anti").limit(1).count()
 
 
+def snapshots(spark: SparkSession, root: str) -> list[str]:
+    """The names of the closed snapshots below a folder, in order."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()] if files.exists(where) else []
+    return sorted(n for n in found if is_closed(spark, f"{root}/{n}"))
+
+
+def inspect(spark: SparkSession, path: str) -> dict:
+    """A closed snapshot's counters and digests, and whether its tables still have them."""
+    if not is_closed(spark, path):
+        raise ConfigError("snapshot_not_closed")
+    return {**spark.read.parquet(f"{path}/counters").first().asDict(), "verified": verify(spark, path)}
+
+
 def publish(spark: SparkSession, log: str, snapshot: str, path: str) -> bool:
     """Appends a publication if the snapshot verifies and is not the published one; whether it changed."""
     if not is_closed(spark, path) or not verify(spark, path):
@@ -155,7 +170,12 @@ def page(spark: SparkSession, root: str, log: str, caller: str, sources: list |
 _OWN = Cursors(secrets.token_bytes(32))
 
 
-def file_body(spark: SparkSession, cas: DataFrame, rows: DataFrame, sha: str) -> DataFrame:
-    """The stored body of a file, only if the published closure names it."""
-    named = rows.where((F.col("markdown_hash") == sha) | (F.col("original_hash") == sha)).select(F.lit(sha).alias("sha256")).limit(1)
+def file_bodies(cas: DataFrame, rows: DataFrame) -> DataFrame:
+    """The stored bodies that a closure names."""
+    named = rows.select(F.explode(F.array("markdown_hash", "original_hash")).alias("sha256")).where("sha256 IS NOT NULL").distinct()
     return cas.join(named, "sha256", "left_semi")
+
+
+def file_body(spark: SparkSession, cas: DataFrame, rows: DataFrame, sha: str) -> DataFrame:
+    """The stored body of one file, only if the published closure names it."""
+    return file_bodies(cas.where(F.col("sha256") == sha), rows.where((F.col("markdown_hash") == sha) | (F.col("original_hash") == sha)))

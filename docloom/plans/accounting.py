@@ -123,20 +123,18 @@ def d21_ordered_distinct(spark, sf):
     return turns.select("conv_id", F.array_join(first, ",").alias("roles"))
 
 
-@query(with_ledgers("acquisition", sql="SELECT id FROM acquisition WHERE state = 'failed' AND acquired_at < (SELECT max(acquired_at) FROM acquisition) - INTERVAL 2 DAY AND request_key NOT IN (SELECT request_key FROM acquisition WHERE state = 'archived' AND id % 3 = 0)"))
-def a20_stalled_jobs(spark, sf):
+@query(with_ledgers("acquisition", sql="SELECT id, 'stalled' AS why FROM acquisition WHERE state = 'failed' AND acquired_at < (SELECT max(acquired_at) FROM acquisition) - INTERVAL 2 DAY UNION ALL SELECT id, 'unqueued' FROM acquisition WHERE state <> 'failed' AND id % 3 <> 0"))
+def a20_recoverable_jobs(spark, sf):
+    """Failed acquisitions stand for running jobs, others for waiting ones, of which every third is queued."""
     a = ledger(spark, sf, "acquisition")
-    now = a.agg(F.max("acquired_at").alias("now"))
-    queued = a.where("state = 'archived' AND id % 3 = 0").select("request_key").distinct()
-    stalled = a.where("state = 'failed'").crossJoin(F.broadcast(now)).where("acquired_at < now - INTERVAL 2 DAY")
-    return stalled.join(queued, "request_key", "left_anti").select("id")
+    jobs = a.select("id", F.when(F.col("state") == "failed", "running").otherwise("waiting").alias("state"), F.col("acquired_at").alias("seen_at"))
+    return A.recoverable_jobs(jobs, a.where("state <> 'failed' AND id % 3 = 0"), a.agg(F.max("acquired_at").alias("now")), 2)
 
 
-@query("SELECT o_orderkey AS id, last_by AS campaign FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN 'second' ELSE 'first' END AS last_by FROM orders)")
+@query("""SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN 'second' ELSE 'first' END AS campaign, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 <> 0 THEN 'INTERRUPTED' ELSE 'OK' END AS outcome,
+    CASE WHEN o_orderstatus <> 'F' AND o_orderkey % 2 = 0 THEN 'campaign_conflict' END AS error FROM orders""")
 def a18_campaign_merge(spark, sf):
-    """A later campaign's row replaces an earlier one only where that was interrupted."""
     o = table(spark, sf, "orders")
     first = o.select(F.col("o_orderkey").alias("id"), F.lit(1).alias("n"), F.lit("first").alias("campaign"), F.when(F.col("o_orderstatus") == "F", "INTERRUPTED").otherwise("OK").alias("outcome"))
     second = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("id"), F.lit(2).alias("n"), F.lit("second").alias("campaign"), F.lit("OK").alias("outcome"))
-    rows = first.unionByName(second).groupBy("id").agg(F.min(F.struct("n", "campaign", "outcome")).alias("a"), F.max(F.struct("n", "campaign", "outcome")).alias("b"))
-    return rows.select("id", F.when(F.col("a.outcome") == "INTERRUPTED", F.col("b.campaign")).otherwise(F.col("a.campaign")).alias("campaign"))
+    return A.campaigns(first.unionByName(second), "id", "n")

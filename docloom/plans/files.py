@@ -48,6 +48,40 @@ def a11_i09_zip_members(spark, sf):
     return d.select("doc_id", F.explode(scan("body")).alias("m")).select("doc_id", "m.*")
 
 
+@query("""SELECT n_nationkey AS id, CASE WHEN n_nationkey % 2 = 0 THEN '## ' || replace(n_name, '_', '\\_') || chr(10) || chr(10) || 'Nation ' || n_nationkey || chr(10) || chr(10) || '| key | region |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || n_nationkey || ' | ' || n_regionkey || ' |' || chr(10)
+    ELSE '## ' || replace(n_name, '_', '\\_') || chr(10) || chr(10) || '| key | region |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || n_nationkey || ' | ' || n_regionkey || ' |' || chr(10) END AS markdown FROM nation""")
+def h20_office_markdown(spark, sf):
+    """Word documents with a heading, a paragraph and a table, and workbooks with a titled sheet."""
+
+    @F.pandas_udf("string")
+    def run(key: pd.Series, name: pd.Series, region: pd.Series) -> pd.Series:
+        return pd.Series([K.docx_markdown(_document(k, n, r)) if k % 2 == 0 else K.xlsx_markdown(_workbook(k, n, r)) for k, n, r in zip(key, name, region)])
+
+    return table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), run("n_nationkey", "n_name", "n_regionkey").alias("markdown"))
+
+
+def _members(parts: dict[str, str]) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, text in parts.items():
+            z.writestr(name, text)
+    return out.getvalue()
+
+
+def _document(key: int, name: str, region: int) -> bytes:
+    w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    row = lambda cells: "<w:tr>" + "".join(f"<w:tc><w:p><w:r><w:t>{c}</w:t></w:r></w:p></w:tc>" for c in cells) + "</w:tr>"
+    body = f'<w:p><w:pPr><w:pStyle w:val="Heading2"/></w:pPr><w:r><w:t>{name}</w:t></w:r></w:p><w:p><w:r><w:t>Nation </w:t></w:r><w:r><w:t>{key}</w:t></w:r></w:p><w:tbl>{row(["key", "region"])}{row([key, region])}</w:tbl>'
+    return _members({"word/document.xml": f"<w:document {w}><w:body>{body}</w:body></w:document>"})
+
+
+def _workbook(key: int, name: str, region: int) -> bytes:
+    s, r = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"', 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    sheet = f'<worksheet {s}><sheetData><row><c t="s"><v>0</v></c><c t="inlineStr"><is><t>region</t></is></c></row><row><c><v>{key}</v></c><c><v>{region}</v></c></row></sheetData></worksheet>'
+    rels = '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>'
+    return _members({"xl/workbook.xml": f'<workbook {s} {r}><sheets><sheet name="{name}" sheetId="1" r:id="r1"/></sheets></workbook>', "xl/_rels/workbook.xml.rels": rels, "xl/sharedStrings.xml": f"<sst {s}><si><t>key</t></si></sst>", "xl/worksheets/sheet1.xml": sheet})
+
+
 @query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN TRUE WHEN 1 THEN NULL ELSE NOT (url LIKE '%/en/%' AND url NOT LIKE '%page=%') END AS allowed FROM pages")
 def b09_robots(spark, sf):
     policy = "User-agent: *\nDisallow: /en/\nAllow: /en/*page=\n"
@@ -182,12 +216,21 @@ def l05_digest_predicate(spark, sf):
     return table(spark, sf, "documents").select("doc_id", value.rlike("^[0-9a-f]{64}$").alias("valid"))
 
 
-@query("SELECT 'p' || user_id AS request_url, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS position, 'd' || event_id AS document_number, event_type AS type FROM events")
+@query("SELECT 'p' || user_id || '/' || CAST(floor(event_id / 500) AS BIGINT) AS request_url, CAST(row_number() OVER (PARTITION BY user_id, floor(event_id / 500) ORDER BY event_id) - 1 AS INTEGER) AS position, 'd' || event_id AS document_number, event_type AS type FROM events")
 def a07_json_list(spark, sf):
-    """List responses built from events, read by the JSON list adapter."""
+    """List responses built from events, a page for each 500 ids of a user, read by the JSON list adapter."""
     from docloom.sources.adapters import adapter
 
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events").withColumn("page", F.concat(F.lit("p"), F.col("user_id"), F.lit("/"), F.floor(F.col("event_id") / 500)))
     item = F.struct("event_id", F.struct(F.concat(F.lit("d"), F.col("event_id")).alias("document_number"), F.col("event_type").alias("type")).alias("r"))
-    bodies = e.groupBy("user_id").agg(F.array_sort(F.collect_list(item)).alias("s")).select(F.concat(F.lit("p"), F.col("user_id")).alias("request_url"), F.to_json(F.struct(F.transform("s", lambda x: x["r"]).alias("results"))).alias("body"))
+    bodies = e.groupBy("page").agg(F.array_sort(F.collect_list(item)).alias("s")).select(F.col("page").alias("request_url"), F.to_json(F.struct(F.transform("s", lambda x: x["r"]).alias("results"))).alias("body"))
     return adapter("json_list").parse(bodies).select("request_url", "position", "document_number", "type")
+
+
+@query(with_ledgers("delivery_row", sql="SELECT doc_id, md5(CAST(doc_id AS VARCHAR)) AS sha256, length(text) AS size FROM documents WHERE md5(CAST(doc_id AS VARCHAR)) IN (SELECT markdown_hash FROM delivery_row WHERE version_id % 2 = 0 UNION SELECT original_hash FROM delivery_row WHERE version_id % 2 = 0)"))
+def a13_file_bodies(spark, sf):
+    """The stored bodies that a closure (of the even versions) names, all at once."""
+    from docloom.operators.snapshots import file_bodies
+
+    stored = table(spark, sf, "documents").select("doc_id", F.md5(F.col("doc_id").cast("string")).alias("sha256"), F.char_length("text").alias("size"))
+    return file_bodies(stored, ledger(spark, sf, "delivery_row").where("version_id % 2 = 0"))

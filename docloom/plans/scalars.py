@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from docloom.functions import identity as I
 from docloom.functions import text as X
 from docloom.functions import urls as U
 from docloom.operators import containers as K
+from docloom.operators import webpages as W
 from docloom.plans.base import query
 from docloom.sources.tables import ledger, table, with_ledgers
 
@@ -234,10 +239,18 @@ def h07_h08_dates(spark, sf):
     return o.select("o_orderkey", X.iso_date(iso).cast("string").alias("iso"), X.local_date(local).cast("string").alias("local"))
 
 
-@query("SELECT page_id, nullif(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '') AS title, regexp_extract(url, '/([a-z]{2})/', 1) AS lang, try_cast(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS number FROM pages")
+#: Pages of which some have no heading, and some a date.
+_TITLED = "CASE page_id % 3 WHEN 0 THEN regexp_replace(html, '</?h1>', '') WHEN 1 THEN concat('<p class=\"date\">Issued: 0', CAST(1 + page_id % 9 AS STRING), '/11/2024</p>', html) ELSE html END"
+_PLAIN = "trim(regexp_replace(replace(regexp_extract(html, '{}', 1), '&amp;', '&'), '\\s+', ' ', 'g'))"
+
+
+@query(f"""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN {_PLAIN.format('<title>([^<]*)</title>')} ELSE {_PLAIN.format('<h1>([^<]*)</h1>')} END AS title, regexp_extract(html, '<html lang="([a-z]*)"', 1) AS lang, nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS number,
+    CASE WHEN page_id % 3 = 1 THEN '2024-11-0' || (1 + page_id % 9) END AS published, 'page' AS kind, CAST(NULL AS VARCHAR) AS error FROM pages""")
 def h09_h10_field_rules(spark, sf):
-    title = F.coalesce(F.nullif(F.regexp_extract("html", "<h1[^>]*>([^<]*)</h1>", 1), F.lit("")), F.nullif(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit("")))
-    return table(spark, sf, "pages").select("page_id", title.alias("title"), F.regexp_extract("url", "/([a-z]{2})/", 1).alias("lang"), F.regexp_extract("url", "/([0-9]+)", 1).try_cast("bigint").alias("number"))
+    """Rules by path, attribute, expression, date and constant; titles fall back to the heading, then to the page's title."""
+    rules = {"kind": {"value": "page"}, "lang": {"path": ".//html/@lang"}, "number": {"of": "url", "regex": "/([0-9]+)"}, "published": {"path": ".//p[@class='date']", "regex": "Issued: (?P<value>.*)", "date_format": "%d/%m/%Y"}, "title": {"path": ".//h1[@class='none']"}}
+    pages = table(spark, sf, "pages").withColumn("html", F.expr(_TITLED.replace("regexp_replace(html, '</?h1>', '')", "regexp_replace(html, '</?h1>', '')")))
+    return W.field_rules(pages, rules)
 
 
 @query(f"SELECT doc_id, sha256(translate(text, '{X.LEGACY}', '{X.LETTERS}')) AS sha FROM documents")
@@ -261,10 +274,31 @@ def h16_heading_recovery(spark, sf):
     return K.headings(ledger(spark, sf, "block"), "^(?:the|chapter) ", "^(?:of|mit) ", "^(?:is|a|das) ", 2, "^(?:by|le) ")
 
 
-@query("SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'pdf' WHEN 1 THEN 'zip' WHEN 2 THEN 'rtf' WHEN 3 THEN 'json' ELSE 'html' END AS kind FROM pages")
+_KINDS = ["pdf", "docx", "xlsx", "zip", "doc", "xls", "rtf", "html", "xml", "json", "txt", "unknown"]
+
+
+@query("SELECT page_id, " + "CASE page_id % 12 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(_KINDS)) + " END AS kind FROM pages")
 def h17_container_kind(spark, sf):
-    head = F.element_at(F.array(F.lit("%PDF-1.7"), F.lit("PK\u0003\u0004x"), F.lit("{\\rtf1"), F.lit('{"a":1}'), F.lit(" <!DOCTYPE html>")), (F.col("page_id") % 5 + 1).cast("int"))
-    return table(spark, sf, "pages").select("page_id", X.container_kind(F.encode(F.concat(head, F.col("html")), "utf-8")).alias("kind"))
+    """All twelve kinds, in bodies that hold whole pages."""
+
+    @F.pandas_udf("string")
+    def kind(page_id: pd.Series, html: pd.Series) -> pd.Series:
+        ole = bytes.fromhex("d0cf11e0a1b11ae1")
+        marks = {"pdf": b"%PDF-1.7\n", "doc": ole + "WordDocument".encode("utf-16-le"), "xls": ole + "Workbook".encode("utf-16-le"), "rtf": b"{\\rtf1 ", "html": b"<!-- c -->\n<!DOCTYPE html>", "xml": b"<?xml version='1.0'?><a>", "json": b'{"a":', "txt": b"Text: ", "unknown": b"\x00\x01"}
+        names = {"docx": "word/document.xml", "xlsx": "xl/workbook.xml", "zip": "a.txt"}
+
+        def body(i: int, text: str) -> bytes:
+            k, raw = _KINDS[i % 12], text.encode()
+            if k in names:
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w") as z:
+                    z.writestr(names[k], raw)
+                return out.getvalue()
+            return marks[k] + (raw.replace(b"<", b"[") if k in ("xml", "txt") else raw)
+
+        return pd.Series([K.detect(body(int(i), h or "")) for i, h in zip(page_id, html)])
+
+    return table(spark, sf, "pages").select("page_id", kind("page_id", "html").alias("kind"))
 
 
 @query("SELECT r_regionkey AS id, '| name | key |' || chr(10) || '| --- | --- |' || chr(10) || '| a\\|' || r_name || ' |  |' AS markdown FROM region")
@@ -306,7 +340,8 @@ def h30_redaction(spark, sf):
 def i01_json_recordset(spark, sf):
     """A JSON array of records to rows and back to a sum."""
     e = table(spark, sf, "events")
-    body = e.groupBy("user_id").agg(F.concat(F.lit('{"results":['), F.array_join(F.collect_list("props"), ","), F.lit("]}")).alias("body"))
+    # a user's events in bodies of 1000 ids each, so that none grows with the user
+    body = e.groupBy("user_id", F.floor(F.col("event_id") / 1000)).agg(F.concat(F.lit('{"results":['), F.array_join(F.collect_list("props"), ","), F.lit("]}")).alias("body"))
     rows = body.select("user_id", F.inline(F.from_json("body", "struct<results:array<struct<k:bigint>>>")["results"]))
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
 
@@ -358,10 +393,55 @@ def a12_page_json(spark, sf):
 
 @query()
 def a08_page_anchors(spark, sf):
-    """Anchors of all pages with text, resolved address and whether they leave the host."""
+    """Anchors of all pages with text, resolved address and whether they leave the host."""
     return K.anchors(table(spark, sf, "pages"))
 
 
+_BASE = "regexp_extract(url, '^(https?://[^/]*)', 1)"
+
+
+@query(f"""WITH a AS (SELECT page_id, list_distinct(list_transform(regexp_extract_all(html, '<a href="([^"]*)">', 1), lambda x: {_BASE} || x)) AS links, {_BASE} AS base FROM pages)
+    SELECT page_id, len(links) AS links, len(list_filter(links, lambda x: starts_with(x, base || '/the/') OR x = base || '/the')) AS scoped, len(list_filter(links, lambda x: regexp_matches(x, '[.,]$'))) AS attachments FROM a WHERE len(links) > 0""")
+def a09_scoped_anchors(spark, sf):
+    """Each page's distinct anchors: all, those in scope (one path of the page's host), and those that lead to attachments (by pattern)."""
+    p = table(spark, sf, "pages")
+    found = K.anchors(p).join(p.select("page_id", U.host(F.col("url")).alias("home")), "page_id")
+    path = U.normal_path(F.col("address"))
+    scoped = (U.host(F.col("address")) == F.col("home")) & ((path == "/the") | path.startswith("/the/"))
+    return found.groupBy("page_id").agg(F.count(F.lit(1)).alias("links"), F.count_if(scoped).alias("scoped"), F.count_if(F.col("address").rlike("[.,]$")).alias("attachments"))
+
+
+# Numbers of list pages; some pages repeat the number before.
+_NUMBER = "(1 + c_custkey % 9 - CASE WHEN c_custkey % 13 = 0 AND c_custkey % 9 > 0 THEN 1 ELSE 0 END)"
+_LISTED = f"""concat('<form method="post" action="list.aspx"><input type="hidden" name="__VIEWSTATE" value="v', c_custkey, '"><input type="submit" name="go" value="x"><select name="kind"><option value="1"><option value="2" selected></select><table><tr><td><a href="doc.aspx?docid=', c_custkey, '">a</a><a href="doc.aspx?docid=', c_custkey, '">again</a>
+    <a href="doc.aspx?docid=', c_custkey + 1, '">b</a></td></tr><tr><td><span>', {_NUMBER}, '</span>', CASE WHEN c_custkey % 9 < 6 THEN concat('<a href="javascript:__doPostBack(\\'grid\\',\\'Page$', 1 + {_NUMBER}, '\\')">next</a>') WHEN c_custkey % 9 < 8 THEN '<a href="javascript:__doPostBack(\\'grid\\',\\'Page$Last\\')">last</a>' ELSE '' END, '</td></tr></table></form>')"""
+
+
+@query(f"""SELECT c_custkey AS page_id, CAST({_NUMBER} AS INTEGER) AS number, 'https://h.example/doc.aspx?docid=' || c_custkey || ' https://h.example/doc.aspx?docid=' || (c_custkey + 1) AS details, 'v' || c_custkey AS view_state, '2' AS kind, 'https://h.example/list.aspx' AS action,
+    CASE WHEN c_custkey % 9 < 6 THEN 'Page$' || (1 + {_NUMBER}) END AS argument, CASE WHEN c_custkey % 9 IN (6, 7) THEN 'document_next_page_not_found' END AS error, {_NUMBER} = 1 + lag({_NUMBER}, 1, 0) OVER (PARTITION BY floor(c_custkey / 9) ORDER BY c_custkey) AS advances FROM customer""")
+def a08_list_pages(spark, sf):
+    """Lists with hidden fields and postbacks; pages that follow one another advance by one."""
+    c = table(spark, sf, "customer").select("c_custkey")
+    lists = W.list_pages(c.select(F.col("c_custkey").alias("page_id"), F.expr(_LISTED).alias("html"), F.lit("https://h.example/x/../index.aspx").alias("url")))
+    run = W.page_advances(lists.withColumn("run", F.floor(F.col("page_id") / 9)), "run", "page_id")
+    return run.select("page_id", "number", F.array_join("details", " ").alias("details"), F.col("fields")["__VIEWSTATE"].alias("view_state"), F.col("fields")["kind"].alias("kind"), "action", "argument", "error", "advances")
+
+
+_OFFERED = """concat(html, CASE WHEN page_id % 2 = 0 THEN '<form action="/find"><input name="q"><input type="hidden" name="h"><select name="s"></select></form>' ELSE '' END,
+    CASE WHEN page_id % 3 = 0 THEN '<a href="/2024/17.html">A title that is long enough</a><a href="/18.html">short</a>' ELSE '' END, CASE WHEN page_id % 5 = 0 THEN '<a href="?page=2"> Next </a>' ELSE '' END, CASE WHEN page_id % 7 = 0 THEN '<script>get("/v1/api/list?x=1", "/data.json")</script>' ELSE '' END)"""
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'GET ' || base || '/find q,s' ELSE '' END AS forms, CASE WHEN page_id % 3 = 0 THEN base || '/2024/17.html 4' ELSE '' END AS candidates, CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END AS pagination,
+    CASE WHEN length(trim(regexp_replace(regexp_replace(replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '&amp;', '&'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))) >= 100 THEN 1 ELSE 0 END AS article_blocks,
+    CASE WHEN page_id % 7 = 0 THEN base || '/v1/api/list?x=1,' || base || '/data.json' ELSE '' END AS api_hints FROM (SELECT *, regexp_extract(url, '^(https?://[^/]*)', 1) AS base FROM pages)""")
+def k10_page_inspection(spark, sf):
+    """What pages offer; forms, links and scripts are added to some."""
+    i = W.inspected(table(spark, sf, "pages").withColumn("html", F.expr(_OFFERED)))
+    form = F.array_join(F.transform("forms", lambda f: F.concat_ws(" ", f["method"], f["action"], F.array_join(f["fields"], ","))), ";")
+    link = F.array_join(F.transform("candidates", lambda c: F.concat_ws(" ", c["url"], c["score"].cast("string"))), ";")
+    return i.select("page_id", form.alias("forms"), link.alias("candidates"), F.size("pagination").alias("pagination"), F.size("article_blocks").alias("article_blocks"), F.array_join("api_hints", ",").alias("api_hints"))
+
+
 @query()
 def h22_html_to_markdown(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.mapped(K.html_to_markdown)("html").alias("markdown"))

@@ -113,7 +113,9 @@ def j14_terminal_status(spark, sf):
 
 @query(with_ledgers("task", sql="SELECT run_id, CASE WHEN count(error) > 0 THEN 'failed' ELSE 'complete' END AS status FROM task GROUP BY run_id"))
 def j13_run_finalisation(spark, sf):
-    return ledger(spark, sf, "task").groupBy("run_id").agg(F.when(F.count("error") > 0, "failed").otherwise("complete").alias("status"))
+    from docloom.operators.accounting import run_status
+
+    return run_status(ledger(spark, sf, "task"), "run_id")
 
 
 @query(with_ledgers("acquisition", sql="SELECT id, CASE WHEN state = 'archived' AND outcome = 'ok' THEN 'archived' WHEN e = 'interrupted' THEN 'interrupted' WHEN e IN ('request_budget_exceeded', 'deadline_exceeded') THEN 'truncated' ELSE 'failed' END AS route FROM (SELECT *, CASE id % 4 WHEN 0 THEN 'interrupted' WHEN 1 THEN 'request_budget_exceeded' WHEN 2 THEN 'deadline_exceeded' ELSE 'http_500' END AS e FROM acquisition)"))

@@ -258,10 +258,36 @@ def test_names_and_rtf_read_whole_texts(spark, tmp_path):
     assert rtf[1].split() == texts[1].split() and rtf[2] is None and rtf[3] == "Zürich 🙂 città xy\nline two\n"
 
 
-def test_no_query_claims_page_inspection():
-    from docloom.plans import registry
+def test_list_pages():
+    from docloom.operators import webpages as W
+
+    page = """<form method=POST action="?a=1"><input name=__VIEWSTATE value=abc><input type=checkbox name=c value=1><textarea name=t></textarea><select name=s><option value=x></select>
+        <table><tr><td><a href="/d?docid=5">x</a><a href="/d?docid=x">no</a></td></tr><tr><td><a href="javascript:__doPostBack('g','Page$1')">1</a><span>2</span><a href="javascript:__doPostBack('g','Page$3')">3</a></td></tr></table></form>"""
+    got = W.list_page(page, "https://h.org/l")
+    assert got == {"number": 2, "details": ["https://h.org/d?docid=5"], "fields": {"__VIEWSTATE": "abc", "t": "", "s": "x"}, "action": "https://h.org/l?a=1", "target": "g", "argument": "Page$3"}
+    assert W.list_page("<p>", "u") == {"error": "document_list_not_found"} == W.list_page(None, "u")
+    assert W.list_page(page.replace("<span>2</span>", ""), "u") == {"error": "document_page_identity_missing"}
+    assert W.list_page(page.replace("Page$3", "Page$Last"), "https://h.org/l")["error"] == "document_next_page_not_found"
+
+
+def test_field_rules():
+    from docloom.operators import webpages as W
+
+    html = "<html lang=vi><title>T</title><div class='m'>No <b>12</b>/QD  of 2024</div><p class=d>31/12/2023</p><h1> </h1>"
+    rules = {"c": {"value": "k"}, "n": {"path": ".//div[@class='m']", "regex": r"(\d+)\s*/QD"}, "l": {"path": ".//html/@lang"}, "d": {"path": ".//p/text()", "date_format": "%d/%m/%Y"}, "x": {"path": ".//div[@class='m']", "regex": "none"}}
+    assert W.fields(html, "u", rules) == {"c": "k", "n": "12", "l": "vi", "d": "2023-12-31", "x": None, "title": "T"}
+    assert W.fields("<p>x", "u", {"d": {"path": ".//p", "date_format": "%d/%m/%Y"}}) == {"d": None, "error": "document_date_unparseable", "title": None}
+    assert W.fields("<h1></h1><h1>Two</h1>", None, {})["title"] == "Two" and W.fields(None, None, {"u": {"of": "url", "regex": "x"}}) == {"u": None, "title": None}
+
+
+def test_page_inspection():
+    from docloom.operators import webpages as W
 
-    assert "a08_page_anchors" in registry.queries() and not [q for q in registry.queries() if "k10" in q.split("_")]
+    html = "<form><input name=a><input type=hidden name=b></form><a href='/detail/2021/x'>A link to a detail</a><a href='http://o.org/detail'>Another host's detail</a><a href=''>Next</a><div id=zoom>" + "word " * 30 + "</div><script>a('x.json')</script><script src=y>b('z.json')</script>"
+    got = W.inspect(html, "https://h.org/p")
+    assert got["forms"] == [{"action": "https://h.org/p", "method": "GET", "fields": ["a"]}] and got["candidates"] == [{"url": "https://h.org/detail/2021/x", "text": "A link to a detail", "score": 4}]
+    assert got["pagination"] == ["https://h.org/p"] and [(b["selector"], b["chars"]) for b in got["article_blocks"]] == [("zoom", 149)] and got["api_hints"] == ["https://h.org/x.json"]
+    assert W.inspect(None, None) == {"forms": [], "candidates": [], "pagination": [], "article_blocks": [], "api_hints": []}
 
 
 def _aligned(reference, text):

@@ -139,6 +139,31 @@ def test_adapters(spark):
             adapter(name, **options)
 
 
+def test_postback_adapter_and_rechecks(spark):
+    from docloom.sources.adapters import adapter
+
+    page = "<form method=post action='l.aspx'><input name=v value=1><table><tr><td><a href='d?docid=7'>x</a></td></tr><tr><td><span>3</span><a href=\"javascript:__doPostBack('g','Page$4')\">4</a></td></tr></table></form>"
+    a = adapter("postback_list")
+    r = spark.createDataFrame([("https://h.org/a/", page), ("https://h.org/b/", "<p>")], "request_url string, body string")
+    assert [tuple(x) for x in a.parse(r).collect()] == [("https://h.org/a/", 0, "https://h.org/a/d?docid=7", "7")]
+    assert [(x.request_url, x.form, x.number) for x in a.next_requests(r, 0).collect()] == [("https://h.org/a/l.aspx", {"v": "1", "__EVENTTARGET": "g", "__EVENTARGUMENT": "Page$4"}, 4)]
+    due = spark.createDataFrame([("n", "k", "https://h.org/1", "https://h.org/1?r"), ("n", "m", "https://h.org/2", None)], "namespace string, external_key string, public_url string, recheck_url string")
+    assert [(x.identity.external_key, x.request_url, x.role, x.error) for x in a.plan_recheck(due).collect()] == [("k", "https://h.org/1?r", "detail", None), ("m", None, "detail", "recheck_locator_unsupported")]
+    rows = spark.createDataFrame([("u", 0, "l", " a  b "), ("u", 1, "l", "x" * 4001), ("u", 2, "l", "")], "request_url string, position int, locator string, title string")
+    assert [(x.title, x.error) for x in a.build(rows).orderBy("position").collect()] == [("a b", None), (None, "invalid_document_title"), (None, None)]
+    for name, options in (("json_list", {"max_pages": "3"}), ("json_list", {"other": 1}), ("postback_list", {"x": 1}), ("html_list", {})):
+        with pytest.raises(C.ConfigError, match="invalid_adapter_options"):
+            adapter(name, **options)
+
+
+def test_snapshots_are_listed_and_inspected(spark, published):
+    assert S.snapshots(spark, published) == ["a", "b"] and S.snapshots(spark, f"{published}/none") == []
+    told = S.inspect(spark, f"{published}/a")
+    assert told["rows"] == 22 and told["verified"] is True and told["rows_low"]
+    with pytest.raises(C.ConfigError, match="snapshot_not_closed"):
+        S.inspect(spark, f"{published}/none")
+
+
 def test_command_line(capsys, tmp_path):
     from docloom.cli import main
 
