@@ -16,8 +16,8 @@ What a page says of itself is prior knowledge of importance, and enters as impor
   main element (a wrapper that was never closed, or misused);
 * containers named as adverts, consent notices, popups, sharing bars or reader comments, unless they hold an article,
   main or h1 element. A name counts whole, with only neutral words beside it: ``ad-slot`` and ``comment-list`` do,
-  ``has-comments``, ``notice-of-law`` or ``post-header`` do not;
-* forms, headers outside of articles, containers named as menus, sidebars, notices and the like, and containers outside
+  ``has-comments``, ``notice-of-law`` or ``related-law`` do not;
+* forms, headers outside of articles (also by name: an article's own header holds its title), containers named as menus, sidebars, notices and the like, and containers outside
   of articles whose text is nearly all links (three or more), unless they hold an article or main element or more than
   half of the page's other text (a form around the whole page is no form of it).
 
@@ -68,7 +68,9 @@ SOFT_ROLES = {"banner", "search", "alert", "form"}
 #: Words of names for what is never main text, for what is around it, and neutral words beside them.
 LOUD = set("ad ads adbox advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promoted cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription social share sharing comment comments commentlist disqus".split())
 QUIET = set("banner notice notices notification notifications alert sidebar aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs header footer masthead topbar toolbar respond replies related recommended pagination pager login signup search skip".split())
-NEUTRAL = set("site page main top bottom left right global primary secondary area bar block box container content unit wrapper wrap section list inner outer slot item items link links user reader readers left right col column the bar layer".split())
+NEUTRAL = set("site page main top bottom left right global primary secondary area bar block box container content unit wrapper wrap section list inner outer slot item items link links user reader readers col column layer article articles post posts entry story stories reads".split())
+#: Of them, those that an article may have of its own: they hold its title.
+OWN_HEAD = {"header", "masthead"}
 #: Containers that are nodes of the tree even without a name.
 NODES = set("div section article main ul ol dl nav aside header footer table form figure td th body fieldset".split())
 DEEPEST = 64
@@ -81,18 +83,21 @@ _NUMBER = re.compile(r"\d{3,}")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _said(names: str) -> int:
+def _said(names: str, inside: bool) -> int:
     """What class and id names say: 2 adverts, notices of consent, comments; 1 what stands around main text; 0 nothing."""
-    most = 0
+    most, quiet = 0, QUIET - OWN_HEAD if inside else QUIET
     for name in names.split():
         parts = {p.rstrip("0123456789") for p in _PART.findall(_CAMEL.sub("-", name).lower())} - {""}
-        if parts and parts <= LOUD | QUIET | NEUTRAL:
-            most = max(most, 2 if parts & LOUD else 1 if parts & QUIET else 0)
+        if parts and parts <= LOUD | quiet | NEUTRAL:
+            most = max(most, 2 if parts & LOUD else 1 if parts & quiet else 0)
     return most
 
 
-def _traits(tag: str, attributes: str) -> tuple[str, int]:
-    """The element's name in paths ('': none of its own), and its noise: 0 none, 1 soft, 2 loud by name, 3 by kind."""
+def _traits(tag: str, attributes: str, inside: bool) -> tuple[str, int]:
+    """The element's name in paths ('': none of its own), and its noise: 0 none, 1 soft, 2 loud by name, 3 by kind.
+
+    ``inside``: it stands in an article or main element.
+    """
     noise = 3 if tag in NOISE else 1 if tag in SOFT_NOISE else 0
     if not attributes or not attributes.strip():
         return "", noise
@@ -104,7 +109,7 @@ def _traits(tag: str, attributes: str) -> tuple[str, int]:
     if role in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
         noise = 3
     elif tag not in ("body", "html"):
-        noise = max(noise, _said(names), 1 if role in SOFT_ROLES else 0)
+        noise = max(noise, _said(names, inside), 1 if role in SOFT_ROLES else 0)
     return ".".join(sorted({_NUMBER.sub("0", w) for w in _PART.findall(names.lower())})), noise
 
 
@@ -247,7 +252,7 @@ class Page:
         if tag in CLOSES_P and top.tag == "p" or tag == "li" and top.tag == "li" or tag == "tr" and top.tag in CELLS:
             self._pop_to(len(self._stack) - 1)
         if tag not in VOID and not attributes.endswith("/"):
-            self._push(tag, *_traits(tag, attributes))
+            self._push(tag, *_traits(tag, attributes, self._stack[-1].kind > 0))
 
     def _cell(self, tag: str, closing: str, attributes: str) -> None:
         """A table cell is a node of its own, but its text stays in the row's block."""
@@ -257,7 +262,7 @@ class Page:
         else:
             if self._stack[-1].tag in CELLS:
                 self._pop_to(len(self._stack) - 1)
-            self._push(tag, *_traits(tag, attributes))
+            self._push(tag, *_traits(tag, attributes, self._stack[-1].kind > 0))
 
     def _inline(self, tag: str, closing: str, attributes: str) -> None:
         if tag == "a":
@@ -266,7 +271,7 @@ class Page:
         if closing:
             if self._stack[-1].inline and self._stack[-1].tag == tag:
                 self._stack.pop()
-        elif not attributes.endswith("/") and tag not in VOID and (tag == "button" or (attributes and _traits(tag, attributes)[1] > 1)):
+        elif not attributes.endswith("/") and tag not in VOID and (tag == "button" or (attributes and _traits(tag, attributes, self._stack[-1].kind > 0)[1] > 1)):
             top = self._stack[-1]
             self._stack.append(Element(tag, top.node, len(self._pieces), 0, top.kind, True, True, top.depth))
 
@@ -293,7 +298,7 @@ class Page:
         total = sum(len(p[0]) for p, g in zip(pieces, gone) if not g)
         for x in self._elements:
             linking = x.links >= 3 and not x.kind and x.tag in NODES
-            if x.holds or not (x.noise or linking):
+            if x.holds or (x.kind and x.heads) or not (x.noise or linking):
                 continue
             text, linked = inside(x)
             if text and 2 * text <= total and (x.noise or linked >= 0.8 * text):

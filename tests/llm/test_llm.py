@@ -81,6 +81,40 @@ def test_odd_tables(spark, odd_dir, name):
     assert n > 0
 
 
+def test_odd_tables_have_the_defined_results(spark, odd_dir):
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet").collect()
+    texts = {}
+    for r in docs:
+        if r.doc_id is not None:
+            texts.setdefault(r.doc_id, set()).add(r.text)
+    run = lambda name: next(f for k, f in Q.queries().items() if k.startswith(name + "_"))(spark, odd_dir).collect()
+    # op3: equal to brute force; rows without an id are linked with nothing and kept
+    want = components_of({i: next(iter(t)) for i, t in texts.items()}, 4, 80)
+    for r in run("op3"):
+        assert (r.component_id is None and r.kept) if r.doc_id is None else ((r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id == r.component_id))
+    # op4: sizes in bytes, slots gapless, equal rows in one shard
+    shards = run("op4")
+    assert sorted(r.size for r in shards) == sorted(len((r.text or "").encode()) + 1 for r in docs)
+    assert len({r.shard for r in shards if r.doc_id == 4}) == 1 and len({(r.shard, r.slot) for r in shards}) == len(docs)
+    # op7: nothing of texts without words is taken, and no document over three times
+    for r in run("op7"):
+        assert 0 <= r.taken <= 3 * r.size and (r.first_slot is None) == (r.taken == 0)
+    # op8, op2: rows without an id are held out, every row is scored
+    for name in ("op2", "op8"):
+        rows = run(name)
+        assert len(rows) == len(docs) and all(0 <= r.score <= 1 for r in rows) and all(r.held_out for r in rows if r.doc_id is None)
+    # op9: equal texts have equal media, the payload is the padded text
+    sha = lambda t: hashlib.sha256((t or "").encode() + bytes(-len((t or "").encode()) % 64 or (0 if t else 64))).hexdigest()
+    assert sorted(r.payload_sha256 for r in run("op9")) == sorted(sha(r.text) for r in docs)
+    # op10: slots 0 to n - 1, each sequence once
+    order = run("op10")
+    assert sorted(r.slot for r in order) == sorted(r.sequence_id for r in order) == list(range(len(order)))
+    # op5: null and empty pages have no text, equal rows equal ones
+    assert sorted((str(r.page_id), r.text, r.n_chars) for r in run("op5")) == [("1", "a", 1), ("2", "", 0), ("2", "", 0), ("None", "", 0)]
+    # op6: vectors that are null or not finite take no part
+    assert {r.vec_id for r in run("op6")} <= {0, 100, 5, 6, 7}
+
+
 def test_pipeline_on_odd_and_empty_tables(spark, odd_dir, none_dir):
     import corpus_pipeline as C
 
@@ -682,6 +716,8 @@ LONG = LONG.strip()
         ('<div class="ad">an advert that is longer than the article</div><article><h1>T</h1></article>', "T"),
         ('<div id="commentList"><p>a reader speaks at length here</p></div><div><p>short</p></div>', "short"),
         ("<table><tr><td>a<td>b</tr><tr><td>c</td><td>d</td></tr></table>", "a b\nc d"),
+        (f'<article><div class="post-header"><h2>The Title</h2></div><p>{LONG}</p><div class="article-footer">tags</div><div class="related-posts">more</div></article>', f"The Title\n{LONG}"),
+        (f'<div class="page-header">Site</div><div class="post"><h1>T</h1><p>{LONG}</p></div><section class="comment-section"><h2>Comments</h2><p>hi</p></section>', f"T\n{LONG}"),
         ("<div>" * 300 + "deep" + "</div>" * 300 + "<p>t", "deep\nt"),
     ],
 )
