@@ -163,6 +163,13 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], rank: str, rows
     )
 
 
+def number_copies(copies: Column, chunk: int = 4096) -> tuple[Column, Column]:
+    """Two generators for the numbers 0 to ``copies`` - 1: chunks, then numbers of the chunk ``_chunk``; no long array."""
+    outer = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / chunk)))
+    first = F.col("_chunk") * chunk
+    return outer, F.explode(F.sequence(first, F.least(first + (chunk - 1), copies - 1)))
+
+
 # --- words and hashes ---------------------------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@
    weigh little at any size. Slots beyond a tape's end (``most`` times through) play nothing.
 
 Equal rows are counted first and stand side by side on the tape, so repeated rows are not one task's work, and
-results depend on the rows alone, not on how they are split.
+results depend on the rows alone, not on how they are split. A tape's order is that of a keyed digest of id and text.
 
 Defined results: null or blank text has size 0 and is never taken; null is a source of its own, after all others;
 repeated rows are documents of their own, each with its own place; ties (equal shuffle keys) stand in order of
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docloom.llm.common import WORD, materialize, positioned, quoted
+from docloom.llm.common import WORD, materialize, number_copies, positioned, quoted
 
 #: Weights of sources in order, repeating (fixed value of the contract).
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -99,11 +99,9 @@ def _row_keys(docs: DataFrame) -> list[Column]:
     return [F.xxhash64(*cells).alias("row_a"), F.xxhash64(F.lit(1), *cells).alias("row_b")]
 
 
-def _exploded(copies: Column, chunk: int = 4096) -> tuple[Column, Column]:
-    """Two generators for the numbers 0 to ``copies`` - 1: chunks, then numbers of the chunk ``_chunk``; no long array."""
-    outer = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / chunk)))
-    first = F.col("_chunk") * chunk
-    return outer, F.explode(F.sequence(first, F.least(first + (chunk - 1), copies - 1)))
+def shuffle_key(seed: int) -> Column:
+    """The place of a document in its source's shuffled order: a keyed digest of its id and text."""
+    return F.md5(F.concat_ws("/", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))))
 
 
 def _played(docs: DataFrame, most: int, block: int, least_slots: int, seed: int, step: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
@@ -115,10 +113,11 @@ def _played(docs: DataFrame, most: int, block: int, least_slots: int, seed: int,
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         *_row_keys(docs),
+        shuffle_key(seed).alias("key"),
         F.struct(F.col(file).alias("file"), F.col(row).alias("row")).alias("at"),
     )
     # equal rows become one row with its count, before anything is shuffled by a key
-    rows = materialize(sized.groupBy("doc_id", "source", "size", "row_a", "row_b").agg(F.count(F.lit(1)).alias("copies"), F.min("at").alias("at")), "rows")
+    rows = materialize(sized.groupBy("doc_id", "source", "size", "row_a", "row_b", "key").agg(F.count(F.lit(1)).alias("copies"), F.min("at").alias("at")), "rows")
     found = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("n")).collect()  # a row a source
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))  # code points, null last
     sizes = [r["n"] for r in found]
@@ -131,14 +130,13 @@ def _played(docs: DataFrame, most: int, block: int, least_slots: int, seed: int,
 
     # the tape: buckets of the shuffled order, then places inside a bucket
     n = max(1, -(-rows.count() // 2_000))
-    placed = placed.withColumn("key", F.xxhash64("row_a", "row_b", F.lit(seed)))
-    placed = placed.withColumn("bucket", F.floor((F.shiftrightunsigned("key", 11)).cast("double") / float(2**53) * n).cast("long"))
+    placed = placed.withColumn("bucket", F.floor(F.conv(F.substring("key", 1, 12), 16, 10).cast("double") / float(16**12) * n).cast("long"))  # in the order of keys
     words = F.col("size") * F.col("copies")
     before = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = placed.groupBy("source_no", "bucket").agg(F.sum(words).alias("words")).withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
     inside = Window.partitionBy("source_no", "bucket").orderBy("key", "doc_id", "row_a", "row_b").rowsBetween(Window.unboundedPreceding, -1)
     tape = placed.withColumn("place", F.coalesce(F.sum(words).over(inside), F.lit(0))).join(base, ["source_no", "bucket"])
-    outer, inner = _exploded(F.col("copies"))
+    outer, inner = number_copies(F.col("copies"))
     copies = tape.withColumn("start", F.col("place") + F.col("base")).drop("place", "base", "key", "bucket").withColumn("_chunk", outer).withColumn("copy", inner)
     copies = materialize(copies.withColumn("start", F.col("start") + F.col("copy") * F.col("size")).drop("_chunk", "copies"), "tape")
 
