@@ -70,6 +70,38 @@ def register_targets(targets: DataFrame, budget: int) -> DataFrame:
     return joined.select("run_id", "seq", "identity", state.alias("state"))
 
 
+def registrations(targets: DataFrame, by: list[str], order: str) -> DataFrame:
+    """What each appearance of a target does, and the inputs that the target then has.
+
+    ``targets``: ``by``, ``order``, inputs (an array of keys), open (whether the target is still pending when it appears
+    again). The first one registers; the same inputs are skipped; more inputs amend an open target, the new ones behind
+    the old; any other appearance replays, once for each list of inputs. A target's appearances are folded in order;
+    they are those of one identity in one run.
+    """
+    kind = "struct<current:array<string>,replayed:array<string>,told:array<struct<seq:bigint,action:string,inputs:array<string>>>>"
+    start = F.lit(None).cast(kind)
+    row = F.struct(F.col(order).cast("long").alias("seq"), "inputs", "open")
+    held = targets.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+
+    def step(acc: Column, x: Column) -> Column:
+        current, new = acc["current"], x["inputs"]
+        more = F.concat(current, F.array_except(new, current))
+        text = F.array_join(new, "\n")
+        action = (
+            F.when(acc.isNull(), "register").when(new == current, "skip").when(x["open"] & (F.size(F.array_except(current, new)) == 0), "amend")
+            .when(F.array_contains(acc["replayed"], text), "skip").otherwise("replay")
+        )
+        now = F.when(action == "register", new).when(action == "amend", more).otherwise(current)
+        none = F.array().cast("array<string>")
+        replayed = F.when(action == "replay", F.concat(F.coalesce(acc["replayed"], none), F.array(text))).otherwise(F.coalesce(acc["replayed"], none))
+        one = F.array(F.struct(x["seq"].alias("seq"), action.alias("action"), F.when(action == "replay", new).otherwise(now).alias("inputs")))
+        told = F.when(acc.isNull(), one).otherwise(F.concat(acc["told"], one))
+        return F.struct(now.alias("current"), replayed.alias("replayed"), told.alias("told")).cast(kind)
+
+    folded = held.select(*by, F.aggregate("_rows", start, step)["told"].alias("_told"))
+    return folded.select(*by, F.explode("_told").alias("t")).select(*by, F.col("t.seq").alias(order), "t.action", "t.inputs")
+
+
 def valid_volumes(rows: DataFrame, key: str) -> DataFrame:
     """Whether a document's volumes are numbered 1..n, without a primary beside, and at most one primary."""
     volume, primary = F.col("role") == "volume", F.col("role") == "primary"

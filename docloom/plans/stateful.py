@@ -50,6 +50,24 @@ def j02_register_targets(spark, sf):
     return T.register_targets(t, 12)
 
 
+_INPUTS = "CASE id % 6 WHEN 0 THEN {0}'a'{1} WHEN 1 THEN {0}'a', 'b'{1} WHEN 2 THEN {0}'b', 'a', 'c'{1} WHEN 3 THEN {0}'d'{1} ELSE {0}'a', 'b'{1} END"
+
+
+@query(with_ledgers("task", sql=f"""
+    WITH t AS (SELECT run_id, namespace, seq, {_INPUTS.format('[', ']')} AS inputs, id % 4 <> 0 AS open, row_number() OVER (PARTITION BY run_id, namespace, external_key ORDER BY seq) AS n, external_key FROM task WHERE external_key IS NOT NULL),
+    r AS (SELECT run_id, namespace, external_key, n, seq, inputs AS current, CAST([] AS VARCHAR[]) AS replayed, 'register' AS action, inputs AS told FROM t WHERE n = 1
+        UNION ALL SELECT run_id, namespace, external_key, n, seq, CASE WHEN action = 'amend' THEN more ELSE current END, CASE WHEN action = 'replay' THEN list_append(replayed, text) ELSE replayed END, action, CASE WHEN action = 'replay' THEN inputs WHEN action = 'amend' THEN more ELSE current END
+        FROM (SELECT t.run_id, t.namespace, t.external_key, t.n, t.seq, t.inputs, r.current, r.replayed, array_to_string(t.inputs, chr(10)) AS text, list_concat(r.current, list_filter(t.inputs, lambda x: NOT list_contains(r.current, x))) AS more,
+            CASE WHEN t.inputs = r.current THEN 'skip' WHEN t.open AND list_has_all(t.inputs, r.current) THEN 'amend' WHEN list_contains(r.replayed, array_to_string(t.inputs, chr(10))) THEN 'skip' ELSE 'replay' END AS action
+            FROM r JOIN t ON t.run_id = r.run_id AND t.namespace = r.namespace AND t.external_key = r.external_key AND t.n = r.n + 1))
+    SELECT run_id, namespace, external_key, seq, action, array_to_string(told, ',') AS inputs FROM r"""))
+def j02_registrations(spark, sf):
+    """Targets that appear again in their run: skipped, amended or replayed."""
+    t = ledger(spark, sf, "task").where("external_key IS NOT NULL")
+    t = t.select("run_id", "namespace", "external_key", "seq", F.expr(_INPUTS.format("array(", ")")).alias("inputs"), F.expr("id % 4 <> 0").alias("open"))
+    return T.registrations(t, ["run_id", "namespace", "external_key"], "seq").withColumn("inputs", F.array_join("inputs", ","))
+
+
 @query(with_ledgers("acquisition", sql="SELECT id, CAST(least(60, CASE WHEN id % 2 = 0 THEN 30 ELSE 86400 END) AS BIGINT) AS retry_seconds FROM acquisition WHERE state = 'failed' AND request_key NOT IN (SELECT request_key FROM acquisition WHERE state = 'archived' AND outcome = 'ok' AND id % 4 = 0)"))
 def j05_failure_delivery(spark, sf):
     a = ledger(spark, sf, "acquisition")

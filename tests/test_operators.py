@@ -413,3 +413,11 @@ def test_edit_scripts_are_least(spark, sf):
     for r in registry.queries()["h26_edit_script"](spark, sf).collect():
         steps[r.item_id] = steps.get(r.item_id, 0) + 1
     assert distance and steps == {i: d for i, d in distance.items() if d}
+
+
+def test_registrations(spark):
+    rows = [(1, "a", True), (2, "a", True), (3, "ab", True), (4, "cab", True), (5, "d", True), (6, "d", True), (7, "abcd", False), (8, "abcd", True), (9, "cab", True)]
+    d = spark.createDataFrame([("k", s, list(x), o) for s, x, o in rows] + [("m", 1, [], True), ("m", 2, ["z"], True)], "k string, seq long, inputs array<string>, open boolean")
+    got = {(r.k, r.seq): (r.action, "".join(r.inputs)) for r in T.registrations(d, ["k"], "seq").collect()}
+    want = [("register", "a"), ("skip", "a"), ("amend", "ab"), ("amend", "abc"), ("replay", "d"), ("skip", "abc"), ("replay", "abcd"), ("amend", "abcd"), ("replay", "cab")]
+    assert [got["k", i] for i in range(1, 10)] == want and got["m", 1] == ("register", "") and got["m", 2] == ("amend", "z")
