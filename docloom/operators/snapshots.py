@@ -19,16 +19,12 @@ from pyspark.sql import functions as F
 from docloom.operators.accounting import snapshot_counters, table_digest
 from docloom.operators.joins import effective_versions
 from docloom.operators.pages import keyset_page
+from docloom.session import exists
 from docloom.sources.config import ConfigError, page_arguments
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where))
-
-
 def is_closed(spark: SparkSession, path: str) -> bool:
-    return _exists(spark, f"{path}/counters/_SUCCESS")
+    return exists(spark, f"{path}/counters/_SUCCESS")
 
 
 def create(path: str, resources: DataFrame, overrides: DataFrame, versions: DataFrame, rows: DataFrame, coverage: DataFrame | None = None) -> DataFrame:
@@ -106,7 +102,7 @@ def publish(spark: SparkSession, log: str, snapshot: str, path: str) -> bool:
 
 def published(spark: SparkSession, log: str) -> str | None:
     """The pointer: the log's last row."""
-    if not _exists(spark, log):
+    if not exists(spark, log):
         return None
     last = spark.read.schema("sequence long, before string, after string").json(log).orderBy(F.desc("sequence")).first()
     return last["after"] if last else None

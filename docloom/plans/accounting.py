@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docloom.operators import accounting as A
+from docloom.operators import integrity
 from docloom.plans.base import query
 from docloom.sources.tables import ledger, table, with_ledgers
 
@@ -138,3 +139,50 @@ def a18_campaign_merge(spark, sf):
     first = o.select(F.col("o_orderkey").alias("id"), F.lit(1).alias("n"), F.lit("first").alias("campaign"), F.when(F.col("o_orderstatus") == "F", "INTERRUPTED").otherwise("OK").alias("outcome"))
     second = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("id"), F.lit(2).alias("n"), F.lit("second").alias("campaign"), F.lit("OK").alias("outcome"))
     return A.campaigns(first.unionByName(second), "id", "n")
+
+
+_SNAPSHOTS = "SELECT o_custkey AS id, o_custkey % 4 <> 0 AS sealed, count(*) + CASE WHEN o_custkey % 10 = 1 THEN 1 ELSE 0 END AS resource_count, count(DISTINCT o_orderkey % 7) AS version_count FROM {orders} GROUP BY o_custkey"
+
+
+@query("""
+    WITH s AS (""" + _SNAPSHOTS.format(orders="orders") + """), m AS (SELECT o_custkey AS snapshot_id, o_orderkey AS resource_id FROM orders),
+    log AS (SELECT o_orderkey AS sequence, lag(o_custkey) OVER (ORDER BY o_orderkey) AS before, o_custkey AS after FROM orders WHERE o_orderkey % 20 = 0)
+    SELECT 'immutable_record' AS rule, CAST(o_orderkey AS VARCHAR) AS key, CASE o_orderkey % 50 WHEN 0 THEN 'deleted' ELSE 'changed' END AS why FROM orders WHERE o_orderkey % 50 IN (0, 1)
+    UNION ALL SELECT 'immutable_snapshot_mapping', m.snapshot_id || '/' || resource_id, CASE resource_id % 60 WHEN 0 THEN 'deleted' WHEN 1 THEN 'inserted' ELSE 'changed' END FROM m JOIN s ON s.id = m.snapshot_id WHERE sealed AND resource_id % 60 IN (0, 1, 2)
+    UNION ALL SELECT 'invalid_snapshot_counts', CAST(id AS VARCHAR), CASE WHEN sealed THEN 'counters_differ' ELSE 'counted_before_closing' END FROM s WHERE NOT sealed OR id % 10 = 1
+    UNION ALL SELECT 'invalid_publication', CAST(sequence AS VARCHAR), CASE WHEN before IS NOT DISTINCT FROM after THEN 'unchanged' ELSE 'snapshot_not_sealed' END FROM log WHERE before IS NOT DISTINCT FROM after OR after % 4 = 0
+    UNION ALL SELECT 'version_observation_conflict', CAST(l_orderkey AS VARCHAR), count(DISTINCT l_partkey) || ' versions' FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_partkey) > 1""")
+def l06_integrity_rules(spark, sf):
+    """What the rules find in states of which some rows were changed after they were written."""
+    from pyspark.sql.window import Window
+
+    o = table(spark, sf, "orders")
+    changed = o.where("o_orderkey % 50 <> 0").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 50 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))).withColumn("o_orderpriority", F.lit("seen"))
+    snapshots = spark.sql(_SNAPSHOTS, orders=o)
+    items = o.select(F.col("o_custkey").alias("snapshot_id"), F.col("o_orderkey").alias("resource_id"), (F.col("o_orderkey") % 7).alias("version_id"))
+    n = F.col("resource_id") % 60
+    later = items.where(n != 0).withColumn("version_id", F.when(n == 2, F.lit(99)).otherwise(F.col("version_id")))
+    log = o.where("o_orderkey % 20 = 0").select(F.col("o_orderkey").alias("sequence"), F.lag("o_custkey").over(Window.orderBy("o_orderkey")).alias("before"), F.col("o_custkey").alias("after"))  # a log has few rows
+    versions = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id"), F.col("l_orderkey").alias("observation_id"))
+    return integrity.all_of(
+        integrity.mutations(o, changed, "o_orderkey", free=["o_orderpriority"]),
+        integrity.closed_mappings(items.where(n != 1), later, snapshots),
+        integrity.snapshot_counts(snapshots, items),
+        integrity.publications(log, snapshots),
+        integrity.version_conflicts(versions),
+    )
+
+
+@query("""
+    WITH c AS (SELECT p_partkey AS oid, CASE WHEN p_partkey % 5 = 0 THEN 'old_' WHEN p_partkey % 7 = 0 THEN 'job_' ELSE 'now_' END || p_partkey AS name, CASE WHEN p_partkey % 3 = 0 THEN 'i' ELSE 'r' END AS kind FROM part)
+    SELECT c.oid, c.name, c.kind, t.name AS table_name, CASE WHEN c.name IN ('old_5', 'old_10') OR t.name IN ('old_5', 'old_10') THEN 'delete' WHEN starts_with(c.name, 'job_') THEN 'third_party' ELSE 'retain' END AS action,
+        starts_with(c.name, 'old_') AS leftover FROM c LEFT JOIN c t ON c.kind = 'i' AND t.oid = c.oid - 1""")
+def c13_f6_catalog(spark, sf):
+    """A catalog of as many objects as there are parts; indexes belong to the table before them."""
+    p = F.col("p_partkey")
+    head = F.when(p % 5 == 0, "old_").when(p % 7 == 0, "job_").otherwise("now_")
+    objects = table(spark, sf, "part").select(p.alias("oid"), F.concat(head, p.cast("string")).alias("name"), F.when(p % 3 == 0, "i").otherwise("r").alias("kind"))
+    indexes = objects.where("kind = 'i'").select("oid", (F.col("oid") - 1).alias("table_oid"))
+    told = integrity.catalog_objects(objects, indexes, ["old_5", "old_10"], "job_")
+    left = integrity.leftovers(objects.where("kind = 'r'"), objects.where("kind = 'i'"), "old_").distinct().withColumn("leftover", F.lit(True))
+    return told.join(left, "name", "left").withColumn("leftover", F.coalesce("leftover", F.lit(False)))

@@ -12,7 +12,8 @@ from docloom.functions import identity as I
 from docloom.functions.text import LEGACY, LETTERS, STRONG, legacy_fonts, recover_legacy
 from docloom.operators import containers as K
 from docloom.plans.base import query
-from docloom.sources import sinks
+from docloom.session import place
+from docloom.sources import archive, sinks
 from docloom.sources.tables import ledger, table, with_ledgers
 
 
@@ -234,3 +235,43 @@ def a13_file_bodies(spark, sf):
 
     stored = table(spark, sf, "documents").select("doc_id", F.md5(F.col("doc_id").cast("string")).alias("sha256"), F.char_length("text").alias("size"))
     return file_bodies(stored, ledger(spark, sf, "delivery_row").where("version_id % 2 = 0"))
+
+
+@query("SELECT sha256(text) AS sha256, octet_length(encode(text)) AS byte_size, min(doc_id % 2) = 1 AS stored FROM documents WHERE text IS NOT NULL GROUP BY 1, 2")
+def a06_archive_put(spark, sf):
+    """All documents are stored where those with even ids are already; each digest once."""
+    d = table(spark, sf, "documents").select("doc_id", F.encode("text", "utf-8").alias("body"))
+    held = archive.Archive(spark, place(spark, "archive"))
+    held.put(d.where("doc_id % 2 = 0"))
+    return held.put(d)
+
+
+@query("""WITH held AS (SELECT DISTINCT sha256(text) AS sha FROM documents WHERE doc_id % 5 <> 0), r AS (SELECT doc_id, sha256(text) AS sha, octet_length(encode(text)) AS n, CASE WHEN doc_id % 7 = 0 THEN 'failed' ELSE 'archived' END AS state FROM documents WHERE text IS NOT NULL),
+    e AS (SELECT r.*, CASE WHEN state <> 'archived' THEN 'input_not_archived' WHEN sha NOT IN (SELECT sha FROM held) THEN 'archive_body_missing' WHEN n > 8000 THEN 'archive_body_too_large' END AS error FROM r)
+    SELECT doc_id, CASE WHEN error IS NULL THEN sha END AS sha, error FROM e""")
+def l03_archived_inputs(spark, sf):
+    """L3, A10: what an adapter may read of its inputs, where every seventh failed and every fifth was never stored."""
+    d = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.encode("text", "utf-8").alias("body"))
+    context = archive.Context(archive.Archive(spark, place(spark, "archive")))
+    context.store(d.where("doc_id % 5 <> 0"))
+    refs = d.select("doc_id", F.sha2("body", 256).alias("archive_ref"), F.when(F.col("doc_id") % 7 == 0, "failed").otherwise("archived").alias("state"))
+    return context.archive.get(refs, 8000).select("doc_id", F.sha2("body", 256).alias("sha"), "error")
+
+
+_CELLS = "chr(10) || chr(10) || '| key | region |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || c_custkey || ' | ' || c_nationkey || ' |'"
+
+
+@query(f"""SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'docx' WHEN 1 THEN 'xlsx' WHEN 3 THEN 'zip' END AS kind,
+    CASE c_custkey % 4 WHEN 0 THEN '## ' || c_name || chr(10) || chr(10) || 'Nation ' || c_custkey || {_CELLS} || chr(10) WHEN 1 THEN '## ' || c_name || {_CELLS} || chr(10)
+        WHEN 3 THEN '## c' || c_custkey || chr(10) || chr(10) || '## ' || c_name || chr(10) || chr(10) || 'Nation ' || c_custkey || {_CELLS} || chr(10) END AS markdown,
+    CASE WHEN c_custkey % 4 = 3 THEN 'in/c' || c_custkey || '.docx' WHEN c_custkey % 4 < 2 THEN '' END AS members, CASE WHEN c_custkey % 4 = 2 THEN 'unsupported_document_type' END AS error FROM customer""")
+def l04_isolated_extraction(spark, sf):
+    """L4: word documents, workbooks, archives of documents and unreadable bodies, read in processes of their own."""
+
+    @F.pandas_udf("binary")
+    def body(key: pd.Series, name: pd.Series, nation: pd.Series) -> pd.Series:
+        makers = [_document, _workbook, lambda *_: b"\x00\x01", lambda k, n, r: _members({f"in/c{k}.docx": _document(k, n, r)})]
+        return pd.Series([makers[k % 4](k, n, r) for k, n, r in zip(key, name, nation)])
+
+    bodies = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), body("c_custkey", "c_name", "c_nationkey").alias("body"))
+    return archive.extract(bodies).select("id", "kind", "markdown", F.array_join("members", ",").alias("members"), "error")

@@ -13,6 +13,7 @@ from docloom.functions import text as X
 from docloom.functions import urls as U
 from docloom.operators import containers as K
 from docloom.operators import webpages as W
+from docloom.operators.pages import keyset_page
 from docloom.plans.base import query
 from docloom.sources.tables import ledger, table, with_ledgers
 
@@ -385,10 +386,14 @@ def a06_content_addressed(spark, sf):
     return K.content_addressed(table(spark, sf, "documents"))
 
 
-@query("SELECT c_custkey, '{\"id\":' || c_custkey || ',\"name\":\"' || c_name || '\",\"segment\":\"' || c_mktsegment || '\"}' AS item FROM customer ORDER BY c_custkey LIMIT 20")
+@query("""SELECT '[' || string_agg('{"id":' || c_custkey || ',"name":"' || c_name || '","segment":"' || c_mktsegment || '"}', ',' ORDER BY c_custkey) || ']' AS items, CASE WHEN (SELECT count(*) FROM customer WHERE c_custkey > 40) > 20 THEN max(c_custkey) END AS next_key
+    FROM (SELECT * FROM customer WHERE c_custkey > 40 ORDER BY c_custkey LIMIT 20)""")
 def a12_page_json(spark, sf):
-    c = table(spark, sf, "customer").orderBy("c_custkey").limit(20)
-    return c.select("c_custkey", F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))).alias("item"))
+    """The page of 20 rows after a key as one JSON text, and the key for the next page if there is one."""
+    page = keyset_page(table(spark, sf, "customer"), ["c_custkey"], [40], 20)  # 21 rows at most
+    row = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    rows = page.agg(F.array_sort(F.collect_list(row)).alias("r"))
+    return rows.select(F.to_json(F.slice("r", 1, 20)).alias("items"), F.when(F.size("r") > 20, F.element_at("r", 20)["id"]).alias("next_key"))
 
 
 @query()

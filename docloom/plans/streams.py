@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from docloom.plans.base import query
+from docloom.session import place
 from docloom.sources.tables import LEDGERS
 from docloom.streaming import flows as S
 
 
-def _place(spark) -> str:
-    """A folder for a checkpoint and results: in the cluster's shared folder; a temporary one where all tasks run on this machine."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        top = "file://" + tempfile.mkdtemp(prefix="docloom-")
-    return f"{top.rstrip('/')}/stream-{uuid.uuid4().hex[:10]}"
-
-
 @query("SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def s01_windowed_counts(spark, sf):
     out = S.windowed_counts(S.read_events(spark, f"{sf}/events.parquet"), "ts", "2 hours", "1 day", "event_type")
-    return S.drain_totals(out, ["window", "event_type"], _place(spark)).select(F.col("window.start").alias("start"), "event_type", "n", "total")
+    return S.drain_totals(out, ["window", "event_type"], place(spark, "stream")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -33,7 +21,7 @@ def s02_deduplicated_stream(spark, sf):
     e = S.read_events(spark, f"{sf}/events.parquet")
     twice = e.unionByName(e)
     out = S.deduplicated(twice, ["event_id"], "ts", "60 days")
-    return S.drain(out.select("event_id", "event_type"), _place(spark)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return S.drain(out.select("event_id", "event_type"), place(spark, "stream")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH d AS (SELECT user_id AS resource_id, event_id AS seq, 'i' || CAST(CAST(floor(event_id / 7) AS BIGINT) % 2 AS VARCHAR) AS input_fp, 'p' || CAST(CAST(floor(event_id / 1500) AS BIGINT) AS VARCHAR) AS parser_fp,
@@ -45,4 +33,4 @@ def s02_deduplicated_stream(spark, sf):
 def s03_incremental_timeline(spark, sf):
     e = S.read_events(spark, f"{sf}/events.parquet")
     d = spark.sql(LEDGERS["delivery"], events=e).select("resource_id", "seq", "input_fp", "parser_fp", "content_hash", "failed_code")
-    return S.drain(S.incremental_timeline(d), _place(spark))
+    return S.drain(S.incremental_timeline(d), place(spark, "stream"))

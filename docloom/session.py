@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -37,3 +38,19 @@ def ship(spark: SparkSession) -> None:
         for p in sorted((root / "docloom").rglob("*.py")):
             z.write(p, p.relative_to(root))
     spark.sparkContext.addPyFile(str(target))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where))
+
+
+def place(spark: SparkSession, label: str) -> str:
+    """A fresh path in the cluster's shared folder; in a temporary one only where all tasks run on this machine."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        top = "file://" + tempfile.mkdtemp(prefix="docloom-")
+    return f"{top.rstrip('/')}/{label}-{uuid.uuid4().hex[:10]}"
