@@ -1,4 +1,5 @@
-"""Thin command line (L7): list and run registered queries, check a source configuration, create, list, inspect and publish snapshots.
+"""Thin command line (L7): list and run registered queries, check a source configuration, create, list, inspect and publish
+snapshots, extract archived bodies, parse archived responses again.
 
 Exit codes: 0 done, 1 refused, 2 wrong arguments.
 """
@@ -34,6 +35,14 @@ def main(argv: list[str] | None = None) -> int:
     inspect.add_argument("name")
     listed = commands.add_parser("snapshot-list")
     listed.add_argument("root")
+    for name, told in (("extract", "texts of archived bodies: refs are a Parquet table with archive_ref and state"), ("reparse", "rows of archived responses by an adapter: refs have request_url, too")):
+        again = commands.add_parser(name, help=told)
+        again.add_argument("archive")
+        again.add_argument("refs")
+        again.add_argument("out")
+        if name == "reparse":
+            again.add_argument("adapter")
+            again.add_argument("--options", default="{}", help="the adapter's options as JSON")
     args = parser.parse_args(argv)
     from docloom.plans import registry
     from docloom.session import session
@@ -60,6 +69,8 @@ def main(argv: list[str] | None = None) -> int:
             spark = session("docloom snapshots")
             for name in snapshots(spark, args.root) if args.command == "snapshot-list" else [args.name]:
                 print(name, json.dumps(inspect_snapshot(spark, f"{args.root}/{name}")))
+        elif args.command in ("extract", "reparse"):
+            _archived(args, session(f"docloom {args.command}"))
         else:
             from docloom.operators.snapshots import publish
 
@@ -70,5 +81,24 @@ def main(argv: list[str] | None = None) -> int:
     return 0
 
 
+def _archived(args: argparse.Namespace, spark) -> None:
+    from pyspark.sql import functions as F
+
+    from docloom.sources.adapters import adapter
+    from docloom.sources.archive import Archive, Context
+
+    context = Context(Archive(spark, args.archive), mode="reparse")
+    if args.command == "extract":
+        context.extract(context.read(spark.read.parquet(args.refs))).drop("body").write.mode("errorifexists").parquet(args.out)
+        return
+    try:
+        options = json.loads(args.options)
+    except ValueError:
+        raise ConfigError("invalid_adapter_options") from None
+    reader = adapter(args.adapter, **options)
+    responses = context.read(spark.read.parquet(args.refs)).where("error IS NULL").withColumn("body", F.decode("body", "utf-8"))
+    reader.build(reader.parse(responses)).write.mode("errorifexists").parquet(args.out)
+
+
 if __name__ == "__main__":
     sys.exit(main())

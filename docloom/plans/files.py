@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from docloom.functions import identity as I
 from docloom.functions.text import LEGACY, LETTERS, STRONG, legacy_fonts, recover_legacy
 from docloom.operators import containers as K
+from docloom.operators.pdf import pdf_pages
 from docloom.plans.base import query
 from docloom.session import place
 from docloom.sources import archive, sinks
@@ -61,6 +63,32 @@ def h20_office_markdown(spark, sf):
     return table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), run("n_nationkey", "n_name", "n_regionkey").alias("markdown"))
 
 
+def _pdf(text: str, lines: int = 50) -> bytes:
+    """A PDF of a text, ``lines`` lines a page: deflated content in 16-bit codes of a font with a map to characters."""
+    found = text.split("\n")
+    pages = [found[i : i + lines] for i in range(0, len(found), lines)]
+    cmap = b"1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfrange <0000> <FFFF> <0000> endbfrange"
+    kids = b" ".join(b"%d 0 R" % (5 + 2 * i) for i in range(len(pages)))
+    objects = [b"<</Type/Catalog/Pages 2 0 R>>", b"<</Type/Pages/Kids[" + kids + b"]/Count %d/Resources<</Font<</F1 3 0 R>>>>>>" % len(pages), b"<</Type/Font/Subtype/Type0/Encoding/Identity-H/ToUnicode 4 0 R>>", b"<</Length %d>>stream\n%s\nendstream" % (len(cmap), cmap)]
+    for i, page in enumerate(pages):
+        shown = b" T* ".join(b"<" + line.encode("utf-16-be").hex().encode() + b"> Tj" for line in page)
+        body = zlib.compress(b"BT /F1 10 Tf 12 TL 72 720 Td " + shown + b" ET")
+        objects += [b"<</Type/Page/Parent 2 0 R/Contents %d 0 R>>" % (6 + 2 * i), b"<</Length %d/Filter/FlateDecode>>stream\n%s\nendstream" % (len(body), body)]
+    return b"%PDF-1.7\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (i + 1, o) for i, o in enumerate(objects)) + b"trailer<</Root 1 0 R>>\n%%EOF"
+
+
+@query("SELECT doc_id, CAST(ceil(len(string_split(text, chr(10))) / 50.0) AS INTEGER) AS pages, sha256(text) AS sha FROM documents WHERE text IS NOT NULL")
+def h20_pdf_text(spark, sf):
+    """All documents as PDF files of 50 lines a page, and the text that their pages show."""
+
+    @F.pandas_udf("array<string>")
+    def read(text: pd.Series) -> pd.Series:
+        return pd.Series([pdf_pages(_pdf(t)) for t in text])
+
+    d = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", read("text").alias("p"))
+    return d.select("doc_id", F.size("p").alias("pages"), F.sha2(F.array_join("p", "\n"), 256).alias("sha"))
+
+
 def _members(parts: dict[str, str]) -> bytes:
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.text import escape_markdown
 from docloom.operators import containers as K
+from docloom.operators.pdf import PdfError, pdf_pages
 from docloom.operators.scoring import text_check
 from docloom.session import exists, ship
 
@@ -99,6 +100,7 @@ READERS = {
     "rtf": lambda b: escape_markdown(K.rtf_text(b) or ""),
     "docx": K.docx_markdown,
     "xlsx": K.xlsx_markdown,
+    "pdf": lambda b: "\n".join(t for t in map(escape_markdown, pdf_pages(b)) if t),
 }
 
 
@@ -128,7 +130,7 @@ def answer(body: bytes, hint: str = "") -> dict:
         if not value["markdown"].strip():
             raise Refused("extracted_text_empty")
         return value
-    except Refused as e:
+    except (Refused, PdfError) as e:
         return {"error": str(e)}
     except MemoryError:
         return {"error": "extraction_memory_exceeded"}

@@ -44,7 +44,7 @@ def test_extraction_equals_direct_reading(spark):
     with zipfile.ZipFile(packed, "w") as z:
         z.writestr("b.txt", "second * text")
         z.writestr("a.html", "<html><body><h1>T</h1><p>first</p></body></html>")
-    cases = [b"plain\n\ntext", b"", b"   ", b"\x00\x01", b"<html><body><p>x</p></body></html>", b"{\\rtf1 rich}", packed.getvalue(), b"%PDF-1.4", b"PK\x03\x04broken", None]
+    cases = [b"plain\n\ntext", b"", b"   ", b"\x00\x01", b"<html><body><p>x</p></body></html>", b"{\\rtf1 rich}", packed.getvalue(), b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1", b"PK\x03\x04broken", None]
     rows = spark.createDataFrame([(i, b, None) for i, b in enumerate(cases)] + [(90, None, "input_not_archived")], "id int, body binary, error string")
     got = {r.id: r for r in A.extract(rows).collect()}
     for i, b in enumerate(cases[:-1]):
@@ -117,3 +117,75 @@ def test_leftovers_keep_both_kinds(spark, prefix, names):
     objects = spark.createDataFrame([("old_a",), ("x",), (None,)], "name string")
     routines = spark.createDataFrame([("old_f",), ("old_a",)], "name string")
     assert sorted(r.name for r in integrity.leftovers(objects, routines, prefix).collect()) == names
+
+
+def _stream(head: bytes, body: bytes) -> bytes:
+    return b"<<" + head + b"/Length %d>>stream\r\n%s\nendstream" % (len(body), body)
+
+
+def _file(content: bytes, *more: bytes, trailer: bytes = b"") -> bytes:
+    objects = [b"<</Type/Catalog/Pages 2 0 R>>", b"<</Type/Pages/Kids[3 0 R 2 0 R]>>", b"<</Type/Page/Contents[4 0 R]/Resources 5 0 R>>", _stream(b"", content), *more]
+    return b"%PDF-1.4\n" + b"".join(b"%d 0 obj %s endobj\n" % (i + 1, o) for i, o in enumerate(objects)) + b"trailer <</Root 1 0 R" + trailer + b">>"
+
+
+FONTS = b"<</Font<</A 6 0 R/B 7 0 R>>/XObject<</X 8 0 R>>>>", b"<</Type/Font/Subtype/Type1/Encoding<</BaseEncoding/WinAnsiEncoding/Differences[65/uni0110/x]>>>>", b"<</Type/Font/Subtype/Type0>>", _stream(b"/Subtype/Form", b"BT /A 9 Tf 0 5 Td (form) Tj ET")
+
+
+@pytest.mark.parametrize(
+    "content, text",
+    [
+        (rb"BT /A 9 Tf 10 700 Td (one \(1\)) Tj 0 -12 Td (two\\ (nested)) Tj ET", "one (1)\ntwo\\ (nested)"),
+        (b"BT /A 9 Tf 14 TL (a) Tj T* T* (b) Tj (c) ' 1 2 (d) \" ET", "a\n\nb\nc\nd"),
+        (rb"BT /A 9 Tf [(wo) -20 (rd) -400 (next)] TJ 30 0 Td (same line) Tj ET", "word next same line"),
+        (rb"BT /A 9 Tf 1 0 0 1 0 90 Tm <414243> Tj % a comment (not) Tj" + b"\n1 0 0 1 0 80 Tm (\\101\\351) Tj ET", "\u0110xC\n\u0110\u00e9"),
+        (b"BT /B 9 Tf <00410042> Tj ET", "\ufffd\ufffd"),
+        (b"q BI /W 1 /H 1 ID \x00(]] EI Q BT /A 9 Tf (after) Tj ET /X Do", "after\nform"),
+        (b"BT /A 9 Tf (unfinished", ""),
+        (b"", ""),
+    ],
+)
+def test_pdf_text(content, text):
+    from docloom.operators.pdf import pdf_pages
+
+    assert pdf_pages(_file(content, *FONTS)) == [text]
+
+
+def test_pdf_filters_packed_objects_and_refusals():
+    import base64
+    import zlib
+
+    from docloom.operators.pdf import PdfError, pdf_pages
+
+    shown = b"BT /A 9 Tf (text) Tj ET"
+    more = [b"<</Font<</A 6 0 R>>>>", b"<</Type/Font/Subtype/Type1>>"]
+    for head, body in ((b"/Filter/FlateDecode", zlib.compress(shown)), (b"/Filter[/ASCII85Decode/FlateDecode]", base64.a85encode(zlib.compress(shown)) + b"~>"), (b"/Filter/AHx", shown.hex().encode() + b">"), (b"/Filter/Fl/DecodeParms<</Predictor 12/Columns 23>>", zlib.compress(b"\x02" + shown))):
+        later = b"\n4 0 obj " + _stream(head, body) + b" endobj"  # a later object replaces the first
+        assert pdf_pages(_file(b"BT /A 9 Tf (old) Tj ET", *more) + later) == ["text"], head
+    inside = [b"<</Type/Catalog/Pages 2 0 R>> ", b"<</Type/Pages/Kids [3 0 R]/Resources<</Font<</A 6 0 R>>>>>> ", b"<</Type/Page/Contents 4 0 R>>"]
+    places = b" ".join(b"%d %d" % (i + 1, sum(map(len, inside[:i]))) for i in range(3)) + b" "
+    packed = _stream(b"/Type/ObjStm/N 3/First %d/Filter/FlateDecode" % len(places), zlib.compress(places + b"".join(inside)))
+    objects = b"%PDF-1.5 4 0 obj " + _stream(b"", shown) + b" endobj 9 0 obj " + packed + b" endobj"
+    assert pdf_pages(objects) == ["text"]
+    broken = _file(shown, *more).replace(b"/Length 23", b"/Length 9")
+    assert pdf_pages(broken) == ["text"]
+    for data, why in ((_file(shown, *more, trailer=b"/Encrypt 9 0 R"), "pdf_encrypted"), (b"no", "pdf_invalid"), (b"%PDF-1.4 nothing", "pdf_invalid"), (_file(b"", *more) + b"\n4 0 obj " + _stream(b"/Filter/LZWDecode", b"x") + b" endobj", "pdf_filter_unsupported")):
+        with pytest.raises(PdfError, match=why):
+            pdf_pages(data)
+    assert A.answer(_file(shown, *more))["markdown"] == "text\n" and A.answer(b"%PDF-1.4 nothing")["error"] == "pdf_invalid"
+
+
+def test_commands_on_archived_bodies(spark, tmp_path, capsys):
+    from pyspark.sql import functions as F
+
+    from docloom.cli import main
+
+    held = A.Archive(spark, f"file://{tmp_path}/cas")
+    body = b'{"results":[{"document_number":"7","title":" A  b ","type":"t"}],"next_page_url":null}'
+    refs = held.put(spark.createDataFrame([(body,)], "body binary")).select(F.col("sha256").alias("archive_ref"), F.lit("archived").alias("state"), F.lit("https://a.org/x").alias("request_url"))
+    refs.write.parquet(f"file://{tmp_path}/refs")
+    place = lambda n: f"file://{tmp_path}/{n}"
+    assert main(["reparse", held.path, place("refs"), place("rows"), "json_list", "--options", '{"max_pages": 2}']) == 0
+    assert [(r.document_number, r.title, r.error) for r in spark.read.parquet(place("rows")).collect()] == [("7", "A b", None)]
+    assert main(["reparse", held.path, place("refs"), place("no"), "json_list", "--options", "["]) == 1 and main(["reparse", held.path, place("refs"), place("no"), "none"]) == 1
+    assert main(["extract", held.path, place("refs"), place("texts")]) == 0
+    assert [r.error for r in spark.read.parquet(place("texts")).collect()] == ["unsupported_document_type"]
