@@ -111,6 +111,36 @@ def _workbook(key: int, name: str, region: int) -> bytes:
     return _members({"xl/workbook.xml": f'<workbook {s} {r}><sheets><sheet name="{name}" sheetId="1" r:id="r1"/></sheets></workbook>', "xl/_rels/workbook.xml.rels": rels, "xl/sharedStrings.xml": f"<sst {s}><si><t>key</t></si></sst>", "xl/worksheets/sheet1.xml": sheet})
 
 
+KINDS = ["pdf", "docx", "xlsx", "zip", "doc", "xls", "rtf", "html", "xml", "json", "txt", "unknown"]
+
+
+@query("SELECT page_id, [" + ", ".join(f"'{k}'" for k in KINDS) + "][page_id % 12 + 1] AS kind FROM pages")
+def h17_detected_kinds(spark, sf):
+    """The page's title inside a body of each kind, and the kind that its bytes tell; no hint says which."""
+    ole = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"
+    makers = {
+        "pdf": lambda t: b"%" + b"x" * 50 + b"\n" + _pdf(t),
+        "docx": lambda t: _document(1, "n", 2),
+        "xlsx": lambda t: _workbook(1, "n", 2),
+        "zip": lambda t: _members({"a.txt": t}),
+        "doc": lambda t: ole + t.encode() + "WordDocument".encode("utf-16-le"),
+        "xls": lambda t: ole + t.encode() + "Workbook".encode("utf-16-le"),
+        "rtf": lambda t: b"{\\rtf1 " + t.encode() + b"}",
+        "html": lambda t: b"\xef\xbb\xbf <!-- " + t.encode() + b" -->\n<!DOCTYPE html><p>",
+        "xml": lambda t: b"<?xml version='1.0'?><a>" + t.encode() + b"</a>",
+        "json": lambda t: b' {"a": 1}',
+        "txt": lambda t: b"- " + t.encode(),
+        "unknown": lambda t: b"\x00\x01" + t.encode(),
+    }
+
+    @F.pandas_udf("string")
+    def kind(page: pd.Series, title: pd.Series) -> pd.Series:
+        return pd.Series([K.detect(makers[KINDS[p % 12]](t or "")) for p, t in zip(page, title)])
+
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    return table(spark, sf, "pages").select("page_id", kind("page_id", title).alias("kind"))
+
+
 @query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN TRUE WHEN 1 THEN NULL ELSE NOT (url LIKE '%/en/%' AND url NOT LIKE '%page=%') END AS allowed FROM pages")
 def b09_robots(spark, sf):
     policy = "User-agent: *\nDisallow: /en/\nAllow: /en/*page=\n"

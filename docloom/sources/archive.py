@@ -1,7 +1,7 @@
 """The archive of bodies (A6, A10), extraction in processes of its own (L4), and what an adapter may do (L3).
 
-An archive is a Parquet folder of bodies under their SHA-256, dealt by the digest's first two digits, so that a look-up
-reads the digests of few folders. Bodies are only ever added. One writer at a time stores into an archive; if two did,
+An archive is a Parquet folder of bodies under their SHA-256, in folders by the digest's first digit and in ranges of it
+inside, so that files can be skipped in a look-up. Bodies are only ever added. One writer at a time stores into an archive; if two did,
 a body could be stored twice, and reads would still give it once.
 """
 
@@ -49,12 +49,12 @@ class Archive:
         """
         told = bodies.where("body IS NOT NULL").select(F.sha2("body", 256).alias("sha256"), F.octet_length("body").cast("long").alias("byte_size"), "body")
         once = told.groupBy("sha256", "byte_size").agg(F.any_value("body").alias("body"))
-        before = self._stored().select("sha256", F.substring("sha256", 1, 2).alias("folder"))
+        before = self._stored().select("sha256", F.substring("sha256", 1, 1).alias("folder"))
         refs = f"{self.path.rstrip('/')}-refs/{uuid.uuid4().hex}"
         known = told.groupBy("sha256", "byte_size").agg(F.lit(1).alias("_")).drop("_").join(before.select("sha256").distinct().withColumn("old", F.lit(True)), "sha256", "left")
         # what is new is written down before the archive grows, as a later read of the archive would call all of it old
         known.select("sha256", "byte_size", F.col("old").isNull().alias("stored")).write.parquet(refs)
-        new = once.join(before.select("sha256"), "sha256", "left_anti").withColumn("folder", F.substring("sha256", 1, 2))
+        new = once.join(before.select("sha256"), "sha256", "left_anti").withColumn("folder", F.substring("sha256", 1, 1))
         # by ranges of the digest: a task writes to few folders, and files can be skipped by it
         new.repartitionByRange("sha256").sortWithinPartitions("sha256").write.mode("append").partitionBy("folder").parquet(self.path)
         return self.spark.read.parquet(refs)
@@ -65,7 +65,7 @@ class Archive:
         Errors, the first that holds: input_not_archived, archive_body_missing, archive_body_too_large, archive_body_corrupt
         (the digest is taken again). A row with an error has no body.
         """
-        wanted = refs.where("state = 'archived'").select(F.col("archive_ref").alias("sha256"), F.substring("archive_ref", 1, 2).alias("folder")).distinct()
+        wanted = refs.where("state = 'archived'").select(F.col("archive_ref").alias("sha256"), F.substring("archive_ref", 1, 1).alias("folder")).distinct()
         held = self._stored().join(wanted, ["sha256", "folder"], "left_semi").groupBy("sha256").agg(F.max(F.struct("byte_size", "body")).alias("s"))
         joined = refs.join(held.select(F.col("sha256").alias("archive_ref"), "s.byte_size", "s.body"), "archive_ref", "left")
         error = (
