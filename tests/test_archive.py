@@ -74,7 +74,7 @@ def test_a_lost_child_is_one_rows_error():
 
 
 def test_a_childs_memory_is_bounded(spark):
-    rows = spark.createDataFrame([(1, b"<html><body>" + b"<p>x</p>" * 1_500_000 + b"</body></html>"), (2, b"small")], "id int, body binary").coalesce(1)
+    rows = spark.createDataFrame([(1, b"<html><body>" + b"<p>x</p>" * 3_000_000 + b"</body></html>"), (2, b"small")], "id int, body binary").coalesce(1)
     got = {r.id: r.error for r in A.extract(rows, memory=400 << 20).select("id", "error").collect()}
     assert got[1] in ("extraction_memory_exceeded", "child_process_failed") and got[2] is None
     assert A.extract(rows, most_bytes=100).where("id = 1").first().error == "document_too_large"
