@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -75,31 +77,56 @@ def registrations(targets: DataFrame, by: list[str], order: str) -> DataFrame:
 
     ``targets``: ``by``, ``order``, inputs (an array of keys), open (whether the target is still pending when it appears
     again). The first one registers; the same inputs are skipped; more inputs amend an open target, the new ones behind
-    the old; any other appearance replays, once for each list of inputs. A target's appearances are folded in order;
-    they are those of one identity in one run.
+    the old; any other appearance replays, once for each list of inputs. Appearances at one place of the order stand by
+    inputs, closed ones first.
+
+    A target's inputs only grow, and a list that has added to them, or could not when it first came to the open target,
+    never adds later. So the first appearances of a target's different lists tell all its states: they alone are
+    gathered and folded. Every appearance is then judged by the state at its place, and of those that would replay one
+    list the first does. Appearances are only counted and joined, so that many of one target are shared among tasks.
     """
-    kind = "struct<current:array<string>,replayed:array<string>,told:array<struct<seq:bigint,action:string,inputs:array<string>>>>"
-    start = F.lit(None).cast(kind)
-    row = F.struct(F.col(order).cast("long").alias("seq"), "inputs", "open")
-    held = targets.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    same = reduce(lambda x, y: x & y, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by])
+    place = ["_at", "inputs", "open"]
+    rows = targets.select(*by, F.coalesce(F.col(order).cast("long"), F.lit(-(2**63))).alias("_at"), F.col(order).cast("long").alias("_told"), "inputs", F.coalesce("open", F.lit(False)).alias("open"))
+
+    kind = "struct<current:array<string>,states:array<struct<_at:bigint,inputs:array<string>,open:boolean,action:string,current:array<string>>>>"
 
     def step(acc: Column, x: Column) -> Column:
         current, new = acc["current"], x["inputs"]
-        more = F.concat(current, F.array_except(new, current))
-        text = F.array_join(new, "\n")
-        action = (
-            F.when(acc.isNull(), "register").when(new == current, "skip").when(x["open"] & (F.size(F.array_except(current, new)) == 0), "amend")
-            .when(F.array_contains(acc["replayed"], text), "skip").otherwise("replay")
+        added = F.array_except(new, current)
+        more = F.concat(current, added)
+        state = lambda action, held: F.array(F.struct(*[x[c].alias(c) for c in place], F.lit(action).alias("action"), held.alias("current")))
+        return (
+            F.when(acc.isNull(), F.struct(new.alias("current"), state("register", new).alias("states")).cast(kind))
+            .when(x["open"] & (F.size(F.array_except(current, new)) == 0) & (F.size(added) > 0), F.struct(more.alias("current"), F.concat(acc["states"], state("amend", more)).alias("states")).cast(kind))
+            .otherwise(acc)
         )
-        now = F.when(action == "register", new).when(action == "amend", more).otherwise(current)
-        none = F.array().cast("array<string>")
-        replayed = F.when(action == "replay", F.concat(F.coalesce(acc["replayed"], none), F.array(text))).otherwise(F.coalesce(acc["replayed"], none))
-        one = F.array(F.struct(x["seq"].alias("seq"), action.alias("action"), F.when(action == "replay", new).otherwise(now).alias("inputs")))
-        told = F.when(acc.isNull(), one).otherwise(F.concat(acc["told"], one))
-        return F.struct(now.alias("current"), replayed.alias("replayed"), told.alias("told")).cast(kind)
-
-    folded = held.select(*by, F.aggregate("_rows", start, step)["told"].alias("_told"))
-    return folded.select(*by, F.explode("_told").alias("t")).select(*by, F.col("t.seq").alias(order), "t.action", "t.inputs")
+
+    firsts = rows.groupBy(*by, "inputs", "open").agg(F.min("_at").alias("_at"))
+    lists = firsts.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*place))).alias("_lists"))
+    states = lists.select(*by, F.aggregate("_lists", F.lit(None).cast(kind), step)["states"].alias("_states"))
+
+    def judged(these: DataFrame) -> DataFrame:
+        """With the state at each place, and what an appearance does that has not made this state."""
+        joined = these.alias("l").join(states.alias("r"), same).select("l.*", "_states")
+        here = F.struct(*place)
+        state = F.element_at(F.filter("_states", lambda e: (e["_at"] < F.col("_at")) | ((e["_at"] == F.col("_at")) & (F.struct(*[e[c].alias(c) for c in place]) <= here))), -1)
+        held = joined.withColumn("_state", state).drop("_states")
+        current = F.col("_state.current")
+        act = F.when(F.col("inputs") == current, "skip").when(F.col("open") & (F.size(F.array_except(current, F.col("inputs"))) == 0), "amend").otherwise("replay")
+        return held.withColumn("_act", act).withColumn("_text", F.when(F.col("_act") == "replay", F.array_join("inputs", "\n")))
+
+    # of each list that replays the first place
+    would = judged(rows).where("_text IS NOT NULL").groupBy(*by, "_text", "inputs", "open").agg(F.min("_at").alias("_at"))
+    replays = would.groupBy(*by, "_text").agg(F.min(F.struct(*place)).alias("_first"))
+    equal = judged(rows.groupBy(*by, "_told", *place).agg(F.count(F.lit(1)).alias("_n")))
+    all_ = equal.alias("l").join(replays.alias("r"), same & (F.col("l._text") == F.col("r._text")), "left").select("l.*", "_first")
+    is_at = lambda c: F.coalesce(reduce(lambda x, y: x & y, [F.col(f"{c}.{p}").eqNullSafe(F.col(p)) for p in place]), F.lit(False))
+    made, again = is_at("_state"), F.col("_text").isNotNull()
+    first = F.when(made, F.col("_state.action")).when(again & ~is_at("_first"), "skip").otherwise(F.col("_act"))
+    rest = F.when(again, "skip").otherwise(F.col("_act"))
+    told = all_.withColumn("action", F.explode(F.concat(F.array(first), F.array_repeat(rest, (F.col("_n") - 1).cast("int")))))
+    return told.select(*by, F.col("_told").alias(order), "action", F.when(F.col("action") == "replay", F.col("inputs")).otherwise(F.col("_state.current")).alias("inputs"))
 
 
 def valid_volumes(rows: DataFrame, key: str) -> DataFrame:
